@@ -29,6 +29,7 @@ _DROP = re.compile(
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>")
 _BODY = re.compile(r"<body\b[^>]*>", re.I)
 _BODY_END = re.compile(r"</body\s*>", re.I)
+_TITLE_TAG = re.compile(r"<title\b[^>]*>", re.I)
 _TITLE = re.compile(r"<title\b[^>]*>(.*?)</title", re.S | re.I)
 _HIDDEN = re.compile(
     r"(?:^|\s)hidden(?:[\s=/]|$)|display\s*:\s*none|visibility\s*:\s*hidden|aria-hidden\s*=\s*[\"']?true", re.I
@@ -78,6 +79,18 @@ class Page:
         self.last: list[int] = [0]
 
 
+def _find(html: str, tag: str, rx: re.Pattern[str]) -> tuple[int, int]:
+    """Span of the first match of a tag's pattern, looked up by plain search; -1 without one."""
+    at = html.find(tag)
+    if at < 0:
+        at = html.find(tag.upper())
+    if at < 0 and tag not in html.lower():
+        return -1, -1
+    m = rx.match(html, at) if at >= 0 else None
+    m = m or rx.search(html)
+    return m.span() if m else (-1, -1)
+
+
 def clean(text: str) -> str:
     """Entities decoded once, runs of white space one blank, ends trimmed."""
     if "&" in text:
@@ -96,16 +109,15 @@ def render(html: str | None) -> Page:
     if not html:
         return page
     html = _DROP.sub("", html)
-    m = _BODY.search(html)
-    head_end = m.start() if m else 0
-    t = _TITLE.search(html, 0, head_end or len(html))
+    start, end = _find(html, "<body", _BODY)
+    t = _TITLE.search(html, max(0, _find(html, "<title", _TITLE_TAG)[0]), start if start >= 0 else len(html))
     if t:
         page.title = clean(t.group(1))
-    if m:
-        html = html[m.end():]
-    m = _BODY_END.search(html)
-    if m:
-        html = html[: m.start()]
+    if start >= 0:
+        html = html[end:]
+    start, _ = _find(html, "</body", _BODY_END)
+    if start >= 0:
+        html = html[:start]
 
     parts = _TAG.split(html)
     tag, parent, attrs, hidden, first, last = page.tag, page.parent, page.attrs, page.hidden, page.first, page.last

@@ -66,11 +66,12 @@ FOOTER = re.compile(
     r"(?:©|\(c\) )\s*\d{4}|copyright\b|bản quyền|版权所有|.{1,40}版权所有|all rights reserved|.{1,60}giữ toàn quyền"
     r"|lượt (?:truy cập|xem)\s?:|page views\s?:|浏览量\s?[::]|访问量\s?[::]|giấy phép (?:số|mxh)|备案号|.{0,4}icp备|cơ quan chủ quản\s?:|tòa soạn\s?:|chịu trách nhiệm"
     r"|registered office|.{1,60} is a service of |客服热线|主办单位|联系电话|điều khoản (?:sử dụng|dịch vụ)|chính sách bảo mật|terms of (?:use|service)|privacy (?:notice|policy)"
-    r"|关于我们|隐私声明|网站地图|last site update|cập nhật (?:trang|website) lần cuối|ghi rõ nguồn |thông tin trên trang |nội dung trên .{1,60} chỉ mang tính"
+    r"|关于我们|隐私声明|网站地图|last site update|reproduction of .{1,60} requires|content on .{1,60} (?:is|does) |cập nhật (?:trang|website) lần cuối|ghi rõ nguồn |thông tin trên trang |nội dung trên .{1,60} chỉ mang tính"
     r"|do not delay seeking care because|the (?:content|information) on (?:this site|.{1,40}) (?:is|does)|(?:nothing|content) on this (?:site|page)"
     r"|本站内容仅供参考|本站.{0,20}不能(?:作为|代替)|如有不适请及时就医,切勿|hotline\s?:|đường dây nóng\s?:",
     re.I,
 )
+NOTICE = re.compile(r"(?=.{0,160}$)(?=.*(?:script|脚本)).*(?:một số tính năng|some (?:features|functions|parts)|部分功能|certain features)", re.I)
 SCRIPT_NOTE = re.compile(r"(?=.{0,120}$).*(?:javascript|\bscripts?\b|脚本)", re.I)
 CRUMB = re.compile(r"(?:trang chủ|home|首页)\s*(?:[>»›/|·]|\S{0,12}\s*[>»›/]).{0,200}$", re.I)
 BAR = re.compile(r"[^|]{1,30}(?:\s?[||]\s?[^|]{1,30}){2,}$")
@@ -87,9 +88,10 @@ _TITLE_TAIL = re.compile(r"^(.*\S)\s+[-–—|_]\s+[^-–—|_]*$")
 
 LEXICON = (
     ("author", AUTHOR), ("ad", AD), ("editorial", EDITORIAL), ("more", READ_MORE), ("share", SHARE), ("related", RELATED_HEAD),
-    ("comments", COMMENTS), ("cookie", COOKIE), ("footer", FOOTER),
+    ("comments", COMMENTS), ("cookie", COOKIE), ("footer", FOOTER), ("notice", NOTICE),
 )
 CLOSING = frozenset(["share", "related", "comments", "cookie", "footer"])
+_ANY = re.compile("|".join(f"(?P<{name}>{rx.pattern})" for name, rx in LEXICON), re.I)
 _cache: dict[str, str] = {}
 
 
@@ -99,10 +101,9 @@ def furniture(line: str) -> str:
     if kind is None:
         kind = ""
         if len(line) <= 200:
-            for name, rx in LEXICON:
-                if rx.match(line):
-                    kind = name
-                    break
+            m = _ANY.match(line)
+            if m:
+                kind = m.lastgroup or ""
         if len(_cache) > 200_000:
             _cache.clear()
         _cache[line] = kind
@@ -166,11 +167,16 @@ def main_box(page: Page, head: int) -> int:
 
 def main_blocks(page: Page) -> list[int]:
     """Indexes of the blocks of the page's own article, in layout order."""
+    return with_headline(page)[1]
+
+
+def with_headline(page: Page) -> tuple[int, list[int]]:
+    """(headline or -1, main blocks)."""
     if not page.lines:
-        return []
+        return -1, []
     head = headline(page)
     if head < 0:
-        return _densest(page)
+        return -1, _densest(page)
     box = main_box(page, head)
     side: dict[int, bool] = {box: False}
     parent, nodes, lines, linked, tags = page.parent, page.node, page.lines, page.linked, page.tag
@@ -195,7 +201,7 @@ def main_blocks(page: Page) -> list[int]:
         if box == 0 and tags[e] == "body" and SCRIPT_NOTE.match(s):
             continue
         out.append(i)
-    return out
+    return head, out
 
 
 def _densest(page: Page) -> list[int]:
@@ -215,7 +221,7 @@ def _densest(page: Page) -> list[int]:
     out = []
     for i in range(page.first[box], page.last[box]):
         e = page.node[i]
-        if page.linked[i] or furniture(page.lines[i]) or BAR.match(page.lines[i]):
+        if page.linked[i] or furniture(page.lines[i]) or BAR.match(page.lines[i]) or CRUMB.match(page.lines[i]):
             continue
         while e != box and e > 0 and not _side(page, e):
             e = page.parent[e]
