@@ -15,9 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship, stage, table
-from . import mainbody, mojibake, residue
+from . import language, mainbody, mojibake, residue
 from .html import Page, render
 
+#: Pages whose rows are held at once in a worker.
+PAGES_AT_ONCE = 1000
 #: Hosts on which a short body worded like a message must recur to be one.
 MIN_HOSTS = 3
 
@@ -42,11 +44,19 @@ def text_of(body: bytes | None) -> str:
     return body.decode("utf-8", "replace") if body else ""
 
 
-def map_pages(df: DataFrame, row: Callable[..., list[tuple]], schema: str, keys: int) -> DataFrame:
+def map_pages(
+    df: DataFrame,
+    row: Callable[..., list[tuple]],
+    schema: str,
+    keys: int,
+    finish: Callable[[list[tuple]], list[tuple]] | None = None,
+) -> DataFrame:
     """Apply ``row(*key_values, html_text) -> rows`` to every page.
 
     ``df`` has ``keys`` leading columns and ``html`` last; the rows returned
-    have the columns of ``schema``.
+    have the columns of ``schema``. ``finish`` turns the rows of up to
+    :data:`PAGES_AT_ONCE` pages into the final ones, for steps that work on
+    many pages as one matrix.
     """
     ship(df.sparkSession)
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -61,13 +71,17 @@ def map_pages(df: DataFrame, row: Callable[..., list[tuple]], schema: str, keys:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            columns = [batch.column(i).to_pylist() for i in range(keys)]
-            out: list[tuple] = []
-            for values in zip(*columns, batch.column(keys)):
-                out.extend(row(*values[:-1], text_of(values[-1].as_py())))
-            for at in range(0, len(out), 20_000):
-                cells = zip(*out[at : at + 20_000])
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(cells, target)], schema=target)
+            for start in range(0, batch.num_rows, PAGES_AT_ONCE):
+                part = batch.slice(start, PAGES_AT_ONCE)
+                columns = [part.column(i).to_pylist() for i in range(keys)]
+                out: list[tuple] = []
+                for values in zip(*columns, part.column(keys)):
+                    out.extend(row(*values[:-1], text_of(values[-1].as_py())))
+                if finish is not None:
+                    out = finish(out)
+                if out:
+                    cells = zip(*out)
+                    yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(cells, target)], schema=target)
 
     return df.mapInArrow(run, schema)
 
@@ -192,5 +206,74 @@ def main_lines(pages: DataFrame) -> DataFrame:
     return kept.select("source", "id", F.explode("lines").alias("line")).distinct()
 
 
+# ---------------------------------------------------------------- problem 5
+
+
+def _languages(rows: list[tuple]) -> list[tuple]:
+    """Classify the main lines of many pages as one matrix.
+
+    In: (source, id, host, body_hash, declared, lines). Out: the same with a
+    list of (line, language or None, confidence, is prose).
+    """
+    texts: list[str] = []
+    plan: list[list[tuple[str, bool, int]]] = []
+    for *_, lines in rows:
+        prose = [language.running_text(s) for s in lines]
+        only = any(prose)
+        plan.append([])
+        for s, p in zip(lines, prose):
+            if p or not only and _ANY_LETTER.search(s) and not language._CODE.match(s):
+                plan[-1].append((s, p, len(texts)))
+                texts.append(s)
+            else:
+                plan[-1].append((s, False, -1))
+    kinds, sure = language.classify(texts)
+    return [(*r[:5], [(s, int(kinds[j]) if j >= 0 else -1, float(sure[j]) if j >= 0 else 0.0, p) for s, p, j in marked]) for r, marked in zip(rows, plan)]
+
+
+_ANY_LETTER = re.compile(r"[^\W\d_]{2}|[㐀-鿿]")
+
+
+def _language_row(source: str, id_: int, url: str, html: str) -> list[tuple]:
+    p = render(html)
+    bad, case, h, _, body = page_facts(p)
+    if bad or case:
+        return []
+    host = host_of(url) if h is not None else None
+    return [(source, id_, host, h, language.declared(html), [p.lines[i] for i in body])]
+
+
+def page_languages(pages: DataFrame) -> DataFrame:
+    """``source, id, lang``: languages of each page whose declared one is missing, wrong or not its only one."""
+
+    def finish(rows: list[tuple]) -> list[tuple]:
+        out = []
+        for source, id_, host, h, said, lines in _languages(rows):
+            found = language.page_languages([k for _, k, _, _ in lines], [p for *_, p in lines])
+            wrong = bool(found) and found != [said]
+            if wrong or h is not None:
+                out.append((source, id_, host, False, False, h, found if wrong else []))
+        return out
+
+    schema = FACTS + ", langs array<string>"
+    facts = stage(map_pages(stored(pages, "source", "id", "url"), _language_row, schema, 3, finish), "languages")
+    return without_messages(facts).select("source", "id", F.explode("langs").alias("lang")).distinct()
+
+
+def language_segments(pages: DataFrame) -> DataFrame:
+    """Every segment of every page: ``source, id, segment, lang, confidence, n_lines, text``."""
+
+    def finish(rows: list[tuple]) -> list[tuple]:
+        out = []
+        for source, id_, _, _, _, lines in _languages(rows):
+            runs = language.segments([k for _, k, _, _ in lines], [c for _, _, c, _ in lines])
+            for n, (a, b, k, c) in enumerate(runs):
+                out.append((source, id_, n, language.LANGUAGES[k], round(c, 4), b - a + 1, "\n".join(s for s, *_ in lines[a : b + 1])))
+        return out
+
+    schema = "source string, id long, segment int, lang string, confidence double, n_lines int, text string"
+    return map_pages(stored(pages, "source", "id", "url"), _language_row, schema, 3, finish).dropDuplicates(["source", "id", "segment"])
+
+
 def load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import lines as L
 from . import pages as P
 
 
@@ -23,5 +24,26 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return P.main_lines(P.load(spark, d))
 
 
-QUERIES = {"p2_found": p2_found, "p2_restored": p2_restored, "p3_found": p3_found, "p4_found": p4_found}
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return P.page_languages(P.load(spark, d))
+
+
+def p5_segments(spark: SparkSession, d: str) -> DataFrame:
+    return P.language_segments(P.load(spark, d))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return L.repeated_lines(P.load(spark, d))
+
+
+def p7_sequences(spark: SparkSession, d: str) -> DataFrame:
+    return L.frequent_sequences(P.load(spark, d))
+
+
+def p7_clean(spark: SparkSession, d: str) -> DataFrame:
+    return L.without_repeated(P.load(spark, d))
+
+
+QUERIES = {"p2_found": p2_found, "p2_restored": p2_restored, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p5_segments": p5_segments,
+    "p7_found": p7_found, "p7_sequences": p7_sequences, "p7_clean": p7_clean}
 SQL: dict[str, str] = {}
