@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..session import stage, table
+from . import abuse as A
 from . import lines as L
+from . import packing as K
 from . import pages as P
+from . import tokens as T
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -44,6 +51,46 @@ def p7_clean(spark: SparkSession, d: str) -> DataFrame:
     return L.without_repeated(P.load(spark, d))
 
 
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    return T.encode_texts(table(spark, d, "documents"))
+
+
+def _windows(spark: SparkSession, d: str) -> list[tuple[str, int]]:
+    """The context windows: a fixed handful of rows."""
+    rows = table(spark, d, "context_windows").orderBy("capacity", "window_name").collect()
+    return [(r["window_name"], int(r["capacity"])) for r in rows]
+
+
+def _packed(spark: SparkSession, d: str) -> list[tuple[str, int, DataFrame]]:
+    items = stage(T.token_counts(table(spark, d, "documents")), "lengths")
+    return [(name, cap, K.pack(items, cap)) for name, cap in _windows(spark, d)]
+
+
+def p9_packing(spark: SparkSession, d: str) -> DataFrame:
+    """``window_name, container, item, piece, size`` for every document and window."""
+    parts = [df.select(F.lit(name).alias("window_name"), "container", "item", "piece", "size") for name, _, df in _packed(spark, d)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def p9_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Containers, the least possible number, and the share of space used, per window."""
+    parts = [K.fill(df, cap).select(F.lit(name).alias("window_name"), F.lit(cap).alias("capacity"), "*") for name, cap, df in _packed(spark, d)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return A.flagged(A.score_documents(table(spark, d, "documents")))
+
+
+def p10_scores(spark: SparkSession, d: str) -> DataFrame:
+    return A.score_documents(table(spark, d, "documents"))
+
+
+def p10_rates(spark: SparkSession, d: str) -> DataFrame:
+    return A.rates(A.score_documents(table(spark, d, "documents")))
+
+
 QUERIES = {"p2_found": p2_found, "p2_restored": p2_restored, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p5_segments": p5_segments,
-    "p7_found": p7_found, "p7_sequences": p7_sequences, "p7_clean": p7_clean}
+    "p7_found": p7_found, "p7_sequences": p7_sequences, "p7_clean": p7_clean,
+    "p8_ids": p8_ids, "p9_packing": p9_packing, "p9_fill": p9_fill, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
 SQL: dict[str, str] = {}
