@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship, stage, table
-from . import language, mainbody, mojibake, residue
+from . import language, mainbody, markup, mojibake, residue
 from .html import Page, render
 
 #: Pages whose rows are held at once in a worker.
@@ -275,5 +275,49 @@ def language_segments(pages: DataFrame) -> DataFrame:
     return map_pages(stored(pages, "source", "id", "url"), _language_row, schema, 3, finish).dropDuplicates(["source", "id", "segment"])
 
 
+# ---------------------------------------------------------------- problem 6
+
+
+def node_classifier(pages: DataFrame) -> markup.Trees:
+    """Ensemble fitted on the driver from :data:`.markup.SAMPLE_PAGES` pages at most."""
+    sample = stored(pages).limit(markup.SAMPLE_PAGES).collect()
+    return markup.fit([render(text_of(bytes(r["html"]))) for r in sample])
+
+
+def _markup_row(model: markup.Trees, with_text: bool) -> Callable[..., list[tuple]]:
+    def row(source: str, id_: int, url: str, html: str) -> list[tuple]:
+        p = render(html)
+        head, body = mainbody.with_headline(p)
+        case, h = residue.judge(p, body, head)
+        kinds: list[str] = []
+        text = None
+        if not case and markup.screened(p) and not mojibake.garbled([p.title, *p.raw])[0]:
+            blocks = markup.content_blocks(p, model)
+            kinds = markup.kinds_in([p.lines[i] for i in blocks if not markup.code_block(p, i)])
+            if kinds and with_text:
+                text = markup.clean_text([p.lines[i] for i in blocks], kinds)
+        if not kinds and (case or h is None):
+            return []
+        return [(source, id_, host_of(url) if h is not None else None, False, False, h, kinds, text)]
+
+    return row
+
+
+def markup_facts(pages: DataFrame, with_text: bool) -> DataFrame:
+    row = _markup_row(node_classifier(pages), with_text)
+    schema = FACTS + ", kinds array<string>, text string"
+    return without_messages(stage(map_pages(stored(pages, "source", "id", "url"), row, schema, 3), "markup"))
+
+
+def markup_pages(pages: DataFrame) -> DataFrame:
+    """``source, id, markup``: each kind of markup that main lines of a page show as text."""
+    return markup_facts(pages, False).select("source", "id", F.explode("kinds").alias("markup")).distinct()
+
+
+def clean_markup(pages: DataFrame) -> DataFrame:
+    """``source, id, text``: clean main text of each page with markup residue."""
+    return markup_facts(pages, True).where(F.size("kinds") > 0).select("source", "id", "text").dropDuplicates(["source", "id"])
+
+
 def load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages")

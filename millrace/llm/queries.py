@@ -39,6 +39,14 @@ def p5_segments(spark: SparkSession, d: str) -> DataFrame:
     return P.language_segments(P.load(spark, d))
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return P.markup_pages(P.load(spark, d))
+
+
+def p6_clean(spark: SparkSession, d: str) -> DataFrame:
+    return P.clean_markup(P.load(spark, d))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return L.repeated_lines(P.load(spark, d))
 
@@ -90,7 +98,7 @@ def p10_rates(spark: SparkSession, d: str) -> DataFrame:
     return A.rates(A.score_documents(table(spark, d, "documents")))
 
 
-QUERIES = {"p2_found": p2_found, "p2_restored": p2_restored, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p5_segments": p5_segments,
+QUERIES = {"p2_found": p2_found, "p2_restored": p2_restored, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p5_segments": p5_segments, "p6_found": p6_found, "p6_clean": p6_clean,
     "p7_found": p7_found, "p7_sequences": p7_sequences, "p7_clean": p7_clean,
     "p8_ids": p8_ids, "p9_packing": p9_packing, "p9_fill": p9_fill, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
 SQL: dict[str, str] = {}
