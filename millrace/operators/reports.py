@@ -75,7 +75,7 @@ def redirected(log: DataFrame, skip_sources: tuple[str, ...] = ("db_alt",)) -> D
 
 def redirect_table(red: DataFrame) -> DataFrame:
     """Host x kind of redirect; the value list is explicit, so no extra pass finds it."""
-    return red.groupBy("host").pivot("redirect", list(REDIRECTS)).agg(F.count("*")).na.fill(0, list(REDIRECTS))
+    return red.groupBy("host").pivot("redirect", list(REDIRECTS)).agg(F.count("redirect")).na.fill(0, list(REDIRECTS))
 
 
 def progress(log: DataFrame, corpus_totals: DataFrame) -> DataFrame:

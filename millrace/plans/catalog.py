@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import captures_q, pages_q, skew, urls_q
+from . import captures_q, io_q, pages_q, reports_q, skew, urls_q
 
-MODULES = [skew, urls_q, pages_q, captures_q]
+MODULES = [skew, urls_q, pages_q, captures_q, reports_q, io_q]
 QUERIES = {name: q for m in MODULES for name, q in m.QUERIES.items()}
 SQL = {name: s for m in MODULES for name, s in m.SQL.items()}

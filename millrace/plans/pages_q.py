@@ -17,7 +17,7 @@ def _pages(spark: SparkSession, d: str) -> DataFrame:
 
 
 # Fetch results derived from page ids, so that every outcome occurs.
-def _final() -> Column:
+def derived_final() -> Column:
     i = F.col("id")
     return (
         F.when(i % 23 == 5, F.concat(F.lit("https://"), U.hostname("url"), F.lit("/verify.html")))
@@ -32,22 +32,22 @@ def _status() -> Column:
     return F.when(i % 17 == 3, 403).when(i % 11 == 2, 404).when(i % 13 == 4, 503).when(i % 29 == 6, 451).otherwise(200)
 
 
-_FETCH_SQL = f"""SELECT source, id, url, html, ctype,
-    CASE WHEN id % 23 = 5 THEN 'https://' || {Q.hostname('url')} || '/verify.html' WHEN id % 19 = 7 THEN 'https://' || {Q.hostname('url')} || '/img/' || id || '.jpg'
-         WHEN id % 7 = 1 THEN 'https://' || {Q.hostname('url')} || '/' ELSE url END AS f,
+FINAL_SQL = f"""(CASE WHEN id % 23 = 5 THEN 'https://' || {Q.hostname('url')} || '/verify.html' WHEN id % 19 = 7 THEN 'https://' || {Q.hostname('url')} || '/img/' || id || '.jpg'
+    WHEN id % 7 = 1 THEN 'https://' || {Q.hostname('url')} || '/' ELSE url END)"""
+_FETCH_SQL = f"""SELECT source, id, url, html, ctype, {FINAL_SQL} AS f,
     CASE WHEN id % 17 = 3 THEN 403 WHEN id % 11 = 2 THEN 404 WHEN id % 13 = 4 THEN 503 WHEN id % 29 = 6 THEN 451 ELSE 200 END AS s
     FROM pages WHERE html IS NOT NULL"""
 
 
 def classify_kind(spark: SparkSession, d: str) -> DataFrame:
-    p = _pages(spark, d).where("html is not null").withColumn("f", _final()).withColumn("s", _status())
+    p = _pages(spark, d).where("html is not null").withColumn("f", derived_final()).withColumn("s", _status())
     kind = C.with_home(C.fetch_kind(F.col("s"), F.col("f"), F.col("html"), F.col("ctype")), F.col("url"), F.col("f"))
     return p.select("source", "id", kind.alias("kind")).groupBy("source", "id").agg(F.min("kind").alias("kind"))
 
 
 def classify_kind_plain(spark: SparkSession, d: str) -> DataFrame:
     """The variant without the slider test and the mitigation header, counted by kind."""
-    p = _pages(spark, d).where("html is not null").withColumn("f", _final()).withColumn("s", _status())
+    p = _pages(spark, d).where("html is not null").withColumn("f", derived_final()).withColumn("s", _status())
     kind = C.fetch_kind(F.col("s"), F.col("f"), F.col("html"), F.col("ctype"), slider=False)
     return p.select(kind.alias("kind")).groupBy("kind").agg(F.count("*").alias("n"))
 
@@ -106,7 +106,7 @@ def done_definitions(spark: SparkSession, d: str) -> DataFrame:
 
 def corrective_update(spark: SparkSession, d: str) -> DataFrame:
     """Stored pages whose final address is a file become nonhtml and lose their body."""
-    p = _pages(spark, d).where("kind = 'ok'").withColumn("f", _final())
+    p = _pages(spark, d).where("kind = 'ok'").withColumn("f", derived_final())
     fixed = S.corrected(p, F.regexp_extract("f", U.URL_RX, 2).rlike(U.NON_HTML_EXT), "nonhtml")
     return fixed.groupBy("source", "kind").agg(F.count("*").alias("n"), F.count("html").alias("n_bodies"), F.count_if("corrected").alias("n_corrected"))
 

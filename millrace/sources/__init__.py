@@ -1 +1 @@
-
+"""Readers and writers for the file formats of the page store."""
