@@ -54,8 +54,8 @@ SHARE = re.compile(
 )
 RELATED_HEAD = re.compile(
     r"(?:tin mới(?: nhất)?|có thể bạn quan tâm|bài cùng chuyên mục|đọc nhiều(?: nhất)?|bài viết liên quan|tin liên quan|cùng chủ đề|xem nhiều"
-    r"|latest(?: news)?|you may also like|most read|most popular|more in this section|related (?:articles|stories|posts)|recommended(?: for you)?|trending"
-    r"|最新资讯|猜你喜欢|同类推荐|热门文章|热门推荐|相关文章|相关推荐|推荐阅读|大家都在看|最新文章|阅读排行)\W*$",
+    r"|latest(?: news)?|in this section|further reading|editor[’']?s picks|you may also like|most read|most popular|more in this section|related (?:articles|stories|posts)|recommended(?: for you)?|trending"
+    r"|最新资讯|猜你喜欢|同类推荐|热门文章|热门推荐|相关文章|相关推荐|推荐阅读|大家都在看|最新文章|阅读排行|本栏推荐|栏目推荐|精彩推荐)\W*$",
     re.I,
 )
 COMMENTS = re.compile(
@@ -148,7 +148,9 @@ def headline(page: Page) -> int:
         for i in range(n):
             if not page.linked[i] and lines[i].casefold() == core and not _inside(page, page.node[i], _NOT_HEADLINE):
                 return i
-    for want in ("h1", "big", "h2", "h3"):
+    # a title that is nothing but the site's name announces no article
+    named = not core or page.title.casefold() != f"{core} - {core}"
+    for want in ("h1", "big", "h2", "h3") if named else ("h1", "big"):
         for i in range(n):
             if page.linked[i]:
                 continue
