@@ -29,7 +29,7 @@ def stem(path_column: str = "_metadata.file_path") -> F.Column:
 
 def read_tsv(spark: SparkSession, path: str, schema: str, with_stem: str | None = None) -> DataFrame:
     """Headerless tab-separated files; ``with_stem`` adds the file's stem under that name."""
-    df = spark.read.schema(schema).option("sep", "\t").option("header", False).csv(path)
+    df = spark.read.schema(schema).option("sep", "\t").option("header", False).option("quote", '"').option("escape", '"').csv(path)
     return df.select("*", stem().alias(with_stem)) if with_stem else df
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -84,10 +85,7 @@ def catalog_entries(html: Column) -> Column:
 
 def robots_allowed(df: DataFrame, rules: str, url: str, agent: str = "*") -> DataFrame:
     """Adds ``allowed`` from each row's robots text; without rules everything is allowed."""
-    import pandas as pd
-    from pyspark.sql.functions import pandas_udf
-
-    @pandas_udf("boolean")
+    @F.pandas_udf("boolean")
     def allowed(text: pd.Series, u: pd.Series) -> pd.Series:
         from urllib.robotparser import RobotFileParser
 
