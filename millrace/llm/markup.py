@@ -81,6 +81,7 @@ _SIDE_TOKEN = re.compile(
     r"(?:^|[\s\"'=_-])(?:share|social|related|comments?|author|byline|meta|breadcrumb|path|cookie|gdpr|notice|newsletter|sidebar|right|widget|menu|nav|footer|bottom|top|copyright|colophon|ads?|box|note|more)(?=$|[\s\"'_-])",
     re.I,
 )
+_DIGIT = re.compile(r"[0-9]")
 _END = re.compile(r"[.。!?!?…:]['\")”’»]*$")
 _SIDE = frozenset("nav aside footer header form button noscript center".split())
 _ROOT = frozenset("main article section body".split())
@@ -106,7 +107,7 @@ def features(page: Page, head: int) -> np.ndarray:
     linked = np.array(page.linked, float)
     ends = np.fromiter((bool(_END.search(s)) for s in lines), float, n)
     furn = np.fromiter((bool(furniture(s)) for s in lines), float, n)
-    digits = np.fromiter((sum(c.isdigit() for c in s) for s in lines), float, n)
+    digits = np.fromiter((len(_DIGIT.findall(s)) for s in lines), float, n)
     stats = np.cumsum(np.vstack([np.zeros(6), np.column_stack([np.ones(n), size, size * linked, ends, furn, digits])]) if n else np.zeros((1, 6)), axis=0)
     first = np.concatenate([np.array(page.first), np.arange(n)]).astype(int)
     last = np.concatenate([np.array(page.last), np.arange(1, n + 1)]).astype(int)
@@ -131,16 +132,19 @@ def features(page: Page, head: int) -> np.ndarray:
             order[c] = i / k
             siblings[c] = k
             alike[c] = count[names[c]] / k
-    own = [page.tag[e] for e in page.node]
-    tags = page.tag + own
-    attrs = page.attrs + [page.attrs[e] for e in page.node]
-    up = np.array([p if p >= 0 else 0 for p in parent])
-    side_up = np.zeros(n_el + n)
-    for i in range(n_el + n):
-        t = tags[i]
-        a = attrs[i]
-        mine = t in _SIDE or bool(a and _SIDE_TOKEN.search(a))
-        side_up[i] = max(float(mine), side_up[up[i]] if parent[i] >= 0 else 0.0)
+    # what an element says of itself, then of the elements above it; a block repeats its element
+    tag_side = [t in _SIDE for t in page.tag]
+    token_side = [bool(a and _SIDE_TOKEN.search(a)) for a in page.attrs]
+    token_content = [bool(a and _CONTENT_TOKEN.search(a)) for a in page.attrs]
+    side = [False] * n_el
+    for e in range(n_el):
+        side[e] = tag_side[e] or token_side[e] or (e > 0 and side[page.parent[e]])
+    node = np.array(page.node, int)
+
+    def both(values: list) -> np.ndarray:
+        x = np.array(values, float)
+        return np.concatenate([x, x[node]]) if n else x
+
     rows = np.maximum(below[:, 0], 1)
     at = first.astype(float)
     has_head = ((first <= head) & (head < last)).astype(float) if head >= 0 else np.zeros(n_el + n)
@@ -164,13 +168,13 @@ def features(page: Page, head: int) -> np.ndarray:
         has_head,
         (at - head) / total_lines if head >= 0 else np.zeros(n_el + n),
         (first == head).astype(float),
-        np.fromiter((t in _SIDE for t in tags), float, n_el + n),
-        np.fromiter((t in _ROOT for t in tags), float, n_el + n),
-        np.fromiter((t in ("p", "li", "td", "blockquote", "figcaption", "pre") for t in tags), float, n_el + n),
-        np.fromiter((t in ("h1", "h2", "h3", "h4") for t in tags), float, n_el + n),
-        np.fromiter((bool(a and _CONTENT_TOKEN.search(a)) for a in attrs), float, n_el + n),
-        np.fromiter((bool(a and _SIDE_TOKEN.search(a)) for a in attrs), float, n_el + n),
-        side_up,
+        both(tag_side),
+        both([t in _ROOT for t in page.tag]),
+        both([t in ("p", "li", "td", "blockquote", "figcaption", "pre") for t in page.tag]),
+        both([t in ("h1", "h2", "h3", "h4") for t in page.tag]),
+        both(token_content),
+        both(token_side),
+        both(side),
         _since_closing(page, head, first),
     ])
 
@@ -306,18 +310,22 @@ def decode(page: Page, logp: np.ndarray) -> list[int]:
     parent, children = tree_of(page)
     score = logp.copy()
     score[n_el:, MIXED] = -1e9  # a block is one or the other
-    choice = np.zeros(n_el + n, int)
-    # leaves, then elements from the last one up: a child's number is above its parent's
-    for e in list(range(n_el - 1, -1, -1)):
-        for c in children[e]:
-            score[e, CONTENT] += score[c, CONTENT]
-            score[e, FURNITURE] += score[c, FURNITURE]
-            score[e, MIXED] += score[c].max()
+    rows = score.tolist()
+    # a child's number is above its parent's, so one pass upwards sums and one downwards decides
+    for e in range(n_el - 1, -1, -1):
+        c0, f0, m0 = rows[e]
+        for k in children[e]:
+            r = rows[k]
+            c0 += r[CONTENT]
+            f0 += r[FURNITURE]
+            m0 += max(r)
+        rows[e] = [c0, f0, m0]
+    choice = [MIXED] * (n_el + n)
     out = []
     for e in range(n_el + n):
-        p = parent[e]
-        above = MIXED if p < 0 else choice[p]
-        choice[e] = score[e].argmax() if above == MIXED else above
+        above = choice[parent[e]] if parent[e] >= 0 else MIXED
+        r = rows[e]
+        choice[e] = r.index(max(r)) if above == MIXED else above
         if e >= n_el and choice[e] == CONTENT:
             out.append(e - n_el)
     return out

@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -284,29 +285,42 @@ def node_classifier(pages: DataFrame) -> markup.Trees:
     return markup.fit([render(text_of(bytes(r["html"]))) for r in sample])
 
 
-def _markup_row(model: markup.Trees, with_text: bool) -> Callable[..., list[tuple]]:
-    def row(source: str, id_: int, url: str, html: str) -> list[tuple]:
-        p = render(html)
-        head, body = mainbody.with_headline(p)
-        case, h = residue.judge(p, body, head)
-        kinds: list[str] = []
-        text = None
-        if not case and markup.screened(p) and not mojibake.garbled([p.title, *p.raw])[0]:
-            blocks = markup.content_blocks(p, model)
-            kinds = markup.kinds_in([p.lines[i] for i in blocks if not markup.code_block(p, i)])
-            if kinds and with_text:
-                text = markup.clean_text([p.lines[i] for i in blocks], kinds)
-        if not kinds and (case or h is None):
-            return []
-        return [(source, id_, host_of(url) if h is not None else None, False, False, h, kinds, text)]
-
-    return row
+def _markup_row(source: str, id_: int, url: str, html: str) -> list[tuple]:
+    """(source, id, host, body hash, page, feature rows) of pages with any markup in sight or a doubtful body."""
+    p = render(html)
+    head, body = mainbody.with_headline(p)
+    case, h = residue.judge(p, body, head)
+    if case:
+        return []
+    seen = markup.screened(p) and not mojibake.garbled([p.title, *p.raw])[0]
+    if not seen and h is None:
+        return []
+    return [(source, id_, host_of(url) if h is not None else None, h, p, markup.features(p, head) if seen else None)]
 
 
 def markup_facts(pages: DataFrame, with_text: bool) -> DataFrame:
-    row = _markup_row(node_classifier(pages), with_text)
+    model = node_classifier(pages)
+
+    def finish(rows: list[tuple]) -> list[tuple]:
+        """The trees see the nodes of many pages as one matrix; decoding is by page."""
+        have = [r[5] for r in rows if r[5] is not None]
+        logp = model.log_probabilities(np.vstack(have)) if have else None
+        out, at = [], 0
+        for source, id_, host, h, p, x in rows:
+            kinds: list[str] = []
+            text = None
+            if x is not None:
+                blocks = markup.decode(p, logp[at : at + len(x)])
+                at += len(x)
+                kinds = markup.kinds_in([p.lines[i] for i in blocks if not markup.code_block(p, i)])
+                if kinds and with_text:
+                    text = markup.clean_text([p.lines[i] for i in blocks], kinds)
+            if kinds or h is not None:
+                out.append((source, id_, host, False, False, h, kinds, text))
+        return out
+
     schema = FACTS + ", kinds array<string>, text string"
-    return without_messages(stage(map_pages(stored(pages, "source", "id", "url"), row, schema, 3), "markup"))
+    return without_messages(stage(map_pages(stored(pages, "source", "id", "url"), _markup_row, schema, 3, finish), "markup"))
 
 
 def markup_pages(pages: DataFrame) -> DataFrame:
