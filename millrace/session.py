@@ -48,9 +48,9 @@ def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataF
 
 
 def ship(spark: SparkSession) -> None:
-    """Give executors this package where they do not share the driver's files."""
+    """Give Python workers this package, wherever they run and the driver was started."""
     sc = spark.sparkContext
-    if sc.master.startswith("local[") or sc.master == "local" or sc.applicationId in _shipped:
+    if sc.applicationId in _shipped:
         return
     _shipped.add(sc.applicationId)
     root = os.path.dirname(os.path.abspath(__file__))

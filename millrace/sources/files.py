@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 CAPTURES = "ts string, original string"
 RECORDS = "url string, ts string, filename string, offset long, length long, host string"
 ALTERNATES = "corpus_url string, archived_url string, method string"
@@ -68,6 +70,8 @@ def read_lenient_text(spark: SparkSession, path: str) -> DataFrame:
 
     import pyarrow as pa
 
+    ship(spark)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             text = [None if c is None else c.decode("utf-8", "ignore") for c in b.column(1).to_pylist()]

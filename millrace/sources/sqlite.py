@@ -11,6 +11,8 @@ from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 from pyspark.sql.types import StructType
 
+from ..session import ship
+
 COLUMNS = "id long, url string, final_url string, status int, kind string, ctype string, nbytes long, fetched_at double, attempts int, err string, html binary"
 
 
@@ -72,5 +74,6 @@ class SqliteStore(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    ship(spark)
     spark.dataSource.register(SqliteStore)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
