@@ -133,10 +133,16 @@ def page_facts(p: Page) -> tuple[bool, bool, int | None, int, list[int]]:
     """(garbled, residue by local rules, hash of a short doubtful body, headline, main blocks)."""
     head, body = mainbody.with_headline(p)
     bad, _ = mojibake.garbled([p.title, *p.raw])
-    case, h = residue.judge(p, body, head)
+    case, h = _judged(p, body, head)
     return bad, case, h, head, body
 
 
+def _judged(p: Page, body: list[int], head: int) -> tuple[bool, int | None]:
+    """(a case whatever other pages say, masked hash of a body that must recur)."""
+    kind, text = residue.judge(p, body, head)
+    return kind in residue.SURE, residue.mask_hash(residue.mask(text)) if kind == "doubtful" else None
+
+
 def recurring_messages(facts: DataFrame, min_hosts: int = MIN_HOSTS) -> DataFrame:
     """Masked hashes of short message-like bodies that recur on ``min_hosts`` hosts or more.
 
@@ -154,24 +160,46 @@ def recurring_messages(facts: DataFrame, min_hosts: int = MIN_HOSTS) -> DataFram
     )
 
 
-def residue_pages(facts: DataFrame) -> DataFrame:
-    """``source, id`` of pages whose main body is or contains residue, from staged facts."""
-    local = facts.where("residue").select("source", "id")
-    doubtful = facts.where("not residue and body_hash is not null").select("source", "id", "body_hash")
-    wide = doubtful.join(recurring_messages(facts), "body_hash", "left_semi").select("source", "id")
-    return local.unionByName(wide).distinct()
+MESSAGES = "source string, id long, host string, hash long, kind string, text string"
 
 
 def message_facts(pages: DataFrame) -> DataFrame:
-    """Facts of each stored page row for the residue operator, staged."""
+    """One row per page row with residue or a doubtful body: the masked text's hash, its class and a sample; staged."""
 
     def row(source: str, id_: int, url: str, html: str) -> list[tuple]:
         p = render(html)
         head, body = mainbody.with_headline(p)
-        case, h = residue.judge(p, body, head)
-        return [(source, id_, host_of(url), False, True, None)] if case else [(source, id_, host_of(url), False, False, h)] if h is not None else []
+        kind, text = residue.judge(p, body, head)
+        return [(source, id_, host_of(url), residue.mask_hash(residue.mask(text)), kind, text[:300])] if kind else []
+
+    return stage(map_pages(stored(pages, "source", "id", "url"), row, MESSAGES, 3), "residue")
+
+
+def messages(facts: DataFrame, min_hosts: int = MIN_HOSTS) -> DataFrame:
+    """``hash, kind, n_hosts, n_pages, sample, is_residue``: exact groups of masked texts across hosts.
 
-    return stage(map_pages(stored(pages, "source", "id", "url"), row, FACTS, 3), "residue")
+    A group is residue if a rule is sure of it or if it recurs on ``min_hosts``
+    hosts. (hash, host) pairs are pre-aggregated, so a host that shows one
+    message a million times sends one row per input split.
+    """
+    by_host = facts.groupBy("hash", "host").agg(F.min("kind").alias("kind"), F.count("*").alias("n"), F.min("text").alias("sample"))
+    return (
+        by_host.groupBy("hash")
+        .agg(
+            F.max(F.col("kind").isin(*sorted(residue.SURE))).alias("sure"),
+            F.min("kind").alias("kind"),
+            F.count("*").alias("n_hosts"),
+            F.sum("n").alias("n_pages"),
+            F.min("sample").alias("sample"),
+        )
+        .select("hash", "kind", "n_hosts", "n_pages", "sample", (F.col("sure") | (F.col("n_hosts") >= min_hosts)).alias("is_residue"))
+    )
+
+
+def residue_pages(facts: DataFrame) -> DataFrame:
+    """``source, id`` of pages whose main body is or contains residue, from staged facts."""
+    groups = messages(facts).where("is_residue").select("hash")
+    return facts.select("source", "id", "hash").join(groups, "hash", "left_semi").select("source", "id").distinct()
 
 
 # ---------------------------------------------------------------- problem 4
@@ -289,7 +317,7 @@ def _markup_row(source: str, id_: int, url: str, html: str) -> list[tuple]:
     """(source, id, host, body hash, page, feature rows) of pages with any markup in sight or a doubtful body."""
     p = render(html)
     head, body = mainbody.with_headline(p)
-    case, h = residue.judge(p, body, head)
+    case, h = _judged(p, body, head)
     if case:
         return []
     seen = markup.screened(p) and not mojibake.garbled([p.title, *p.raw])[0]

@@ -150,56 +150,66 @@ def message_line(line: str) -> bool:
     return len(line) <= 200 and bool(ERROR.match(line) or SCRIPTS.match(line))
 
 
-def _unfinished(page: Page, body: list[int]) -> bool:
-    """Placeholders or filler in any block of the body."""
+def _unfinished(page: Page, body: list[int]) -> tuple[str, str]:
+    """(class, text) of the first block of the body with a placeholder or filler."""
     lines = page.lines
     joined = "\n".join([lines[i] for i in body])
     if any(map(joined.__contains__, _QUICK)) or ("%" in joined or "[" in joined) and _QUICK_RX.search(joined) or _EMPTY_RX.search(f"\n{joined}\n"):
         for i in body:
             if has_placeholder(lines[i]) and not _code(page, i):
-                return True
+                return "placeholder", lines[i]
     low = joined.lower()
     if any(map(low.__contains__, _FILLER_HINTS)):
         for i in body:
             s = lines[i]
             if len(s) < 4000 and is_filler(s) and not _code(page, i):
-                return True
-    return False
+                return "filler", s
+    return "", ""
+
 
+#: Classes that make a page a case however often their text occurs.
+SURE = frozenset(["placeholder", "filler", "message"])
 
-def judge(page: Page, body: list[int], head: int) -> tuple[bool, int | None]:
-    """(case by local rules, masked hash of a short body or ``None``).
 
-    ``body`` are the main blocks of the page, ``head`` its headline or -1.
+def judge(page: Page, body: list[int], head: int) -> tuple[str, str]:
+    """(class of residue, the text that shows it); ``("", "")`` for a sound page.
+
+    Classes are those of :data:`SURE` and ``doubtful``: a short body worded
+    like a message that must recur to be one. ``body`` are the main blocks of
+    the page, ``head`` its headline or -1.
     """
     lines = page.lines
-    if body and _unfinished(page, body):
-        return True, None
+    if body:
+        found = _unfinished(page, body)
+        if found[0]:
+            return found
     if head < 0:
         # no article: whatever visible text is not worded like furniture
         rest = [i for i in range(len(lines)) if not page.linked[i] and not furniture(lines[i])]
-        if any(message_line(lines[i]) for i in rest):
-            return True, None
+        for i in rest:
+            if message_line(lines[i]):
+                return "message", lines[i]
         if not body:
             body = rest
-            if body and len(body) <= SHORT_BODY and _unfinished(page, body):
-                return True, None
+            if body and len(body) <= SHORT_BODY:
+                found = _unfinished(page, body)
+                if found[0]:
+                    return found
     if not body:
-        return False, None
+        return "", ""
+    joined = "\n".join([lines[i] for i in body])
     if len(body) > SHORT_BODY:
-        low = "\n".join([lines[i] for i in body])
-        if not _TRACE_HINT.search(low):
-            return False, None
-        return any(len(lines[i]) <= 200 and _TRACE.match(lines[i]) and not _code(page, i) for i in body), None
+        if _TRACE_HINT.search(joined):
+            for i in body:
+                if len(lines[i]) <= 200 and _TRACE.match(lines[i]) and not _code(page, i):
+                    return "message", lines[i]
+        return "", ""
     messages = sum(message_line(lines[i]) for i in body)
     if messages * 2 >= len(body):
-        return True, None
-    size = sum(len(lines[i]) for i in body)
-    if size <= 240 and len(body) <= 3:
-        joined = "\n".join([lines[i] for i in body])
-        if WEAK.search(joined):
-            return False, mask_hash(mask(joined))
-    return False, None
+        return "message", joined
+    if len(joined) <= 240 and len(body) <= 3 and WEAK.search(joined):
+        return "doubtful", joined
+    return "", ""
 
 
 #: Program output that is residue wherever it stands.

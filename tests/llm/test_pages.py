@@ -81,7 +81,7 @@ def test_lost_characters():
 def judge(body_html, title="A long walk - Site"):
     p = H.render(article(body_html, title))
     head, body = B.with_headline(p)
-    return X.judge(p, body, head)[0]
+    return X.judge(p, body, head)[0] in X.SURE
 
 
 @pytest.mark.parametrize(
@@ -106,10 +106,10 @@ def test_no_residue(text):
 def test_message_bodies(text):
     p = H.render(f"<html><head><title>Site - Site</title></head><body><nav><a>Home</a></nav><div><h1>{text}</h1></div><footer>© 2020 Site</footer></body></html>")
     head, body = B.with_headline(p)
-    assert X.judge(p, body, head)[0]
+    assert X.judge(p, body, head)[0] == "message"
     q = H.render(f"<html><head><title>Site - Site</title></head><body><noscript>{text}</noscript></body></html>")
     if "JavaScript" in text:
-        assert X.judge(q, *reversed(B.with_headline(q)))[0]
+        assert X.judge(q, *reversed(B.with_headline(q)))[0] == "message"
 
 
 def test_recurring_messages(spark):
