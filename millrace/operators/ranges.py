@@ -1,8 +1,11 @@
 """Pruning a sorted index by key ranges.
 
 A block starts at its first key and ends before the next block's; a prefix
-covers ``[p, p + 0xff)``. Both sides are cut into cells by the key's host root,
-so overlap is tested within a cell only: no block is compared with every range.
+covers ``[p, p + 0xff)``. The blocks that overlap a prefix are those that start
+inside it, found by an equi-join on the part of the key a prefix fixes, and the
+one before them, found in the merged sort order: no block is compared with
+every range. Orders are total over even range partitions, so a host with a
+third of all keys spreads over a third of them.
 """
 
 from __future__ import annotations
@@ -10,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stage
+
 #: Sorts after every key.
 AFTER = "￿"
 
@@ -20,7 +25,7 @@ def blocks(keys: DataFrame, key: str = "key", size: int = 10) -> DataFrame:
     The order is total over the index, so ranks are taken in two steps: range
     partitions sorted in parallel, offset by the counts of those before.
     """
-    spread = keys.select(key).repartitionByRange(F.col(key)).sortWithinPartitions(key).withColumn("_p", F.spark_partition_id())
+    spread = stage(keys.select(key).repartitionByRange(F.col(key)).withColumn("_p", F.spark_partition_id()), "keys")
     counts = spread.groupBy("_p").agg(F.count("*").alias("_c"))
     offsets = counts.select("_p", (F.sum("_c").over(Window.orderBy("_p")) - F.col("_c")).alias("_o"))  # a row per partition
     ranked = spread.withColumn("_r", F.row_number().over(Window.partitionBy("_p").orderBy(key))).join(F.broadcast(offsets), "_p")
@@ -39,41 +44,38 @@ def root_of(key):
 
 
 def overlapping(index: DataFrame, prefixes: DataFrame) -> DataFrame:
-    """Blocks that overlap any prefix range, each once.
-
-    Blocks inside one host meet the prefixes of that host by an equi-join;
-    blocks that span hosts (a few per host border) are tested against the
-    prefixes between their ends after both are cut to their first label.
-    """
-    hit = (F.col("first_key") < F.concat("prefix", F.lit(AFTER))) & (F.col("next_key") > F.col("prefix"))
-    cells = index.withColumn("root", root_of(F.col("first_key"))).withColumn("root_to", root_of(F.col("next_key")))
-    p = prefixes.select("prefix", root_of(F.col("prefix")).alias("p_root")).distinct()
-    starts = cells.join(p, F.col("root") == F.col("p_root")).where(hit)
-    ends = cells.where("root <> root_to").join(p, F.col("root_to") == F.col("p_root")).where(hit)
-    roots = p.select("p_root").distinct()
-    between = (
-        cells.where("root <> root_to")
-        .join(roots.select(F.col("p_root").alias("r")), (F.col("r") > F.col("root")) & (F.col("r") < F.col("root_to")))
-        .join(p, F.col("r") == F.col("p_root"))
-        .where(hit)
-    )
+    """Blocks that overlap any prefix range, each once."""
+    p = prefixes.select("prefix").distinct()
     columns = ["block", "first_key", "next_key"]
-    return starts.select(columns).union(ends.select(columns)).union(between.select(columns)).distinct()
+    inside = F.startswith(F.col("first_key"), F.col("prefix"))
+    # a prefix with a whole host root meets the blocks of that root ...
+    rooted = p.where(F.contains("prefix", F.lit(")"))).withColumn("root", root_of(F.col("prefix")))
+    starts = index.withColumn("root", root_of(F.col("first_key"))).join(rooted, "root").where(inside).select(columns)
+    # ... one that ends within the root meets them by the labels it fixes
+    short = p.where(~F.contains("prefix", F.lit(")"))).withColumn("cut", F.substring("prefix", 1, SHORT))
+    wide = index.withColumn("cut", F.explode(F.transform(F.sequence(F.lit(0), F.lit(SHORT)), lambda n: F.substring("first_key", F.lit(1), n))))
+    starts = starts.union(wide.dropDuplicates(["block", "cut"]).join(short, "cut").where(inside).select(columns))
+    before = predecessor(index, p.select(F.col("prefix").alias("probe"))).select("block").distinct()
+    return starts.union(index.join(before, "block", "left_semi").select(columns)).distinct()
+
+
+#: Characters by which prefixes that end within a host root are matched first.
+SHORT = 8
 
 
 def predecessor(index: DataFrame, probes: DataFrame) -> DataFrame:
     """For each probe the last block whose first key is not above it (backward as-of).
 
-    Blocks and probes are merged into one sorted sequence per root and the last
-    block is carried forward; a probe before its root's first block takes the
-    last block of the roots before.
+    Blocks and probes are merged into one sort order over even range partitions;
+    the last block is carried forward inside a partition, and from the
+    partitions before by one row each.
     """
-    both = index.select(root_of(F.col("first_key")).alias("root"), F.col("first_key").alias("k"), "block", F.lit(0).alias("side"), F.lit(None).cast("string").alias("probe")).unionByName(
-        probes.select(root_of(F.col("probe")).alias("root"), F.col("probe").alias("k"), F.lit(None).cast("long").alias("block"), F.lit(1).alias("side"), "probe")
+    both = index.select(F.col("first_key").alias("k"), F.lit(0).alias("side"), "block", F.lit(None).cast("string").alias("probe")).unionByName(
+        probes.select(F.col("probe").alias("k"), F.lit(1).alias("side"), F.lit(None).cast("long").alias("block"), "probe")
     )
-    w = Window.partitionBy("root").orderBy("k", "side").rowsBetween(Window.unboundedPreceding, 0)
-    carried = both.withColumn("found", F.last("block", ignorenulls=True).over(w))
-    # a row per root: the last block of the roots before
-    ends = both.groupBy("root").agg(F.max("block").alias("m"))
-    lastly = ends.select("root", F.max("m").over(Window.orderBy("root").rowsBetween(Window.unboundedPreceding, -1)).alias("earlier"))
-    return carried.where("side = 1").join(lastly, "root").select("probe", F.coalesce("found", "earlier").alias("block"))
+    spread = stage(both.repartitionByRange(F.col("k"), F.col("side")).withColumn("_p", F.spark_partition_id()), "merged")
+    w = Window.partitionBy("_p").orderBy("k", "side").rowsBetween(Window.unboundedPreceding, 0)
+    carried = spread.withColumn("found", F.last("block", ignorenulls=True).over(w)).where("side = 1")
+    ends = spread.groupBy("_p").agg(F.max("block").alias("m"))
+    earlier = ends.select("_p", F.max("m").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)).alias("earlier"))  # a row per partition
+    return carried.join(F.broadcast(earlier), "_p").select("probe", F.coalesce("found", "earlier").alias("block"))

@@ -5,23 +5,67 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stage
+
+
+def segmented(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...]) -> DataFrame:
+    """The frame in total order of key and row, cut into even range partitions and staged with their number ``_p``.
+
+    A key that holds a third of all rows spreads over a third of the
+    partitions; what a partition needs to know of those before it is one row
+    per (partition, key). Partition numbers are stored, so every later pass and
+    every retry sees the same cut. Rows that tie in ``order`` may stand in
+    either partition; give a total order.
+    """
+    spread = df.repartitionByRange(*[F.col(c) for c in (*keys, *order)]).withColumn("_p", F.spark_partition_id())
+    return stage(spread, "segments")
+
+
+def _local(keys: tuple[str, ...], order: tuple[str, ...]):
+    return Window.partitionBy("_p", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+
+
+def _before(summary: DataFrame, keys: tuple[str, ...], column: str) -> DataFrame:
+    """Sum of a summary's column over the earlier partitions of the same key."""
+    w = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    return summary.select("_p", *keys, F.coalesce(F.sum(column).over(w), F.lit(0)).alias("_before"))
+
 
 def runs(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], flag: Column) -> DataFrame:
-    """Length so far of the run of true flags that each row ends (0 on false)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    up_to = w.rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        df.withColumn("_f", flag.cast("int"))
-        .withColumn("_island", F.sum(1 - F.col("_f")).over(up_to))
-        .withColumn("run", F.sum("_f").over(Window.partitionBy(*keys, "_island").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
-        .drop("_f", "_island")
+    """Length so far of the run of true flags that each row ends (0 on false).
+
+    Runs are counted inside range partitions; the run a partition starts in
+    the middle of is carried over from the partitions before.
+    """
+    seg = segmented(df.withColumn("_f", flag.cast("int")), keys, order)
+    w = _local(keys, order)
+    local = seg.withColumn("_n", F.count("*").over(w)).withColumn("_island", F.sum(1 - F.col("_f")).over(w))
+    in_island = Window.partitionBy("_p", *keys, "_island").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = local.withColumn("_run", F.sum("_f").over(in_island))
+    # of each partition and key: its rows, whether all are true, and the run it ends with
+    summary = local.groupBy("_p", *keys).agg(
+        F.max("_n").alias("_rows"), (F.min("_f") == 1).alias("_all"), F.max_by("_run", "_n").alias("_tail")
+    )
+    by_key = Window.partitionBy(*keys).orderBy("_p")
+    chained = summary.withColumn("_g", F.sum((~F.col("_all")).cast("int")).over(by_key)).withColumn(
+        "_after", F.sum(F.when(F.col("_all"), F.col("_rows")).otherwise(F.col("_tail"))).over(Window.partitionBy(*keys, "_g").orderBy("_p"))
     )
+    carried = chained.select("_p", *keys, F.coalesce(F.lag("_after").over(by_key), F.lit(0)).alias("_carry"))
+    whole = (F.col("_f") == 1) & (F.col("_run") == F.col("_n"))  # true since the partition began
+    out = local.join(carried, ["_p", *keys]).withColumn("run", F.col("_run") + F.when(whole, F.col("_carry")).otherwise(0))
+    return out.drop("_p", "_f", "_n", "_island", "_run", "_carry")
 
 
 def batches(df: DataFrame, order: tuple[str, ...], size: int, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Fixed-size batches in order within each key."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("batch", F.floor((F.row_number().over(w) - 1) / size).cast("long"))
+    """Fixed-size batches in order within each key: row numbers of a partition plus the rows before it."""
+    given = keys
+    if not keys:
+        df, keys = df.withColumn("_all", F.lit(0)), ("_all",)
+    seg = segmented(df, keys, order)
+    before = _before(seg.groupBy("_p", *keys).agg(F.count("*").alias("_c")), keys, "_c")
+    numbered = seg.withColumn("_n", F.row_number().over(Window.partitionBy("_p", *keys).orderBy(*order))).join(before, ["_p", *keys])
+    out = numbered.withColumn("batch", F.floor((F.col("_n") + F.col("_before") - 1) / size).cast("long")).drop("_p", "_n", "_before")
+    return out if given else out.drop("_all")
 
 
 def deltas(df: DataFrame, keys: tuple[str, ...], at: str, total: str) -> DataFrame:
@@ -34,10 +78,17 @@ def deltas(df: DataFrame, keys: tuple[str, ...], at: str, total: str) -> DataFra
 
 def running_share(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], amount: str) -> DataFrame:
     """Share of the key's total that stands before each row."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    done = F.coalesce(F.sum(amount).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    all_ = F.sum(amount).over(Window.partitionBy(*keys))
-    return df.withColumn("done_before", done.cast("long")).withColumn("share_before", F.when(all_ > 0, F.round(done / all_, 6)))
+    seg = segmented(df, keys, order)
+    sums = seg.groupBy("_p", *keys).agg(F.sum(amount).alias("_s"))
+    before = _before(sums, keys, "_s")
+    total = sums.groupBy(*keys).agg(F.sum("_s").alias("_total"))
+    out = seg.withColumn("_r", F.sum(amount).over(_local(keys, order))).join(before, ["_p", *keys]).join(total, list(keys))
+    done = F.col("_before") + F.col("_r") - F.col(amount)
+    return (
+        out.withColumn("done_before", done.cast("long"))
+        .withColumn("share_before", F.when(F.col("_total") > 0, F.round(done / F.col("_total"), 6)))
+        .drop("_p", "_r", "_before", "_total")
+    )
 
 
 def per_key(df: DataFrame, keys: tuple[str, ...], order: tuple[Column | str, ...], n: int) -> DataFrame:

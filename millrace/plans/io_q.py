@@ -125,7 +125,7 @@ def sqlite_scan(spark: SparkSession, d: str) -> DataFrame:
 def xml_slice(spark: SparkSession, d: str) -> DataFrame:
     """Batches of 20 records as one text, sliced into records again; records asked for and not returned stay out."""
     rec = F.concat(F.lit('<PubmedArticle><PMID Version="1">'), F.col("id").cast("string"), F.lit("</PMID><T>"), U.hostname("url"), F.lit("</T></PubmedArticle>"))
-    c = table(spark, d, "corpus").select((F.col("id") % 1009).alias("batch"), F.when(F.col("id") % 10 != 3, rec).alias("r"))
+    c = table(spark, d, "corpus").select(F.floor(F.col("id") / 20).cast("long").alias("batch"), F.when(F.col("id") % 10 != 3, rec).alias("r"))
     text = c.groupBy("batch").agg(F.concat_ws("\n", F.collect_list("r")).alias("t"))
     return text.select("batch", F.explode(records.xml_records(F.col("t"))).alias("x")).select("batch", F.col("x.number").alias("number"), F.length("x.record").cast("long").alias("n_chars"))
 
@@ -135,7 +135,7 @@ def index_parse(spark: SparkSession, d: str) -> DataFrame:
     i = F.col("id")
     href = F.when(i % 5 == 0, F.concat(F.lit("/quanben"), i.cast("string"), F.lit(".html"))).otherwise(F.concat(F.lit("/c/"), i.cast("string"), F.lit(".html")))
     li = F.concat(F.lit('<li id="si'), i.cast("string"), F.lit('"><a href="'), href, F.lit('">x</a>'))
-    books = table(spark, d, "corpus").select((i % 211).alias("book"), "id", li.alias("li")).groupBy("book").agg(
+    books = table(spark, d, "corpus").select(F.floor(i / 50).cast("long").alias("book"), "id", li.alias("li")).groupBy("book").agg(
         F.concat(F.lit('<ul id="catalog-content">'), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "li"))), lambda x: x.li), ""), F.lit("</ul>")).alias("html")
     )
     return books.select("book", F.explode(records.catalog_entries(F.col("html"))).alias("e")).select("book", "e.si", "e.href")
@@ -216,9 +216,9 @@ SQL = {
     "warc_parse": "SELECT source, trim(coalesce(ctype, '')) AS ctype, count(*) AS n, CAST(sum(octet_length(html)) AS BIGINT) AS n_bytes FROM pages WHERE html IS NOT NULL GROUP BY 1, 2",
     "sqlite_scan": """SELECT source, kind, count(*) AS n, CAST(sum(nbytes) AS BIGINT) AS n_bytes, max(attempts) AS attempts FROM pages
         WHERE kind IN ('ok', 'home', 'notfound') AND source = 'db' GROUP BY 1, 2""",
-    "xml_slice": f"""SELECT id % 1009 AS batch, CAST(id AS VARCHAR) AS number,
+    "xml_slice": f"""SELECT id // 20 AS batch, CAST(id AS VARCHAR) AS number,
         CAST(length('<PubmedArticle><PMID Version="1">' || id || '</PMID><T>' || {Q.hostname('url')} || '</T></PubmedArticle>') AS BIGINT) AS n_chars FROM corpus WHERE id % 10 <> 3""",
-    "index_parse": "SELECT id % 211 AS book, id AS si, CASE WHEN id % 5 <> 0 THEN '/c/' || id || '.html' END AS href FROM corpus",
+    "index_parse": "SELECT id // 50 AS book, id AS si, CASE WHEN id % 5 <> 0 THEN '/c/' || id || '.html' END AS href FROM corpus",
     "status_explode": """SELECT host AS name, count(*) AS queue, max(kind = 'captcha') AS disabled, max(attempts) AS strikes,
         CAST(sum(CASE WHEN kind = 'blocked' THEN 60 ELSE 0 END) AS BIGINT) AS paused_for, CAST(max(kind = 'captcha') AS INT) AS n_dead FROM pages GROUP BY host""",
     "minute_stream": "SELECT CAST(epoch(date_trunc('minute', ts)) AS BIGINT) AS minute, event_type, count(*) AS n FROM events GROUP BY 1, 2",

@@ -92,9 +92,9 @@ def missing_reason_mode(spark: SparkSession, d: str) -> DataFrame:
 
 
 def missing_listing(spark: SparkSession, d: str) -> DataFrame:
-    """The report's listing per host and reason: a line per page, in id order."""
+    """The report's listing per host and reason: a line per page, in id order, in parts of at most 1,000 ids."""
     line = F.struct("id", F.concat_ws("\t", F.col("id").cast("string"), "url").alias("l"))
-    return table(spark, d, "missing").groupBy("host", "reason").agg(F.array_join(F.transform(F.array_sort(F.collect_list(line)), lambda x: x.l), "\n").alias("listing"))
+    return table(spark, d, "missing").groupBy("host", "reason", F.floor(F.col("id") / 1000).cast("long").alias("part")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(line)), lambda x: x.l), "\n").alias("listing"))
 
 
 def _moved(spark: SparkSession, d: str) -> DataFrame:
@@ -280,7 +280,7 @@ SQL = {
     "missing_export": _MISS,
     "missing_reasons": f"SELECT reason, count(*) AS n, count(DISTINCT host) AS n_hosts FROM ({_MISS}) GROUP BY 1",
     "missing_reason_mode": "SELECT host, reason, count(*) AS n FROM missing GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY host ORDER BY count(*) DESC, reason) = 1",
-    "missing_listing": "SELECT host, reason, string_agg(id || chr(9) || url, chr(10) ORDER BY id, url) AS listing FROM missing GROUP BY 1, 2",
+    "missing_listing": "SELECT host, reason, id // 1000 AS part, string_agg(id || chr(9) || url, chr(10) ORDER BY id, url) AS listing FROM missing GROUP BY 1, 2, 3",
     "redirected_pages": f"SELECT source, id, min(redirect) AS redirect FROM {_RED} WHERE redirect IS NOT NULL GROUP BY 1, 2",
     "redirect_pivot": "SELECT host, " + ", ".join(f"count(*) FILTER (WHERE redirect = '{k}') AS {k}" for k in R.REDIRECTS) + f" FROM {_RED} WHERE redirect IS NOT NULL GROUP BY 1",
     "progress_pivot": _PROG,

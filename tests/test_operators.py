@@ -92,7 +92,7 @@ def test_ranges(spark):
     idx = ranges.blocks(df, size=4)
     blocks = sorted((x["block"], x["first_key"], x["next_key"]) for x in idx.collect())
     assert [b[1] for b in blocks] == keys[::4] and [b[2] for b in blocks] == [*keys[4::4], ranges.AFTER]
-    prefixes = ["a)/", "x,m)/", "x,m)/5", "y,z)/", "zz)/", keys[8], "y,n)/"]
+    prefixes = ["a)/", "x,m)/", "x,m)/5", "y,z)/", "zz)/", keys[8], "y,n)/", "z,", "y"]
     p = spark.createDataFrame([(x,) for x in prefixes], "prefix string")
     want = {b for b, f, n in blocks if any(f < q + ranges.AFTER and n > q for q in prefixes)}
     assert {x["block"] for x in ranges.overlapping(idx, p).collect()} == want
@@ -109,6 +109,42 @@ def test_align(spark):
     assert got["even"]["status"] == "ambiguous" and got["noise"]["status"] == "rejected" and got["none"]["status"] == "rejected" and got["lost"]["status"] == "no index"
 
 
+def test_shift_hits_against_all_pairs():
+    import numpy as np
+
+    r = random.Random(8)
+    for _ in range(60):
+        content = np.array(sorted(r.sample(range(-50, 200), r.randint(1, 60))))
+        ids = np.array(sorted(r.sample(range(0, 300), r.randint(1, 60))))
+        for span in (1 << 22, 0):
+            align.MAX_SPAN, old = span, align.MAX_SPAN
+            shifts, hits = align.shift_hits(content, ids)
+            align.MAX_SPAN = old
+            assert hits.tolist() == [sum(int(i - k) in set(content.tolist()) for i in ids) for k in shifts]
+
+
+def test_windows_across_partitions(spark):
+    """A key over many range partitions gives what one sequential pass gives."""
+    r = random.Random(6)
+    rows = [("hot" if r.random() < 0.8 else r.choice("ab"), i, r.random() < 0.93, r.randint(0, 9)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "h string, i int, f boolean, v int")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {x["i"]: x["run"] for x in windows.runs(df, ("h",), ("i",), F.col("f")).collect()}
+        batch = {x["i"]: x["batch"] for x in windows.batches(df, ("i",), 7, ("h",)).collect()}
+        share = {x["i"]: x["done_before"] for x in windows.running_share(df, ("h",), ("i",), "v").collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    run, n, done = {}, {}, {}
+    for h, i, f, v in rows:
+        run[h] = run.get(h, 0) + 1 if f else 0
+        assert got[i] == run[h] and batch[i] == n.get(h, 0) // 7 and share[i] == done.get(h, 0)
+        n[h] = n.get(h, 0) + 1
+        done[h] = done.get(h, 0) + v
+
+
 def test_windows(spark):
     flags = [1] * 9 + [0] + [1] * 10 + [0] + [1] * 11
     df = spark.createDataFrame([("h", i, bool(f)) for i, f in enumerate(flags)], "h string, i int, f boolean")
