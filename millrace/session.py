@@ -67,4 +67,14 @@ def ship(spark: SparkSession) -> None:
 
 def splits(df: DataFrame) -> int:
     """Number of input splits of a frame that was just read."""
-    return df.rdd.getNumPartitions()
+    return df._jdf.queryExecution().toRdd().getNumPartitions()
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A frame with work for every core before a step that is dear per row.
+
+    An input of fewer splits than cores (a file that cannot be split) is hashed
+    over them by an id; any other input stays where it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if splits(df) < cores else df
