@@ -195,46 +195,84 @@ class Assignment:
         return out
 
 
-def pieces(items: DataFrame, capacity: int, key: str, size: str) -> DataFrame:
-    """``item, piece, size``: items above the capacity cut into full pieces and a rest."""
-    s = F.coalesce(F.col(size).cast("long"), F.lit(0))
-    n = F.greatest(F.ceil(s / capacity), F.lit(1))
-    return items.select(F.col(key).alias("item"), s.alias("_size"), F.explode(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1)).alias("piece")).select(
-        "item", F.col("piece").cast("int").alias("piece"), F.least(F.lit(capacity).cast("long"), F.col("_size") - F.col("piece") * capacity).alias("size")
+def pieces(items: DataFrame, windows: list[tuple[str, int]], key: str, size: str) -> DataFrame:
+    """``w, item, piece, size``: every item for every window; items above a capacity cut into full pieces and a rest."""
+    caps = F.array(*[F.struct(F.lit(i).alias("w"), F.lit(cap).cast("long").alias("cap")) for i, (_, cap) in enumerate(windows)])
+    rows = items.select(F.col(key).alias("item"), F.coalesce(F.col(size).cast("long"), F.lit(0).cast("long")).alias("_size"), F.explode(caps).alias("_w"))
+    n = F.greatest(F.ceil(F.col("_size") / F.col("_w.cap")), F.lit(1)).cast("long")
+    return rows.select("_w", "item", "_size", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)).alias("_k")).select(
+        F.col("_w.w").alias("w"), "item", F.col("_k").cast("int").alias("piece"), F.least(F.col("_w.cap"), F.col("_size") - F.col("_k") * F.col("_w.cap")).alias("size")
     )
 
 
-def pack(items: DataFrame, capacity: int, key: str = "doc_id", size: str = "n_tokens", splits: int = 0) -> DataFrame:
-    """``item, piece, size, container`` of every item.
+def pack_windows(items: DataFrame, windows: list[tuple[str, int]], key: str = "doc_id", size: str = "n_tokens", splits: int = 0) -> DataFrame:
+    """``window_name, item, piece, size, container`` of every item for every (name, capacity).
 
-    ``items`` is read twice, so give it staged. Containers are numbered from 1;
-    container 0 holds the items of size 0.
+    ``items`` is read twice, so give it staged. Containers are numbered from 1
+    in each window; container 0 holds the items of size 0.
     """
     spark = items.sparkSession
     ship(spark)
     splits = splits or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    parts = pieces(items, capacity, key, size).withColumn("split", F.pmod(F.xxhash64("item", "piece"), F.lit(splits)).cast("int"))
-    # at most splits * capacity rows, whatever the number of items
-    per_split = stage(parts.groupBy("split", "size").agg(F.count("*").alias("n")), "sizes")
-    histogram = {r["size"]: r["n"] for r in per_split.groupBy("size").agg(F.sum("n").alias("n")).collect()}  # at most capacity + 1 rows
-    plan = recipe(histogram, capacity)
-    placed = Assignment(plan, 1)
+    parts = pieces(items, windows, key, size).withColumn("split", F.pmod(F.xxhash64("item", "piece"), F.lit(splits)).cast("int"))
+    # at most splits * capacity rows a window, whatever the number of items
+    per_split = stage(parts.groupBy("w", "split", "size").agg(F.count("*").alias("n")), "sizes")
+    histograms: list[dict[int, int]] = [{} for _ in windows]
+    for r in per_split.groupBy("w", "size").agg(F.sum("n").alias("n")).collect():  # at most capacity + 1 rows a window
+        histograms[r["w"]][r["size"]] = r["n"]
+    placed = [Assignment(recipe(h, cap), 1) for h, (_, cap) in zip(histograms, windows)]
     offsets = per_split.select(
-        "split", "size", (F.sum("n").over(Window.partitionBy("size").orderBy("split")) - F.col("n")).alias("offset")
+        "w", "split", "size", (F.sum("n").over(Window.partitionBy("w", "size").orderBy("split")) - F.col("n")).alias("offset")
+    )
+    ordinal = F.row_number().over(Window.partitionBy("w", "split", "size").orderBy("item", "piece")) - 1
+    numbered = (
+        parts.withColumn("k", ordinal)
+        .join(offsets, ["w", "split", "size"])
+        .select("w", "item", "piece", "size", (F.col("k") + F.col("offset")).cast("long").alias("k"))
     )
-    ordinal = F.row_number().over(Window.partitionBy("split", "size").orderBy("item", "piece")) - 1
-    numbered = parts.withColumn("k", ordinal).join(offsets, ["split", "size"]).select("item", "piece", "size", (F.col("k") + F.col("offset")).alias("k"))
-    handed = spark.sparkContext.broadcast(placed)  # bounded by the capacity, not by the items
+    handed = spark.sparkContext.broadcast(placed)  # bounded by the capacities, not by the items
+    names = [name for name, _ in windows]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if b.num_rows:
-                s = b.column(2).to_numpy(zero_copy_only=False)
-                c = handed.value.containers(s, b.column(3).to_numpy(zero_copy_only=False))
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(c)], names=["item", "piece", "size", "container"])
+            w = b.column(0).to_numpy(zero_copy_only=False)
+            s = b.column(3).to_numpy(zero_copy_only=False)
+            k = b.column(4).to_numpy(zero_copy_only=False)
+            c = np.zeros(len(w), np.int64)
+            for i in np.unique(w):
+                at = w == i
+                c[at] = handed.value[i].containers(s[at], k[at])
+            label = pa.array(names, pa.string()).take(pa.array(w, pa.int32()))
+            yield pa.RecordBatch.from_arrays([label, b.column(1), b.column(2), b.column(3), pa.array(c)], names=["window_name", "item", "piece", "size", "container"])
 
     kind = items.schema[key].dataType.simpleString()
-    return numbered.mapInArrow(run, f"item {kind}, piece int, size long, container long")
+    return numbered.mapInArrow(run, f"window_name string, item {kind}, piece int, size long, container long")
+
+
+def pack(items: DataFrame, capacity: int, key: str = "doc_id", size: str = "n_tokens", splits: int = 0) -> DataFrame:
+    """``item, piece, size, container`` of every item for one capacity."""
+    return pack_windows(items, [("", capacity)], key, size, splits).drop("window_name")
+
+
+def fill_windows(packed: DataFrame, windows: list[tuple[str, int]]) -> DataFrame:
+    """Per window: containers used, tokens in them, the least number possible, and the share of space used.
+
+    Containers are reduced to one row each before they are counted.
+    """
+    cap = F.create_map(*[F.lit(x) for w in windows for x in w])[F.col("window_name")]
+    per = packed.where("size > 0").groupBy("window_name", "container").agg(F.sum("size").alias("s"))
+    return (
+        per.groupBy("window_name")
+        .agg(F.count("*").alias("containers"), F.sum("s").alias("tokens"))
+        .select(
+            "window_name",
+            cap.alias("capacity"),
+            "containers",
+            "tokens",
+            F.ceil(F.col("tokens") / cap).alias("least"),
+            F.round(F.col("tokens") / (F.col("containers") * cap), 6).alias("used"),
+        )
+    )
 
 
 def fill(packed: DataFrame, capacity: int) -> DataFrame:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship, stage, table
+from ..session import ship, spread, stage, table
 from . import language, mainbody, markup, mojibake, residue
 from .html import Page, render
 
@@ -84,7 +84,7 @@ def map_pages(
                     cells = zip(*out)
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(cells, target)], schema=target)
 
-    return df.mapInArrow(run, schema)
+    return spread(df, df.columns[keys - 1] if "id" not in df.columns else "id").mapInArrow(run, schema)
 
 
 # ---------------------------------------------------------------- problem 2

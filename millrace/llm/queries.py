@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..session import stage, table
 from . import abuse as A
@@ -74,21 +71,14 @@ def _windows(spark: SparkSession, d: str) -> list[tuple[str, int]]:
     return [(r["window_name"], int(r["capacity"])) for r in rows]
 
 
-def _packed(spark: SparkSession, d: str) -> list[tuple[str, int, DataFrame]]:
-    items = stage(T.token_counts(table(spark, d, "documents")), "lengths")
-    return [(name, cap, K.pack(items, cap)) for name, cap in _windows(spark, d)]
-
-
 def p9_packing(spark: SparkSession, d: str) -> DataFrame:
-    """``window_name, container, item, piece, size`` for every document and window."""
-    parts = [df.select(F.lit(name).alias("window_name"), "container", "item", "piece", "size") for name, _, df in _packed(spark, d)]
-    return reduce(DataFrame.unionByName, parts)
+    """``window_name, item, piece, size, container`` for every document and window."""
+    return K.pack_windows(stage(T.token_counts(table(spark, d, "documents")), "lengths"), _windows(spark, d))
 
 
 def p9_fill(spark: SparkSession, d: str) -> DataFrame:
     """Containers, the least possible number, and the share of space used, per window."""
-    parts = [K.fill(df, cap).select(F.lit(name).alias("window_name"), F.lit(cap).alias("capacity"), "*") for name, cap, df in _packed(spark, d)]
-    return reduce(DataFrame.unionByName, parts)
+    return K.fill_windows(p9_packing(spark, d), _windows(spark, d))
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:

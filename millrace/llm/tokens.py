@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship
+from ..session import ship, spread
 
 #: Folder of the public vocabulary files; a parameter of every operator here.
 TOKENIZERS = os.environ.get("MILLRACE_TOKENIZERS", "/opt/tokenizers")
@@ -247,7 +247,7 @@ def encode_texts(df: DataFrame, key: str = "doc_id", text: str = "text", folder:
                     [batch.column(0).slice(a, b - a), pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))], names=[key, "ids"]
                 )
 
-    return narrow.mapInArrow(run, f"`{key}` long, ids array<int>")
+    return spread(narrow, key).mapInArrow(run, f"`{key}` long, ids array<int>")
 
 
 def token_counts(df: DataFrame, key: str = "doc_id", text: str = "text", folder: str = TOKENIZERS) -> DataFrame:
@@ -264,4 +264,4 @@ def token_counts(df: DataFrame, key: str = "doc_id", text: str = "text", folder:
                 _, counts = enc.encode(texts[a:b])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(counts)], names=[key, "n_tokens"])
 
-    return narrow.mapInArrow(run, f"`{key}` long, n_tokens long")
+    return spread(narrow, key).mapInArrow(run, f"`{key}` long, n_tokens long")

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import abuse as A
 from millrace.llm import packing as K
@@ -104,6 +105,11 @@ def test_packing(spark):
     f = K.fill(K.pack(df.select("doc_id", "n_tokens"), cap), cap).first()
     assert f["containers"] == len(load) and f["tokens"] == sum(load.values())
     assert K.pack(df.select("doc_id", "n_tokens").limit(0), cap).count() == 0
+    windows = [("s", 10), ("m", cap)]
+    both = K.pack_windows(df.select("doc_id", "n_tokens"), windows)
+    for w in K.fill_windows(both, windows).collect():
+        assert w["tokens"] == sum(load.values()) and w["containers"] * w["capacity"] >= w["tokens"] and w["containers"] >= w["least"]
+    assert both.groupBy("window_name", "container").agg(F.sum("size").alias("s")).where("window_name = 's' and container > 0 and s > 10").count() == 0
 
 
 def found(text):
