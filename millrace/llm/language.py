@@ -26,6 +26,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from .html import _BODY, _find
+
 LANGUAGES = ("vi", "en", "zh")
 
 _SEEDS = {
@@ -216,7 +218,8 @@ _EQUIV = re.compile(r"http-equiv\s*=\s*[\"']?\s*content-language\b", re.I)
 
 def declared(html: str) -> str:
     """Primary subtag of the declared language in lower case, ``""`` where missing."""
-    head = html[:4096]
+    end = _find(html, "<body", _BODY)[0]
+    head = html[:end] if end >= 0 else html
     m = _HTML_TAG.search(head)
     value = None
     if m:

@@ -162,7 +162,7 @@ def _unfinished(page: Page, body: list[int]) -> tuple[str, str]:
     if any(map(low.__contains__, _FILLER_HINTS)):
         for i in body:
             s = lines[i]
-            if len(s) < 4000 and is_filler(s) and not _code(page, i):
+            if is_filler(s) and not _code(page, i):
                 return "filler", s
     return "", ""
 

@@ -251,3 +251,16 @@ def test_repeated_lines_common_in_no_split(spark, monkeypatch):
     monkeypatch.setattr(R, "HINT_SHARE", 2.0)
     rows = [("db", i, "http://h.x/", f"<body><p>same {i}<p>own {'x' * i}") for i in range(8)]
     assert {tuple(x) for x in R.repeated_lines(frame(spark, rows)).collect()} == {("h.x", "same 0")}
+
+
+def test_nulls_in_any_column(spark):
+    rows = [(None, None, None, article(PROSE + "<p>**b**</p>")), ("db", None, None, article("<p>{{ name }}</p>")), (None, 3, "", "<body>�"), ("db", 4, None, None)]
+    df = frame(spark, rows)
+    bad = spark.createDataFrame([("db", 9, "http://a.x/", bytearray(b"<body>\xff\xfe text"), "x", "y")], SCHEMA)
+    df = df.unionByName(bad)
+    assert {(r["source"], r["id"]) for r in P.garbled_pages(df).collect()} == {(None, 3), ("db", 9)}
+    assert {(r["source"], r["id"]) for r in P.residue_pages(P.message_facts(df)).collect()} == {("db", None)}
+    assert {(r["source"], r["id"]) for r in P.main_lines(df).collect()} == {(None, None)}
+    assert {r["markup"] for r in P.markup_pages(df).collect()} == {"markdown"}
+    assert P.page_languages(df).count() == 0
+    assert R.repeated_lines(df).count() == 0 and R.without_repeated(df).count() == 3  # rows of a host without an id are one document
