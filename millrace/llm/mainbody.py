@@ -5,8 +5,10 @@ keeps the blocks of the page's own article. It anchors on the headline (the
 block that repeats the document title, else the first heading), takes the
 smallest layout box around it that holds more than the headline, and walks its
 blocks in layout order, leaving out side boxes, blocks that are nothing but a
-link, and blocks worded like site furniture; a run of furniture that closes an
-article (share prompts, related lists, comments, imprint) ends it.
+link, and blocks worded like site furniture. Share prompts, related lists,
+cookie notes and imprints are passed over: the article goes on where a
+sub-heading or running text of its box follows, and ends with the last such
+block. What stands below the heading of reader comments is theirs.
 """
 
 from __future__ import annotations
@@ -43,13 +45,16 @@ READ_MORE = re.compile(
     r"|see also |read more |(?:点击查看|相关阅读|延伸阅读|推荐阅读|更多阅读|查看更多|参见)\s?[::]",
     re.I,
 )
-#: These end an article when they stand alone on a line.
+_NETWORK = r"(?:facebook|twitter|x|youtube|instagram|tiktok|zalo|telegram|whatsapp|linkedin|pinterest|social media)\b"
+#: These are passed over, with what follows until the article goes on, when they stand alone on a line.
 SHARE = re.compile(
     r"(?:hãy )?(?:chia sẻ|gửi) (?:bài|trang)(?: viết)?(?: này)?(?: với| cho| lên| đến| qua|$)|thích trang .{1,60} để |bấm (?:theo dõi|thích|like) "
-    r"|theo dõi (?:kênh|trang|fanpage) |đăng ký (?:nhận|kênh|theo dõi) |tải (?:ứng dụng|app) |bài viết (?:này )?(?:có )?hữu ích"
-    r"|share this |email this |print this|tell (?:us|a friend)|was this (?:page|article) |like .{1,60} (?:page )?on |follow .{1,60}(?:channel|on |for )"
-    r"|get the .{1,60} app|download .{1,60} app|subscribe to |sign up (?:for|to) |join .{1,60} newsletter"
-    r"|分享(?:到|给|本)|觉得有用请|点赞|收藏本页|转发给|关注.{1,40}(?:公众号|微信|微博)|下载.{1,40}客户端|订阅.{1,40}(?:简报|周刊|邮件)|扫码",
+    r"|theo dõi (?:kênh|trang(?! thiết)|fanpage) |đăng ký (?:nhận (?:bản )?(?:tin|thông báo|email|thư)|kênh |theo dõi (?:kênh|trang|fanpage|bản tin))|tải (?:ứng dụng|app) |bài viết (?:này )?(?:có )?hữu ích"
+    r"|(?:share|e-?mail|print) this(?: (?:article|page|story|post|link|video)\b|\W*$)|tell us what you think|tell (?:us|a friend)(?: about (?:this|us)\b.{0,40})?\W*$|was this (?:page|article) "
+    rf"|like .{{1,60}} on {_NETWORK}.{{0,20}}$|like (?:us|our page|this page)\W*$|follow .{{1,60}} channel\b.{{0,30}}$|follow .{{1,60}} on {_NETWORK}.{{0,20}}$|follow us\b.{{0,40}}$"
+    r"|follow (?!(?:your|the|these|this|a|an|all|any)\b).{1,60} for (?:\w+ ){0,2}(?:tips|news|updates|stories|posts)\W*$"
+    r"|get the .{1,60} app\b|download .{1,60} app\b|subscribe to |sign up (?:for|to) .{0,60}(?:newsletter|mailing list|e-?mails?|updates|alerts|digest|bulletin)\b|join .{1,60} newsletter"
+    r"|分享(?:到|给|本)|觉得有用请|点赞|收藏本页|转发给|关注.{1,40}(?:公众号|微信|微博)|下载.{1,40}客户端|订阅.{1,40}(?:简报|周刊|邮件)|扫码(?:关注|下载|加|添加|订阅|分享)|扫码\W*$",
     re.I,
 )
 RELATED_HEAD = re.compile(
@@ -61,13 +66,13 @@ RELATED_HEAD = re.compile(
 COMMENTS = re.compile(
     r"(?:bình luận|ý kiến bạn đọc|comments?|reader comments|网友评论|读者评论|评论|留言)\s*(?:[(\[(]\s*[\d.,]*\s*[)\])]|[::]?\s*\d*)$", re.I
 )
-COOKIE = re.compile(r"(?=.{0,160}$)(?=.*(?:\bcookies?\b|浏览信息|隐私偏好))(?=.*(?:đồng ý|chấp nhận|sử dụng|dùng|accept|agree|prefer|by using|manage|partners|同意|保存|体验|记录|使用|store))", re.I)
+COOKIE = re.compile(r"(?=.{0,160}$)(?=.*(?:\bcookies?\b|浏览信息|隐私偏好))(?=.*(?:polic(?:y|ies)|privacy|settings|preferences|\b(?:this|our) (?:web)?site\b|brows|partners|(?:we|accept|use of)(?: use| all)? cookies|trang|truy cập|trải nghiệm|chính sách|riêng tư|website|[一-鿿]))(?=.*(?:đồng ý|chấp nhận|sử dụng|dùng|accept|agree|prefer|by using|manage|partners|同意|保存|体验|记录|使用|store))", re.I)
 FOOTER = re.compile(
     r"(?:©|\(c\) )\s*\d{4}|copyright\b|bản quyền|版权所有|.{1,40}版权所有|all rights reserved|.{1,60}giữ toàn quyền"
-    r"|lượt (?:truy cập|xem)\s?:|page views\s?:|浏览量\s?[::]|访问量\s?[::]|giấy phép (?:số|mxh)|备案号|.{0,4}icp备|cơ quan chủ quản\s?:|tòa soạn\s?:|chịu trách nhiệm"
-    r"|registered office|.{1,60} is a service of |客服热线|主办单位|联系电话|điều khoản (?:sử dụng|dịch vụ)|chính sách bảo mật|terms of (?:use|service)|privacy (?:notice|policy)"
-    r"|关于我们|隐私声明|网站地图|last site update|reproduction of .{1,60} requires|content on .{1,60} (?:is|does) |cập nhật (?:trang|website) lần cuối|ghi rõ nguồn |thông tin trên trang |nội dung trên .{1,60} chỉ mang tính"
-    r"|do not delay seeking care because|the (?:content|information) on (?:this site|.{1,40}) (?:is|does)|(?:nothing|content) on this (?:site|page)"
+    r"|lượt (?:truy cập|xem)\s?:|page views\s?:|浏览量\s?[::]|访问量\s?[::]|giấy phép (?:số|mxh)|备案号|.{0,4}icp备|cơ quan chủ quản\s?:|tòa soạn\s?:|chịu trách nhiệm(?:\s?:| (?:nội dung|chính|xuất bản|quản lý|biên tập))"
+    r"|registered office|.{1,60} is a service of [^.]{1,80}$|客服热线|主办单位|联系电话|điều khoản (?:sử dụng|dịch vụ)|chính sách bảo mật|terms of (?:use|service)|privacy (?:notice|policy)"
+    r"|关于我们|隐私声明|网站地图|last site update|reproduction of .{1,60} requires .{0,30}(?:permission|consent)|content on .{1,60} (?:is|does) (?:for |not |no |provided |intended )|cập nhật (?:trang|website) lần cuối|ghi rõ nguồn |thông tin trên trang |nội dung trên .{1,60} chỉ mang tính"
+    r"|do not delay seeking care because of (?:something|anything|what)\b|the (?:content|information) on (?:this (?:web)?site\b|.{1,40} (?:is (?:for |no |not (?:a |an |intended|meant)|provided|intended)|does not (?:replace|substitute|constitute)))|(?:nothing|content) on this (?:site|page)"
     r"|本站内容仅供参考|本站.{0,20}不能(?:作为|代替)|如有不适请及时就医,切勿|hotline\s?:|đường dây nóng\s?:",
     re.I,
 )
@@ -138,6 +143,15 @@ def _inside(page: Page, node: int, tags: frozenset[str]) -> bool:
 
 _NOT_HEADLINE = frozenset("nav aside footer li button noscript".split())
 _HEADINGS = frozenset(["h1", "h2", "h3"])
+_SUBHEADINGS = frozenset(["h2", "h3", "h4", "h5", "h6"])
+_SENTENCE_END = re.compile(r"[.!?。!?…][\"'”’»)\])」]*$")
+#: A line of so many characters is running text even without a full stop.
+RUNNING = 80
+
+
+def _goes_on(line: str, tag: str) -> bool:
+    """Whether a block after furniture takes up the article again: a sub-heading or running text."""
+    return tag in _SUBHEADINGS or len(line) >= RUNNING or bool(_SENTENCE_END.search(line))
 
 
 def headline(page: Page) -> int:
@@ -190,18 +204,31 @@ def with_headline(page: Page) -> tuple[int, list[int]]:
         return s
 
     out = [head]
+    after = ""  # closing furniture passed since the article's last block
+    held: list[int] = []  # blocks since then that are the article's if it goes on
     for i in range(head + 1, page.last[box]):
         s = lines[i]
         e = nodes[i]
         kind = furniture(s)
         if kind and not (kind in ("footer", "share") and tags[e] in ("td", "li") and e != box):
             if kind in CLOSING and not beside(e):
-                break
+                if kind == "comments":
+                    break
+                if kind == "related" or not after:
+                    after = kind
             continue
         if linked[i] or beside(e):
             continue
         if box == 0 and tags[e] == "body" and SCRIPT_NOTE.match(s):
             continue
+        if after:
+            if not _goes_on(s, tags[e]):
+                if after != "related":  # else an item of the list of other pages
+                    held.append(i)
+                continue
+            out += held
+            held.clear()
+            after = ""
         out.append(i)
     return head, out
 

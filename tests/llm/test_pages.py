@@ -264,3 +264,30 @@ def test_nulls_in_any_column(spark):
     assert {r["markup"] for r in P.markup_pages(df).collect()} == {"markdown"}
     assert P.page_languages(df).count() == 0
     assert R.repeated_lines(df).count() == 0 and R.without_repeated(df).count() == 3  # rows of a host without an id are one document
+
+
+def main_of(body):
+    p = H.render(article(body))
+    return [p.lines[i] for i in B.main_blocks(p)][1:]
+
+
+@pytest.mark.parametrize("prompt", ["<div>Share this article with a friend</div>", "<div>Most read</div><ul><li><a href=/x>Another story</a></li><li>A third story</li></ul>", "<p>Chia sẻ bài viết này với người thân của bạn</p>", "<p>By using this site you agree to our cookie policy</p>", "<p>© 2020 Site</p>"])
+def test_article_goes_on_after_furniture(prompt):
+    more = "<p>The bridge was closed, so they turned back at dusk.</p><p>Home at last</p>"
+    assert main_of(PROSE + prompt + more)[2:] == ["The bridge was closed, so they turned back at dusk.", "Home at last"]
+    assert main_of(PROSE + prompt + "<h2>Back home</h2><p>Tea</p>")[2:] == ["Back home", "Tea"]
+    assert len(main_of(PROSE + prompt + "<p>Comments (2)</p><div>Thank you, this was a good walk.</div>")) == 2
+
+
+@pytest.mark.parametrize(
+    "line",
+    ["Follow your doctor's advice for at least six weeks.", "Like other pain killers, it acts on the nerves.", "Share this information with your nurse.", "Sign up for a first-aid class before the birth.", "Many children prefer cookies to fruit.",
+     "Reproduction of the virus requires a host cell.", "Do not delay seeking care because you fear the cost.", "The information on the leaflet is short.", "Theo dõi trang thiết bị y tế mỗi ngày."],
+)
+def test_sentences_that_are_no_furniture(line):
+    assert main_of(PROSE + f"<p>{line}</p><p>Rest well.</p>")[2:] == [line, "Rest well."]
+
+
+@pytest.mark.parametrize("line", ["Follow Vahube for daily health tips", "Follow us on Facebook", "Sign up for the weekly Vahube newsletter", "Email this page to a friend", "Vahube stores cookies to remember your preferences.", "Vahube is a service of the Luruda Institute for patient information", "Print this"])
+def test_furniture_prompts(line):
+    assert B.furniture(line) in B.CLOSING
