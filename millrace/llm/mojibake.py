@@ -21,6 +21,7 @@ import codecs
 import heapq
 import re
 import unicodedata
+from collections import Counter
 from html import unescape
 
 _VN = "àáảãạăằắẳẵặâầấẩẫậèéẻẽẹêềếểễệìíỉĩịòóỏõọôồốổỗộơờớởỡợùúủũụưừứửữựỳýỷỹỵđ"
@@ -268,13 +269,25 @@ _HARD_LOSS = re.compile("[\ufffd\x80-\x9f\ue000-\uf8ff]")
 _ADDRESS = re.compile(r"\S*(?:://|www\.|=)\S*")
 
 
-def judge(line: str, first: tuple = ()) -> tuple[bool, str, tuple, int]:
-    """(garbled, restored text, steps, word-internal losses) of a screened line."""
+#: Fall of the cost, over a page's repaired lines, from which they count as garbled.
+MIN_GAIN = 1.25
+
+
+def _share_left(line: str, text: str) -> float:
+    """Cost left over of the characters that a repair changed; the rest of the line does not count."""
+    was, now = Counter(line), Counter(text)
+    gone = sum(_W[c] * n for c, n in (was - now).items())
+    come = sum(_W[c] * n for c, n in (now - was).items())
+    return come / gone if gone > 0 else 1.0
+
+
+def judge(line: str, first: tuple = ()) -> tuple[float, str, tuple, int]:
+    """(fall of the cost by a believable repair, restored text, steps, word-internal losses) of a screened line."""
     text, path, after, before = restore(line, first)
     lost = len(_LOST.findall(_ADDRESS.sub(" ", line))) if "?" in line else 0
-    if path and before - after >= 1.5 and after <= 0.6 * before:
-        return True, text, path, lost
-    return bool(_HARD_LOSS.search(line)), line, (), lost
+    if path and before > after and (after <= 0.6 * before or _share_left(line, text) <= 0.6):
+        return before - after, text, path, lost
+    return 0.0, line, (), lost
 
 
 #: Question marks inside words a page must show before they count as lost characters.
@@ -286,6 +299,7 @@ def garbled(raw_lines: list[str], all_lines: bool = False) -> tuple[bool, list[t
     restored text by line number (only lines that change)."""
     found = False
     lost = 0
+    gain = 0.0
     path: tuple = ()
     text = "\n".join(raw_lines)
     if "&" in text:
@@ -299,13 +313,16 @@ def garbled(raw_lines: list[str], all_lines: bool = False) -> tuple[bool, list[t
         line = unescape(raw) if "&" in raw else raw
         if line.isascii() and "?" not in line or not SCREEN.search(line):
             continue
-        bad, text, steps, n = judge(line, path)
+        fall, text, steps, n = judge(line, path)
         lost += n
-        if bad:
+        gain += fall
+        if steps:
+            path = steps
+            changed.append((i, text))
+        elif _HARD_LOSS.search(line):
             found = True
-            if not all_lines:
-                return True, changed
-            if steps:
-                path = steps
-                changed.append((i, text))
-    return found or lost >= MIN_LOST, changed
+        if not all_lines and (found or gain >= MIN_GAIN):
+            return True, []
+    if gain < MIN_GAIN:
+        changed = []
+    return found or bool(changed) or lost >= MIN_LOST, changed

@@ -291,3 +291,16 @@ def test_sentences_that_are_no_furniture(line):
 @pytest.mark.parametrize("line", ["Follow Vahube for daily health tips", "Follow us on Facebook", "Sign up for the weekly Vahube newsletter", "Email this page to a friend", "Vahube stores cookies to remember your preferences.", "Vahube is a service of the Luruda Institute for patient information", "Print this"])
 def test_furniture_prompts(line):
     assert B.furniture(line) in B.CLOSING
+
+
+LONG_VI = WORDS + " Sau đó, người bệnh nên nghỉ ngơi, ăn nhẹ và trao đổi với bác sĩ về các thuốc đang dùng; kết quả thường có sau hai ngày làm việc."
+
+
+@pytest.mark.parametrize("text", [ZH + "医生说这是‘’正常的现象,不必担心,继续按时服药即可,两周后再来复查一次血常规。", LONG_VI, "The dose of this drug was halved in the second week " * 4 + "and then stopped."])
+@pytest.mark.parametrize("mark", ["’", "–", "—"])
+def test_damage_at_one_place_of_a_long_line(text, mark):
+    sloppy = "".join(G._SHOWN[x] for x in mark.encode())
+    half = len(text) // 2
+    good, bad = text[:half] + f" {mark} " + text[half:], text[:half] + f" {sloppy} " + text[half:]
+    assert G.garbled(["clean", bad])[0] and G.garbled(["clean", bad], all_lines=True)[1] == [(1, good)]
+    assert not G.garbled([good])[0]
