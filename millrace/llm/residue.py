@@ -109,9 +109,36 @@ WEAK = re.compile(
     re.I,
 )
 
-#: A body of at most so many lines can consist of a message.
+#: A body of at most so many lines is a message by loose wording alone, where half of its lines are so worded.
 SHORT_BODY = 6
 
+#: Messages about the page, the server or the session itself: residue wherever a line of the body starts so.
+PLAIN_ERROR = re.compile(
+    r"(?:(?:we are |we[’']re )?(?:very )?(?:sorry|oops|uh-oh|whoops)\b\W*(?:but )?|(?:rất tiếc|xin lỗi)\W+|(?:很?抱歉|对不起)\W*)?(?:"
+    r"(?:error\s*|http\s*)+[45]\d\d\b(?:\W|$)|[45]\d\d\s*[-–—:|]?\s*(?:page |file )?(?:not found|forbidden|unauthori[sz]ed|bad request|bad gateway|gateway time-?out|internal server error|service (?:temporarily )?unavailable|too many requests|error)\b"
+    r"|(?:page|file|article) not found\b|(?:bad gateway|gateway time-?out|service (?:temporarily )?unavailable|(?:access|permission) (?:is )?denied|too many requests|connection (?:refused|timed out|reset(?: by peer)?))\W*$|internal server error"
+    r"|something went wrong\W*(?:$|please|try|we|while|on our)|an? (?:unexpected|unknown|internal|server|application)(?: server)? error (?:has )?occurred|an error (?:has )?occurred (?:while|on|in|processing|loading)|error establishing a database|database (?:connection )?error|could not connect to (?:the )?(?:database|server|host)"
+    r"|(?:the|this|that) (?:requested )?(?:page|article|content|post|url|document|resource)(?: (?:that )?you(?:[’']re| are| were| have)? (?:requested|looking for|trying to \w+))? (?:is|was|has|could|can|can[’']t|cannot|may|does|did|doesn[’']t)\b.{0,24}\b(?:no longer (?:available|exists?)|found|not available|exist|removed|deleted|moved|unavailable|expired)\b"
+    r"|(?:we )?(?:can[’']?(?:no)?t|could(?: not|n[’']t)) (?:find|load) (?:the|this|that) (?:requested )?(?:page|article|content)|you (?:do not|don[’']t) have (?:permission|access) to (?:view|access|see|read|open)|(?:your )?session (?:has )?(?:expired|timed out)"
+    r"|please (?:sign|log) in (?:again )?to (?:view|read|continue|see|access)|(?:(?:this|our|the) )?(?:web)?(?:site|system|server) is (?:currently |temporarily )?(?:under|down for|undergoing) maintenance|checking your browser|(?:please )?verify (?:that )?you are (?:a )?human"
+    r"|(?-i:[A-Z]\w*(?:Error|Exception)\s?:\s)|(?-i:ORA-\d|SQLSTATE[\[(])"
+    r"|(?:trang|liên kết|bài viết|nội dung|đường dẫn)\b(?: này)?(?: (?:mà )?bạn .{0,24}?)? (?:không (?:tồn tại|được tìm thấy|tìm thấy)|(?:hiện )?không còn tồn tại|đã (?:bị )?(?:xóa|xoá|gỡ|hết hạn|di chuyển))|không tìm thấy (?:trang|bài viết|nội dung|đường dẫn)\b"
+    r"|lỗi (?:[45]\d\d\b|máy chủ|kết nối (?:máy chủ|cơ sở dữ liệu)|cơ sở dữ liệu)|đã (?:xảy ra|có) lỗi (?:xảy ra|khi|trong quá trình|hệ thống|máy chủ|\W*$)|(?:hệ thống|máy chủ|website|trang web) (?:đang|hiện|tạm)\b.{0,16}(?:bảo trì|quá tải|gián đoạn)"
+    r"|bạn không có quyền (?:truy cập|xem)|phiên (?:làm việc|đăng nhập|truy cập)\b.{0,24}hết hạn|(?:vui lòng|hãy) đăng nhập (?:lại )?để (?:xem|đọc|tiếp tục)"
+    r"|(?:您(?:访问|请求|查找|浏览)的|该|此)?(?:页面|网页|文章|链接)(?:已?(?:不存在|未找到|失效|下线|被?删除|过期)|找不到)|(?:系统|服务器|网络|数据库)(?:正在|暂时|内部|连接)?(?:繁忙|开小差|维护|错误|异常|失败|超时)"
+    r"|参数错误|访问(?:过于频繁|被拒绝|受限)|(?:登录|会话|登陆)已?(?:超时|过期|失效)|(?:您|你)(?:没有|无)权(?:限)?(?:访问|查看)|请(?:先)?登录后(?:查看|阅读|继续)"
+    r")",
+    re.I,
+)
+#: A notice that scripts are needed, in a line of any length.
+PLAIN_SCRIPTS = re.compile(
+    r"(?:enable|turn on|activate|allow|switch on) (?:java\s?script|scripts)\b|\bjava\s?script (?:(?:is|must be|needs to be|has to be|should be|seems to be|appears to be) (?:currently )?)?(?:required|disabled|enabled|turned o(?:n|ff)|switched o(?:n|ff)|needed|not (?:enabled|supported|available))"
+    r"|(?:requires?|needs?|without|support) java\s?script\b|(?:bật|kích hoạt|cho phép|yêu cầu|cần|hỗ trợ) (?:chạy |dùng |có )?java\s?script"
+    r"|(?:启用|打开|开启|允许|需要|支持).{0,8}(?:java\s?script|脚本)|(?:java\s?script|脚本).{0,8}(?:启用|打开|开启|禁用|关闭|不可用)",
+    re.I,
+)
+_SOME_FEATURES = re.compile(r"some (?:features|functions|parts)|certain features|một số tính năng|部分功能", re.I)
+
 
 def has_placeholder(line: str) -> bool:
     return bool(PLACEHOLDER.search(line))
@@ -147,7 +174,15 @@ def _code(page: Page, i: int) -> bool:
 
 def message_line(line: str) -> bool:
     """Whether a whole line is an error message, a denial or a script notice."""
-    return len(line) <= 200 and bool(ERROR.match(line) or SCRIPTS.match(line))
+    return bool(ERROR.match(line) or SCRIPTS.match(line))
+
+
+def plain_message(line: str) -> bool:
+    """Whether a line is a message that no running article holds, however many lines stand around it."""
+    if PLAIN_ERROR.match(line) or _TRACE.match(line):
+        return True
+    low = line.lower()
+    return ("script" in low or "脚本" in low) and bool(PLAIN_SCRIPTS.search(line)) and not _SOME_FEATURES.search(line)
 
 
 def _unfinished(page: Page, body: list[int]) -> tuple[str, str]:
@@ -198,11 +233,10 @@ def judge(page: Page, body: list[int], head: int) -> tuple[str, str]:
     if not body:
         return "", ""
     joined = "\n".join([lines[i] for i in body])
+    for i in body:
+        if plain_message(lines[i]) and not _code(page, i):
+            return "message", lines[i]
     if len(body) > SHORT_BODY:
-        if _TRACE_HINT.search(joined):
-            for i in body:
-                if len(lines[i]) <= 200 and _TRACE.match(lines[i]) and not _code(page, i):
-                    return "message", lines[i]
         return "", ""
     messages = sum(message_line(lines[i]) for i in body)
     if messages * 2 >= len(body):
@@ -216,4 +250,3 @@ def judge(page: Page, body: list[int], head: int) -> tuple[str, str]:
 _TRACE = re.compile(
     r"traceback \(most recent call last\)|fatal error\s?:|(?:warning|notice|parse error)\s?:\s.{0,160}(?: in /.{1,120} on line |\w+\(\)\s?:)|error establishing a database connection", re.I
 )
-_TRACE_HINT = re.compile(r"[TtFfWwNnPpEe](?:raceback|atal error|arning|otice|arse error|rror establishing)")

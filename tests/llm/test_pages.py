@@ -304,3 +304,23 @@ def test_damage_at_one_place_of_a_long_line(text, mark):
     good, bad = text[:half] + f" {mark} " + text[half:], text[:half] + f" {sloppy} " + text[half:]
     assert G.garbled(["clean", bad])[0] and G.garbled(["clean", bad], all_lines=True)[1] == [(1, good)]
     assert not G.garbled([good])[0]
+
+
+MESSAGES = ["Please enable JavaScript to view this content.", "502 Bad Gateway", "HTTP 500", "Error 404: page not found", "Sorry, the page you requested could not be found.", "Your session has expired.", "An unexpected error occurred.", "Hệ thống đang bảo trì",
+    "Lỗi 503", "Xin lỗi, bài viết này đã bị xóa.", "您访问的页面不存在", "请启用JavaScript后继续浏览", "TypeError: x is not a function", "This site requires JavaScript to show the article. " + "Open the settings of the browser and look for the entry that deals with scripts. " * 4]
+
+
+@pytest.mark.parametrize("text", MESSAGES)
+@pytest.mark.parametrize("times", [1, 6])
+def test_message_in_an_article(text, times):
+    assert judge(PROSE + f"<p>{text}</p>" + PROSE * times)
+    assert not judge(PROSE + f"<pre>{text}</pre>" + PROSE * times)
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["Wait 15 minutes before the second dose.", "This link between smoking and the illness is no longer in doubt.", "The content of iron was found to be low.", "Upstream causes are not known.", "Hãy quay lại tái khám sau hai tuần.", "Hệ thống miễn dịch bị quá tải.",
+     "没有找到病因的患者应复查。", "404", "The page 404 of the report is missing.", "Sorry is a hard word to say.", "Access to care is denied to many.", "Nội dung của bài viết dựa trên 500 ca."],
+)
+def test_no_message_in_an_article(text):
+    assert not judge(PROSE + f"<p>{text}</p>" + PROSE * 6) and not judge(PROSE + f"<p>{text}</p>" + PROSE)
