@@ -18,6 +18,7 @@ counted as abuse of a person.
 from __future__ import annotations
 
 import re
+import re._parser as sre
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
@@ -133,9 +134,6 @@ CONTEXT_PRICE = 1.2
 #: Lexicon words a masked token is read as.
 MOST_READINGS = 12
 
-#: First characters of whatever a Chinese rule can match.
-_Z_SCREEN = re.compile("[把不脑智白废垃骗蠢畜王傻贱混人败狗杂笨猪下饭渣神女移难残老山外乡黑同少农穆犹乞流低瘸聋瞎害劣又寄蛆蟑浪臭不肮牲你全写作医去吃见打弄砍闭滚操草他恶看没除赶消拒做口自裸叫无淫嫩包约骚成激舔扒脱上来偷骑呻色三黄肉乳群援一学美免在加高直内找]")
-
 # ------------------------------------------------------------------------- cleaning
 _INVISIBLE = re.compile("[­​-‏⁠-⁤﻿‪-‮]")
 # Letters of other scripts that look like Latin ones, fixed by their shapes.
@@ -191,27 +189,43 @@ class Trie:
         return found
 
 
-#: At least one of these words stands in whatever a rule can match; without one a sentence scores 0.
-_KEYS = {
-    "vi": (
-        "ngu mày tao mồm miệng cút chết dạy nạn rưởi bã vô tiện đần độn súc chó hèn ổi rác cứt xuẩn láo lừa khùng điên óc bọ thỉu rợ trùng đẳng giòi kém đáng tốn sạch khám "
-        "xóa xoá đuổi nhốt tống tiêu giết bẩn ghê ghét đẹp tốt cư núi già quốc nạn tật bà sex phim clip tình nứng chat kích gọi rỉ quần lén thủ tận bóp liếm cởi thọc cưỡi show lộ bú địt đụ "
-        "lồn cặc khỏa che girl xinh mưa xóm trần biến xéo dịch chuột côn nữ tộc đen tính di tỉnh xin quê bắc nam tây hồi thái giới gia"
-    ),
-    "en": (
-        _E_INSULT + "|" + _E_BAD + "|" + _E_LOW + "|" + _E_GROUP
-    ).replace("|", " ") + " you your yourself shut crap drivel shit bullshit hell whoever ever deserve send without pussy sex cam cams escorts hardcore uncensored horny porn xxx went rode hard nudes talk licked strip strips"
-    " want tonight strippers housewives singles models breed refuse stripped strippers blow cum fuck fucked suck sucked moan moaned moaning naked nude explicit get getting out drop dead",
-}
+def required(pattern: str) -> frozenset[str]:
+    """Texts of which at least one stands in whatever the pattern matches; empty where none can be told."""
+
+    def of(items) -> frozenset[str]:
+        options: list[frozenset[str]] = []
+        run = ""
+        for op, arg in [*items, (None, None)]:
+            if op is sre.LITERAL:
+                run += chr(arg)
+                continue
+            if run:
+                options.append(frozenset([run]))
+                run = ""
+            inner: frozenset[str] = frozenset()
+            if op is sre.SUBPATTERN:
+                inner = of(arg[-1])
+            elif op is sre.BRANCH:
+                parts = [of(b) for b in arg[1]]
+                inner = frozenset().union(*parts) if all(parts) else inner
+            elif op in (sre.MAX_REPEAT, sre.MIN_REPEAT) and arg[0]:
+                inner = of(arg[2])
+            if inner:
+                options.append(inner)
+        return max(options, key=lambda o: (min(map(len, o)), -len(o)), default=frozenset())
+
+    found = of(sre.parse(pattern))
+    return frozenset(t for t in found if not any(o != t and o in t for o in found))
 
 
 class Scorer:
     """Patterns and lexicon of one spelling (accented or not) of one language."""
 
-    def __init__(self, rules: dict[str, list[tuple[float, str]]], language: str, change, keys: str = "") -> None:
-        edge = ("", "") if not keys else (r"(?<!\w)", r"(?!\w)")  # ideographs are not divided into words
-        self.rules = {c: [(w, re.compile(f"{edge[0]}(?:{change(p)}){edge[1]}")) for w, p in ps] for c, ps in rules.items()}
-        self.keys = frozenset(change(keys).split())
+    def __init__(self, rules: dict[str, list[tuple[float, str]]], language: str, change, divided: bool = True) -> None:
+        edge = (r"(?<!\w)", r"(?!\w)") if divided else ("", "")  # ideographs are not divided into words
+        whole = {c: [(w, f"{edge[0]}(?:{change(p)}){edge[1]}") for w, p in ps] for c, ps in rules.items()}
+        #: (weight, texts without which the rule cannot match, rule)
+        self.rules = {c: [(w, tuple(required(p)), re.compile(p)) for w, p in ps] for c, ps in whole.items()}
         self.context = re.compile(change(_CONTEXT[language]))
         self.medical = re.compile(change(_CONTEXT[language] + "|" + _MEDICAL[language]))
         words = {w for ps in rules.values() for _, p in ps for w in re.findall(r"[^\W\d_]+", change(re.sub(r"\(\?\w*[:!=<]|\\[a-z]|\{[^}]*\}", " ", p))) if len(w) > 1}
@@ -251,7 +265,9 @@ class Scorer:
         out = {}
         for c, ps in self.rules.items():
             s, first, last = 0.0, len(sentence), 0
-            for w, rx in ps:
+            for w, texts, rx in ps:
+                if texts and not any(map(sentence.__contains__, texts)):
+                    continue
                 m = rx.search(sentence)
                 if m:
                     s += w
@@ -274,10 +290,10 @@ def scorers() -> dict[str, Scorer]:
         "sexual": [(w, p.replace("|địt|đụ|sướng lồn|cặc", "")) for w, p in _VI["sexual"]],
     }
     return {
-        "vi": Scorer(_VI, "vi", same, _KEYS["vi"]),
-        "va": Scorer(plain, "vi", fold, _KEYS["vi"]),
-        "en": Scorer(_EN, "en", same, _KEYS["en"]),
-        "zh": Scorer(_ZH, "zh", same),
+        "vi": Scorer(_VI, "vi", same),
+        "va": Scorer(plain, "vi", fold),
+        "en": Scorer(_EN, "en", same),
+        "zh": Scorer(_ZH, "zh", same, divided=False),
     }
 
 
@@ -311,10 +327,8 @@ def sentence_scores(sentence: str) -> dict[str, float]:
     all_of = scorers()
     out: dict[str, float] = {}
     wide = len(_WIDE.findall(sentence))
-    if wide >= 2:
-        joined = _NOT_WIDE.sub("", sentence)
-        if _Z_SCREEN.search(joined):
-            out = all_of["zh"].score(joined)
+    if wide:
+        out = all_of["zh"].score(_NOT_WIDE.sub("", sentence))
     rest = sentence if not wide else _WIDE.sub(" ", sentence)
     tokens = _tokens(rest)
     if tokens:
@@ -324,8 +338,6 @@ def sentence_scores(sentence: str) -> dict[str, float]:
             if name == "va":
                 tokens = [fold(t) for t in tokens]
             for words in sc.readings(tokens):
-                if sc.keys.isdisjoint(words):
-                    continue
                 for c, v in sc.score(" ".join(words)).items():
                     if v > out.get(c, 0.0):
                         out[c] = v
@@ -341,7 +353,7 @@ def text_scores(text: str | None) -> dict[str, float]:
     if not text or text.isspace():
         return out
     for s in _SENTENCE.split(clean(text)):
-        if len(s) < 4:
+        if not s:
             continue
         for c, v in sentence_scores(s).items():
             if v > out.get(c, 0.0):

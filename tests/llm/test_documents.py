@@ -171,3 +171,17 @@ def test_document_operators(spark):
     rates = {r["source"]: (r["n_docs"], r["n_abusive"], r["rate_abusive"]) for r in A.rates(s).collect()}
     assert rates["a"] == (4, 2, 0.5) and rates[None] == (1, 0, 0.0)
     assert A.flagged(A.score_documents(df.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize(
+    "text,want",
+    [("Go die", {"abusive"}), ("blowjob videos", {"sexual"}), ("Free pornographic clips for men", {"sexual"}), ("去死吧", {"abusive"}), ("滚蛋", {"abusive"}), ("吃屎", {"abusive"}), ("好。不要脸。好", {"abusive"}), ("địt", {"sexual"})],
+)
+def test_no_screen_hides_what_rules_match(text, want):
+    assert found(text) == want
+
+
+def test_required_texts_of_rules():
+    for sc in A.scorers().values():
+        assert all(texts for ps in sc.rules.values() for _, texts, _ in ps)
+    assert A.required("porn\\w*|go (?:drown|die)") == {"porn", "go d"} and A.required("x?") == frozenset()
