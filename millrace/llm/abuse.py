@@ -4,7 +4,7 @@ Method: Levenshtein automata intersected with a lexicon trie. Each distinct
 token, after disguises are undone (zero-width and inserted characters, digits
 for letters, look-alike letters, drawn-out letters, masked letters), walks the
 trie of lexicon words together with the states of its Levenshtein automaton;
-masked letters match any one. Sentences are rewritten with the lexicon words
+masked letters match any one inside the rules, so no reading is left out. Sentences are rewritten with the lexicon words
 found and scored: terms that attack, degrade or arouse add to their category,
 and the context window of a term (quoting, warning, medical or educational
 wording around it) takes away.
@@ -131,9 +131,6 @@ _MEDICAL = {
 #: Characters on either side of a term that count as its context.
 WINDOW = 60
 CONTEXT_PRICE = 1.2
-#: Lexicon words a masked token is read as.
-MOST_READINGS = 12
-
 # ------------------------------------------------------------------------- cleaning
 _INVISIBLE = re.compile("[­​-‏⁠-⁤﻿‪-‮]")
 # Letters of other scripts that look like Latin ones, fixed by their shapes.
@@ -218,6 +215,26 @@ def required(pattern: str) -> frozenset[str]:
     return frozenset(t for t in found if not any(o != t and o in t for o in found))
 
 
+def masked(pattern: str) -> str:
+    """The rule for sentences with masked letters: each of its letters also matches a ``*``, which counts as a letter."""
+    out: list[str] = []
+    i = 0
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "\\":
+            i += 1
+            c = pattern[i]
+            out.append({"w": r"[\w*]", "b": r"(?:(?<![\w*])(?=[\w*])|(?<=[\w*])(?![\w*]))"}.get(c, "\\" + c))
+        elif c == "{":
+            end = pattern.index("}", i)
+            out.append(pattern[i : end + 1])
+            i = end
+        else:
+            out.append(f"[{c}*]" if c.isalpha() else c)
+        i += 1
+    return "".join(out)
+
+
 class Scorer:
     """Patterns and lexicon of one spelling (accented or not) of one language."""
 
@@ -226,6 +243,7 @@ class Scorer:
         whole = {c: [(w, f"{edge[0]}(?:{change(p)}){edge[1]}") for w, p in ps] for c, ps in rules.items()}
         #: (weight, texts without which the rule cannot match, rule)
         self.rules = {c: [(w, tuple(required(p)), re.compile(p)) for w, p in ps] for c, ps in whole.items()}
+        self.masked = {c: [(w, (), re.compile(masked(p))) for w, p in ps] for c, ps in whole.items()} if divided else self.rules
         self.context = re.compile(change(_CONTEXT[language]))
         self.medical = re.compile(change(_CONTEXT[language] + "|" + _MEDICAL[language]))
         words = {w for ps in rules.values() for _, p in ps for w in re.findall(r"[^\W\d_]+", change(re.sub(r"\(\?\w*[:!=<]|\\[a-z]|\{[^}]*\}", " ", p))) if len(w) > 1}
@@ -239,36 +257,44 @@ class Scorer:
         if hit is None:
             hit = token
             if token not in self.words:
-                if "*" not in token and len(token) >= 6:
+                if len(token) >= 6:
                     hit = self.trie.within(token, 1) or token
             if len(self.cache) > 300_000:
                 self.cache.clear()
             self.cache[token] = hit
         return hit
 
-    def readings(self, tokens: list[str]) -> list[list[str]]:
-        """The sentence in lexicon words: one reading, and further ones where a masked token can be several words."""
-        out = [[]]
-        for t in tokens:
-            if "*" in t and t.strip("*"):
-                words = [w for _, w in sorted(self.trie.all_within(t, 0))][:MOST_READINGS] or [t.replace("*", "x")]
-            else:
-                words = [self.canonical(t)]
-            if len(words) == 1 or len(out) * len(words) > MOST_READINGS * 4:
-                for line in out:
-                    line.append(words[0])
-            else:
-                out = [[*line, w] for line in out for w in words]
-        return out
+    def reading(self, tokens: list[str]) -> str:
+        """The sentence in lexicon words; masked tokens stay masked, for rules that take ``*`` for any letter."""
+        return " ".join([t if "*" in t else self.canonical(t) for t in tokens])
+
+    def phrases(self, sentence: str) -> list[tuple[str, int, int]]:
+        """(category, first word, last word) of what the rules for masked text match over several words."""
+        found = []
+        for c, ps in self.masked.items():
+            for _, _, rx in ps:
+                for m in rx.finditer(sentence):
+                    first, last = sentence.count(" ", 0, m.start()), sentence.count(" ", 0, m.end())
+                    if last > first:
+                        found.append((c, first, last))
+        return found
+
+    def score(self, sentence: str, phrases: list[tuple[str, int, int]] = []) -> dict[str, float]:  # noqa: B006
+        """Score by category. A masked word that a phrase of ``phrases`` explains is no word of another category by itself."""
+
+        def free(c: str, m: re.Match[str]) -> bool:
+            if "*" not in m.group(0) or " " in m.group(0):
+                return True
+            at = sentence.count(" ", 0, m.start())
+            return not any(k != c and first <= at <= last for k, first, last in phrases)
 
-    def score(self, sentence: str) -> dict[str, float]:
         out = {}
-        for c, ps in self.rules.items():
+        for c, ps in (self.masked if "*" in sentence else self.rules).items():
             s, first, last = 0.0, len(sentence), 0
             for w, texts, rx in ps:
                 if texts and not any(map(sentence.__contains__, texts)):
                     continue
-                m = rx.search(sentence)
+                m = next((m for m in rx.finditer(sentence) if free(c, m)), None) if phrases else rx.search(sentence)
                 if m:
                     s += w
                     first, last = min(first, m.start()), max(last, m.end())
@@ -333,14 +359,12 @@ def sentence_scores(sentence: str) -> dict[str, float]:
     tokens = _tokens(rest)
     if tokens:
         spellings = ("vi",) if _VN_MARK.search(rest) else ("en", "va")
-        for name in spellings:
-            sc = all_of[name]
-            if name == "va":
-                tokens = [fold(t) for t in tokens]
-            for words in sc.readings(tokens):
-                for c, v in sc.score(" ".join(words)).items():
-                    if v > out.get(c, 0.0):
-                        out[c] = v
+        read = {name: all_of[name].reading([fold(t) for t in tokens] if name == "va" else tokens) for name in spellings}
+        phrases = [x for name, line in read.items() if "*" in line for x in all_of[name].phrases(line)]
+        for name, line in read.items():
+            for c, v in all_of[name].score(line, phrases).items():
+                if v > out.get(c, 0.0):
+                    out[c] = v
     if out.get("hateful", 0.0) >= THRESHOLD:
         out.pop("abusive", None)  # the insult is aimed at the group
     return {c: s for c, s in out.items() if s > 0}

@@ -185,3 +185,30 @@ def test_required_texts_of_rules():
     for sc in A.scorers().values():
         assert all(texts for ps in sc.rules.values() for _, texts, _ in ps)
     assert A.required("porn\\w*|go (?:drown|die)") == {"porn", "go d"} and A.required("x?") == frozenset()
+
+
+@pytest.mark.parametrize(
+    "text,want",
+    [("xem c**", {"sexual"}), ("b* l** đ*", {"sexual"}), ("s*** d*** d*** y** are a w******** l***", {"abusive"}), ("y** s***** d*** p*** b******* m****", {"abusive"}), ("im******** are v*****, p******** and s***", {"hateful"}),
+     ("thằng c** này", {"abusive"}), ("đ** mất d**", {"abusive"})],
+)
+def test_masked_words_in_every_reading(text, want):
+    assert want <= found(text)
+
+
+@pytest.mark.parametrize("text", ["lũ óc c**, cút đi", "lừa đ**, chết đi thằng ngu", "may dung la oc c**"])
+def test_a_phrase_explains_its_masked_word(text):
+    assert found(text) == {"abusive"}
+
+
+def test_masked_rules_against_all_words():
+    """A rule for masked text matches whatever the rule matches, with any letters masked, and no other length."""
+    import re
+
+    r = random.Random(8)
+    for word in ("worthless liar", "go die", "pornography"):
+        rx = re.compile(rf"(?<![\w*])(?:{A.masked('worthless liar|go (?:drown|die)|porn\\w*')})(?![\w*])")
+        for _ in range(40):
+            hidden = "".join("*" if c != " " and r.random() < 0.5 else c for c in word)
+            assert rx.search(hidden), hidden
+        assert not rx.search("w*rth") and not rx.search("g* d**s")
