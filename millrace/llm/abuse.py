@@ -128,6 +128,10 @@ _MEDICAL = {
     "en": r"infections?|condoms?|sexual health|self examination|mirror|erectile|complaints|contracept\w*|consent|breast",
     "zh": r"自检|自查|就诊|出血|感染|避孕|健康教育|乳房|阴道",
 }
+#: Least letters of a word read with two neighbouring letters in the right order; from 6 on any one letter may be wrong.
+SHORT_LENGTH = 4
+#: Words of their own that such a change would turn into a lexicon word.
+PLAIN_WORDS = frozenset("form from trial trail angle angel lair lira arts tars tsar salve untied united sacred scared causal casual dairy diary silver sliver quiet quite calm clam rats brid bird gril girl wrap warp sued used".split())
 #: Characters on either side of a term that count as its context.
 WINDOW = 60
 CONTEXT_PRICE = 1.2
@@ -258,12 +262,21 @@ class Scorer:
             hit = token
             if token not in self.words:
                 if len(token) >= 6:
-                    hit = self.trie.within(token, 1) or token
+                    hit = self.trie.within(token, 1) or self.swapped(token) or token
+                elif len(token) >= SHORT_LENGTH:
+                    hit = self.swapped(token) or token
             if len(self.cache) > 300_000:
                 self.cache.clear()
             self.cache[token] = hit
         return hit
 
+    def swapped(self, token: str) -> str | None:
+        """The lexicon word that differs by two neighbouring letters in the wrong order, first in letter order."""
+        if not token.isalpha() or token in PLAIN_WORDS:
+            return None
+        turned = (token[:i] + token[i + 1] + token[i] + token[i + 2 :] for i in range(len(token) - 1))
+        return min((t for t in turned if t in self.words), default=None)
+
     def reading(self, tokens: list[str]) -> str:
         """The sentence in lexicon words; masked tokens stay masked, for rules that take ``*`` for any letter."""
         return " ".join([t if "*" in t else self.canonical(t) for t in tokens])
@@ -279,12 +292,15 @@ class Scorer:
                         found.append((c, first, last))
         return found
 
-    def score(self, sentence: str, phrases: list[tuple[str, int, int]] = []) -> dict[str, float]:  # noqa: B006
-        """Score by category. A masked word that a phrase of ``phrases`` explains is no word of another category by itself."""
+    def score(self, sentence: str, phrases: list[tuple[str, int, int]] = [], alone: bool = True) -> dict[str, float]:  # noqa: B006
+        """Score by category. A masked word that a phrase of ``phrases`` explains is no word of another category by itself,
+        and without ``alone`` masked words count in phrases only."""
 
         def free(c: str, m: re.Match[str]) -> bool:
             if "*" not in m.group(0) or " " in m.group(0):
                 return True
+            if not alone:
+                return False
             at = sentence.count(" ", 0, m.start())
             return not any(k != c and first <= at <= last for k, first, last in phrases)
 
@@ -294,7 +310,7 @@ class Scorer:
             for w, texts, rx in ps:
                 if texts and not any(map(sentence.__contains__, texts)):
                     continue
-                m = next((m for m in rx.finditer(sentence) if free(c, m)), None) if phrases else rx.search(sentence)
+                m = next((m for m in rx.finditer(sentence) if free(c, m)), None) if phrases or not alone else rx.search(sentence)
                 if m:
                     s += w
                     first, last = min(first, m.start()), max(last, m.end())
@@ -358,11 +374,13 @@ def sentence_scores(sentence: str) -> dict[str, float]:
     rest = sentence if not wide else _WIDE.sub(" ", sentence)
     tokens = _tokens(rest)
     if tokens:
-        spellings = ("vi",) if _VN_MARK.search(rest) else ("en", "va")
-        read = {name: all_of[name].reading([fold(t) for t in tokens] if name == "va" else tokens) for name in spellings}
+        # words with marks stay so beside unmarked ones: folded they would read as other words
+        marked = _VN_MARK.search(rest)
+        spellings = ("vi", "en", "va") if marked else ("en", "va")
+        read = {name: all_of[name].reading([fold(t) for t in tokens] if name == "va" and not marked else tokens) for name in spellings}
         phrases = [x for name, line in read.items() if "*" in line for x in all_of[name].phrases(line)]
         for name, line in read.items():
-            for c, v in all_of[name].score(line, phrases).items():
+            for c, v in all_of[name].score(line, phrases, alone=name == "vi" or not marked).items():
                 if v > out.get(c, 0.0):
                     out[c] = v
     if out.get("hateful", 0.0) >= THRESHOLD:

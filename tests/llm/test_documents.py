@@ -212,3 +212,13 @@ def test_masked_rules_against_all_words():
             hidden = "".join("*" if c != " " and r.random() < 0.5 else c for c in word)
             assert rx.search(hidden), hidden
         assert not rx.search("w*rth") and not rx.search("g* d**s")
+
+
+@pytest.mark.parametrize("text", ["you idoit", "you are a moorn", "You bastrad!", "José, you are a worthless liar.", "At the café: shut up, you fool", "bác sĩ ơi, you are an idiot", "cảm ơn nhé, may dung la oc cho"])
+def test_misspelled_and_mixed_sentences(text):
+    assert found(text) == {"abusive"}
+
+
+@pytest.mark.parametrize("text", ["You should eat more food in this form.", "Your trial is from May to June.", "Bé ngủ ngon, mẹ nên cho bé uống sữa ở café.", "you find a lair of lions", "đầu gối của tôi c**a khỏi"])
+def test_words_that_are_no_misspelling(text):
+    assert not found(text)
