@@ -170,7 +170,7 @@ STEP_PRICE = 0.4
 GOAL = 0.17
 
 
-def restore(text: str, first: tuple = (), max_states: int = 48) -> tuple[str, tuple, float, float]:
+def restore(text: str, first: tuple = ()) -> tuple[str, tuple, float, float]:
     """Cheapest text reachable: (text, steps, its cost, cost before).
 
     ``first`` is a path to try at once, e.g. the one that restored the line
@@ -190,7 +190,7 @@ def restore(text: str, first: tuple = (), max_states: int = 48) -> tuple[str, tu
     best = (start, 0, text, ())
     frontier: list[tuple[float, int, str, tuple]] = [(start, 0, text, ())]
     seen = {hash(text)}
-    while frontier and len(seen) <= max_states:
+    while frontier:
         priority, depth, s, path = heapq.heappop(frontier)
         if depth and priority > start:
             break
@@ -259,7 +259,7 @@ def suspicious(text: str) -> bool:
         bool(_MARK_SCREEN.search(text))
         or bool(_PAIR_SCREEN.search(text))
         or bool(_MIXED_SCREEN.search(text))
-        or text.count("?") >= MIN_LOST
+        or "?" in text
         and bool(_QUESTION_SCREEN.search(text))
     )
 
@@ -290,8 +290,36 @@ def judge(line: str, first: tuple = ()) -> tuple[float, str, tuple, int]:
     return 0.0, line, (), lost
 
 
-#: Question marks inside words a page must show before they count as lost characters.
+#: Question marks inside words that count as lost characters without further evidence.
 MIN_LOST = 3
+_VOWELS = "aeiouy" + "".join(c for c in _VN if c != "đ")
+_TORN = re.compile(r"(?<![\w?&/.])([^\W\d_]+)\?([^\W\d_]+)(?![\w?=/])")
+_TORN_END = re.compile(rf"(?<![\w?&/.])([^\W\d_{_VOWELS}A-Z]{{1,4}})\?(?=\s+[^\W\d_A-Z])")
+#: Short forms and units that end a real question.
+_SHORT = frozenset("mg ml kg g m cm mm km l dl mmhg thx pls plz pm tks thks sđt bs ks vs dr mr sth sb ng đ k b ko h t c".split())
+
+
+def surely_lost(text: str) -> bool:
+    """Whether a single question mark is a lost letter beyond doubt: no word is left on one of its sides, or the page
+    shows the word with one letter in its place."""
+    text = _ADDRESS.sub(" ", text)
+    for m in _TORN_END.finditer(text):
+        if m.group(1) not in _SHORT and "一" > m.group(1):
+            return True
+    words = None
+    for m in _TORN.finditer(text):
+        left, right = m.group(1), m.group(2)
+        if max(left) >= "⺀" or max(right) >= "⺀" or right[0].isupper():
+            continue  # ideographs are not divided into words; a capital begins a sentence
+        bare = [x for x in (left, right) if len(x) <= 3 and x.islower() and not any(c in _VOWELS for c in x)]
+        if len(bare) == 2 or any(x not in _SHORT for x in bare):
+            return True
+        if words is None:
+            words = set(re.findall(r"[^\W\d_]+", text.lower()))
+        whole = re.compile(f"{left.lower()}[^\\W\\d_]{right.lower()}")
+        if any(map(whole.fullmatch, words)):
+            return True
+    return False
 
 
 def garbled(raw_lines: list[str], all_lines: bool = False) -> tuple[bool, list[tuple[int, str]]]:
@@ -304,10 +332,14 @@ def garbled(raw_lines: list[str], all_lines: bool = False) -> tuple[bool, list[t
     text = "\n".join(raw_lines)
     if "&" in text:
         text = unescape(text)
-    if not suspicious(text):
+    if not suspicious(text) and not ("?" in text and _TORN_END.search(text)):
         return False, []
     if not all_lines and _HARD_LOSS.search(text):
         return True, []  # characters that no clean text holds: lost or misread, restorable or not
+    if "?" in text and surely_lost(text):
+        found = True
+        if not all_lines:
+            return True, []
     changed: list[tuple[int, str]] = []
     for i, raw in enumerate(raw_lines):
         line = unescape(raw) if "&" in raw else raw

@@ -324,3 +324,13 @@ def test_message_in_an_article(text, times):
 )
 def test_no_message_in_an_article(text):
     assert not judge(PROSE + f"<p>{text}</p>" + PROSE * 6) and not judge(PROSE + f"<p>{text}</p>" + PROSE)
+
+
+@pytest.mark.parametrize("line", ["Trước khi l?m xét nghiệm", "bệnh nh?n cần nhịn ăn", "The caf? is closed, the caf?s too", "bệnh nhân hiểu; người nhà cũng hi?u", "Người bệnh nh? nhà thăm"])
+def test_a_single_lost_letter(line):
+    assert G.garbled(["clean", line])[0] and G.garbled(["clean", line], all_lines=True)[0]
+
+
+@pytest.mark.parametrize("line", ["Why?because it rains", "có sao không?em lo lắm", "是不是痛风?医生您好", "uống mấy mg? em quên", "see http://a.x/p?q and b?c=1", "Is it bad?No", "ok?thx"])
+def test_real_questions(line):
+    assert not G.garbled(["clean", line])[0]
