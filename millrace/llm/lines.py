@@ -1,11 +1,14 @@
 """Lines repeated across the documents of one source.
 
-Method: distributed PrefixSpan over the sequences of line identifiers of each
-source. Level 1 counts single lines by distinct documents; a longer sequence
-can only be frequent if its lines are, so documents are projected to their
-frequent lines before prefixes grow, one line a level, by lines that directly
-follow in the projected document. Occurrences of frequent sequences, single
-lines included, are deleted from each document.
+Method: level-wise counting of contiguous sequences. Level 1 counts single
+lines by distinct documents; a longer sequence can only be frequent if its
+lines are, so documents are projected to their frequent lines, and level n
+counts the runs of n lines whose first and last n - 1 lines are both frequent,
+until a level has none. This is not PrefixSpan: sequences with other frequent
+lines between their members are not listed, as repeated furniture stands in
+blocks and the subsets of one block of k lines alone would be 2^k sequences.
+Occurrences of frequent sequences, single lines included, are deleted from
+each document.
 
 A line's identifier is a 64-bit hash of its normal form (lower case, runs of
 ASCII digits as one 0). Counting never groups a source's documents into one
@@ -171,11 +174,11 @@ def _spell(pages: DataFrame, seqs: DataFrame, lost: DataFrame) -> DataFrame:
     return stored(pages, "id", "url").join(wanted, "id").select("url", "wanted", "html").mapInArrow(run, "host string, line string").distinct()
 
 
-def frequent_sequences(pages: DataFrame, max_length: int = 4) -> DataFrame:
+def frequent_sequences(pages: DataFrame, max_length: int | None = None) -> DataFrame:
     """``host, seq, n_docs, length``: sequences of lines that directly follow each
     other among a document's frequent lines, with the support of single lines.
 
-    ``max_length`` bounds the prefixes grown (a documented parameter).
+    Levels grow until one has no frequent sequence, or up to ``max_length``.
     """
     docs = stage(distinct_documents(stage(sequences(pages), "sequences")), "documents")
     level = stage(frequent_lines(docs), "frequent")
@@ -189,19 +192,29 @@ def frequent_sequences(pages: DataFrame, max_length: int = 4) -> DataFrame:
     )
     least = level.groupBy("host").agg(F.max("n_host").alias("n_host"))
     out = level.select("host", F.array("line_id").alias("seq"), "n_docs", F.lit(1).alias("length"))
-    for n in range(2, max_length + 1):
-        grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("seq") - (n - 1)), lambda i: F.slice("seq", i, n)))
-        grown = (
-            projected.where(F.size("seq") >= n)
-            .select("host", F.explode(grams).alias("seq"))
+    # runs of n lines that are still possible: (host, id, pos) of their first line
+    n, runs = 1, projected.select("host", "id", F.posexplode("seq").alias("pos", "line_id")).select("host", "id", "pos", F.array("line_id").alias("seq"))
+    while max_length is None or n < max_length:
+        n += 1
+        after = runs.select("host", "id", (F.col("pos") - 1).alias("pos"), F.element_at("seq", -1).alias("last"))
+        longer = stage(
+            runs.join(after, ["host", "id", "pos"]).select("host", "id", "pos", F.concat("seq", F.array("last")).alias("seq")), f"runs{n}"
+        )
+        grown = stage(
+            longer.select("host", "id", "seq")
+            .distinct()
             .groupBy("host", "seq")
             .agg(F.count("*").alias("n_docs"))
             .where(F.col("n_docs") >= MIN_DOCS)
             .join(least, "host")
             .where(F.col("n_docs") >= MIN_SHARE * F.col("n_host"))
-            .select("host", "seq", "n_docs", F.lit(n).alias("length"))
+            .select("host", "seq", "n_docs", F.lit(n).alias("length")),
+            f"level{n}",
         )
+        if grown.isEmpty():
+            break
         out = out.unionByName(grown)
+        runs = longer.join(grown.select("host", "seq"), ["host", "seq"], "left_semi")
     return out
 
 

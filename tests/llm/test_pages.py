@@ -334,3 +334,12 @@ def test_a_single_lost_letter(line):
 @pytest.mark.parametrize("line", ["Why?because it rains", "có sao không?em lo lắm", "是不是痛风?医生您好", "uống mấy mg? em quên", "see http://a.x/p?q and b?c=1", "Is it bad?No", "ok?thx"])
 def test_real_questions(line):
     assert not G.garbled(["clean", line])[0]
+
+
+def test_sequences_grow_to_their_full_length(spark):
+    """A footer of seven lines comes out whole, with every run inside it."""
+    foot = [f"foot {c}" for c in "abcdefg"]
+    rows = [("db", i, "http://h.x/", "<body><p>" + "<p>".join([f"own {'x' * i}", *foot, "mid", f"z{'y' * i}"][: 9 if i < 6 else 4])) for i in range(8)]
+    got = {(x["length"], x["n_docs"]) for x in R.frequent_sequences(frame(spark, rows)).collect()}
+    assert got == {(n, 8) for n in (1, 2, 3)} | {(n, 6) for n in range(1, 9)}
+    assert R.frequent_sequences(frame(spark, rows).limit(0)).count() == 0
