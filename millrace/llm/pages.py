@@ -87,6 +87,25 @@ def map_pages(
     return spread(df, df.columns[keys - 1] if "id" not in df.columns else "id").mapInArrow(run, schema)
 
 
+def once(rows: DataFrame, *keys: str) -> DataFrame:
+    """The first row of each key of a staged frame that numbers its rows in ``row``.
+
+    Only keys and row numbers are shuffled; the numbers of repeated rows, which
+    are few, are staged, so that a broadcast of them is chosen by their measured
+    size and other columns stay where they are. Null keys are equal.
+    """
+    narrow = rows.select(*keys, "row")
+    first = narrow.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.min("row").alias("_first"), F.count("*").alias("_n")).where("_n > 1")
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    later = stage(narrow.join(first, same).where("row > _first").select("row"), "later")
+    return rows.join(later, "row", "left_anti").drop("row")
+
+
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """Staged with a number for each row in ``row``."""
+    return stage(df.withColumn("row", F.monotonically_increasing_id()), name)
+
+
 # ---------------------------------------------------------------- problem 2
 
 
@@ -121,7 +140,7 @@ def restored_pages(pages: DataFrame) -> DataFrame:
         return [(source, id_, lines, len(changed), not left)]
 
     schema = "source string, id long, lines array<string>, n_restored int, restorable boolean"
-    return map_pages(stored(pages, "source", "id"), row, schema, 2).dropDuplicates(["source", "id"])
+    return once(numbered(map_pages(stored(pages, "source", "id"), row, schema, 2), "restored"), "source", "id")
 
 
 # ------------------------------------------------------- problem 3 and bodies
@@ -216,7 +235,7 @@ def body_facts(pages: DataFrame) -> DataFrame:
         lines = list(dict.fromkeys([p.lines[i] for i in body]))
         return [(source, id_, host_of(url) if h is not None else None, False, False, h, lines)]
 
-    return stage(map_pages(stored(pages, "source", "id", "url"), row, FACTS + ", lines array<string>", 3), "bodies")
+    return numbered(map_pages(stored(pages, "source", "id", "url"), row, FACTS + ", lines array<string>", 3), "bodies")
 
 
 def without_messages(facts: DataFrame) -> DataFrame:
@@ -231,8 +250,9 @@ def without_messages(facts: DataFrame) -> DataFrame:
 
 def main_lines(pages: DataFrame) -> DataFrame:
     """``source, id, line``: each distinct main line of pages that are no case of garbling or residue."""
-    kept = without_messages(body_facts(pages))
-    return kept.select("source", "id", F.explode("lines").alias("line")).distinct()
+    facts = body_facts(pages)  # lines are distinct within a row
+    kept = without_messages(once(facts, "source", "id"))
+    return kept.select("source", "id", F.explode("lines").alias("line"))
 
 
 # ---------------------------------------------------------------- problem 5
@@ -301,7 +321,7 @@ def language_segments(pages: DataFrame) -> DataFrame:
         return out
 
     schema = "source string, id long, segment int, lang string, confidence double, n_lines int, text string"
-    return map_pages(stored(pages, "source", "id", "url"), _language_row, schema, 3, finish).dropDuplicates(["source", "id", "segment"])
+    return once(numbered(map_pages(stored(pages, "source", "id", "url"), _language_row, schema, 3, finish), "segments"), "source", "id", "segment")
 
 
 # ---------------------------------------------------------------- problem 6
