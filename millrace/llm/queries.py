@@ -77,8 +77,10 @@ def p9_packing(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_fill(spark: SparkSession, d: str) -> DataFrame:
-    """Containers, the least possible number, and the share of space used, per window."""
-    return K.fill_windows(p9_packing(spark, d), _windows(spark, d))
+    """Containers, the least possible number, the share of space used and of items placed by least squares, per window."""
+    windows = _windows(spark, d)
+    packed, recipes = K.pack_by_recipes(stage(T.token_counts(table(spark, d, "documents")), "lengths"), windows)
+    return K.fill_windows(packed, windows, recipes)
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:

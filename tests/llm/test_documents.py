@@ -69,18 +69,56 @@ def test_rank_bitmap():
 def test_recipe_places_every_item_once(capacity):
     r = random.Random(capacity)
     h = {s: r.randint(1, 400) for s in r.sample(range(1, capacity + 1), min(capacity, 40))}
+    check_recipe(h, capacity)
+    total, bins = sum(s * c for s, c in h.items()), K.recipe(dict(h), capacity).containers()
+    least = -(-total // capacity)
+    big = sum(c for s, c in h.items() if 2 * s > capacity)
+    assert bins <= max(least, big) * 1.12 + 2
+    assert not K.recipe({}, 5).parts and not K.recipe({0: 3}, 5).parts
+
+
+def check_recipe(h, capacity):
+    """Every item once, no container over its capacity, by the numbers handed out."""
     plan = K.recipe(dict(h), capacity)
     used = {}
-    for p, n in plan:
-        assert n > 0 and sum(s * m for s, m in p) <= capacity
+    for fill, p, n in plan.parts:
+        assert n > 0 and sum(s * m for s, m in p) <= fill
         for s, m in p:
             used[s] = used.get(s, 0) + m * n
     assert used == h
-    total, bins = sum(s * c for s, c in h.items()), sum(n for _, n in plan)
-    least = -(-total // capacity)
-    big = sum(c for s, c in h.items() if 2 * s > capacity)
-    assert bins <= max(least, big) * 1.12 + 2
-    assert K.recipe({}, 5) == [] and K.recipe({0: 3}, 5) == []
+    size = np.repeat(np.array(sorted(h)), [h[s] for s in sorted(h)])
+    ordinal = np.concatenate([np.arange(h[s]) for s in sorted(h)])
+    load = np.bincount(K.Assignment(plan, 1).containers(size, ordinal), size)
+    assert load[0] == 0 and load.max() <= capacity and (load[1:] > 0).all() and len(load) - 1 == plan.containers()
+    return plan
+
+
+@pytest.mark.parametrize("capacity", [256, 512, 1000, 2048, 8192])
+def test_least_squares_place_most_items(capacity):
+    """Token counts as they occur: a wide spread, many sizes, few items of each."""
+    r = random.Random(1)
+    h = {}
+    for _ in range(6000):
+        n = max(1, int(r.lognormvariate(6, 0.8))) % capacity or capacity
+        h[n] = h.get(n, 0) + 1
+    plan = check_recipe(h, capacity)
+    assert plan.by_greedy <= 0.2 * plan.items
+    total = sum(s * c for s, c in h.items())
+    assert plan.containers() <= 1.02 * total / capacity + 2
+
+
+@pytest.mark.parametrize(
+    "capacity,h", [(101, {16: 199, 48: 199, 37: 199, 61: 102, 23: 102, 17: 102}), (100, {44: 50, 24: 50, 32: 50, 51: 40, 27: 40, 22: 40}), (1000, {501: 60, 271: 60, 228: 60, 260: 90, 240: 90, 250: 180})]
+)
+def test_fewer_containers_than_greedy_alone(capacity, h):
+    assert check_recipe(h, capacity).containers() < K.recipe(dict(h), capacity, greedy_only=True).containers()
+
+
+def test_least_squares_converge():
+    rows, cols = np.array([0, 1, 1, 2, 0]), np.array([0, 0, 1, 1, 2])
+    x = K.solve_nnls(rows, cols, np.ones(5), np.array([30.0, 30.0, 10.0]), 3)
+    assert np.allclose([x[0] + x[2], x[0] + x[1], x[1]], [30, 30, 10], rtol=0.05)
+    assert len(K.solve_nnls(rows[:0], cols[:0], np.ones(0), np.array([1.0]), 0)) == 0
 
 
 def test_packing(spark):
@@ -107,7 +145,9 @@ def test_packing(spark):
     assert K.pack(df.select("doc_id", "n_tokens").limit(0), cap).count() == 0
     windows = [("s", 10), ("m", cap)]
     both = K.pack_windows(df.select("doc_id", "n_tokens"), windows)
-    for w in K.fill_windows(both, windows).collect():
+    both, recipes = K.pack_by_recipes(df.select("doc_id", "n_tokens"), windows)
+    for w in K.fill_windows(both, windows, recipes).collect():
+        assert 0.8 <= w["by_least_squares"] <= 1
         assert w["tokens"] == sum(load.values()) and w["containers"] * w["capacity"] >= w["tokens"] and w["containers"] >= w["least"]
     assert both.groupBy("window_name", "container").agg(F.sum("size").alias("s")).where("window_name = 's' and container > 0 and s > 10").count() == 0
 
