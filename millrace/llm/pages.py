@@ -21,7 +21,7 @@ from .html import Page, render
 
 #: Pages whose rows are held at once in a worker.
 PAGES_AT_ONCE = 1000
-#: Hosts on which a short body worded like a message must recur to be one.
+#: Hosts on which a short body must recur to be a message.
 MIN_HOSTS = 3
 
 _HOST = re.compile(r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://([^/?#]*))?")
@@ -149,7 +149,7 @@ FACTS = "source string, id long, host string, garbled boolean, residue boolean,
 
 
 def page_facts(p: Page) -> tuple[bool, bool, int | None, int, list[int]]:
-    """(garbled, residue by local rules, hash of a short doubtful body, headline, main blocks)."""
+    """(garbled, residue by local rules, hash of a body short enough to be a message, headline, main blocks)."""
     head, body = mainbody.with_headline(p)
     bad, _ = mojibake.garbled([p.title, *p.raw])
     case, h = _judged(p, body, head)
@@ -159,11 +159,11 @@ def page_facts(p: Page) -> tuple[bool, bool, int | None, int, list[int]]:
 def _judged(p: Page, body: list[int], head: int) -> tuple[bool, int | None]:
     """(a case whatever other pages say, masked hash of a body that must recur)."""
     kind, text = residue.judge(p, body, head)
-    return kind in residue.SURE, residue.mask_hash(residue.mask(text)) if kind == "doubtful" else None
+    return kind in residue.SURE, residue.group_of(kind, text) if kind == "body" else None
 
 
 def recurring_messages(facts: DataFrame, min_hosts: int = MIN_HOSTS) -> DataFrame:
-    """Masked hashes of short message-like bodies that recur on ``min_hosts`` hosts or more.
+    """Masked hashes of short bodies that recur on ``min_hosts`` hosts or more.
 
     ``facts`` has ``host`` and ``body_hash``. Pairs are made distinct before
     they are counted, so a host that shows one message a million times sends
@@ -183,13 +183,13 @@ MESSAGES = "source string, id long, host string, hash long, kind string, text st
 
 
 def message_facts(pages: DataFrame) -> DataFrame:
-    """One row per page row with residue or a doubtful body: the masked text's hash, its class and a sample; staged."""
+    """One row per page row with residue or a short body: the masked text's hash, its class and a sample; staged."""
 
     def row(source: str, id_: int, url: str, html: str) -> list[tuple]:
         p = render(html)
         head, body = mainbody.with_headline(p)
         kind, text = residue.judge(p, body, head)
-        return [(source, id_, host_of(url), residue.mask_hash(residue.mask(text)), kind, text[:300])] if kind else []
+        return [(source, id_, host_of(url), residue.group_of(kind, text), kind, text)] if kind else []
 
     return stage(map_pages(stored(pages, "source", "id", "url"), row, MESSAGES, 3), "residue")
 
@@ -241,7 +241,7 @@ def body_facts(pages: DataFrame) -> DataFrame:
 def without_messages(facts: DataFrame) -> DataFrame:
     """Staged facts without the pages whose body turned out to be a recurring message.
 
-    Only rows with a doubtful body take part in the join; the rest pass by.
+    Only rows with a short body take part in the join; the rest pass by.
     """
     sure = facts.where("body_hash is null")
     doubtful = facts.where("body_hash is not null").join(recurring_messages(facts), "body_hash", "left_anti")
@@ -334,7 +334,7 @@ def node_classifier(pages: DataFrame) -> markup.Trees:
 
 
 def _markup_row(source: str, id_: int, url: str, html: str) -> list[tuple]:
-    """(source, id, host, body hash, page, feature rows) of pages with any markup in sight or a doubtful body."""
+    """(source, id, host, body hash, page, feature rows) of pages with any markup in sight or a short body."""
     p = render(html)
     head, body = mainbody.with_headline(p)
     case, h = _judged(p, body, head)

@@ -25,7 +25,7 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_messages(spark: SparkSession, d: str) -> DataFrame:
-    """Every group of masked residue or doubtful text with its spread and verdict."""
+    """Every group of masked residue or short bodies with its spread and verdict."""
     return P.messages(P.message_facts(P.load(spark, d)))
 
 

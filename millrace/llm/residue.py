@@ -1,13 +1,19 @@
 """Template residue, filler and error-page text in the main body of pages.
 
-Local part (plain Python on one page): lines of the main body are masked
-(numbers, addresses, dates, quoted paths), hashed exactly, and judged by
-placeholder and phrase rules. The distributed part (:func:`.pages.residue_pages`)
-groups the masked hashes across hosts and turns short bodies that recur widely
-and are worded like messages into cases as well.
+Method: texts are masked (numbers, addresses, dates, quoted paths) and hashed
+exactly; the distributed part (:func:`.pages.messages`) groups the hashes across
+hosts and classifies each group. A group is residue by its own evidence (a
+placeholder, filler, or the wording of an error message or script notice, by the
+rules below), or because it is the whole main body of pages on several hosts:
+articles differ from host to host, so a short text that is all there is on many
+is a message, whatever its language.
+
+Local part (plain Python on one page): which texts of the body enter the
+groups, and with which class.
 
 Defined results: pages without blocks are no case; a page whose visible text is
-furniture only is no case; code in ``pre`` is never searched for placeholders.
+furniture only is no case; code in ``pre`` is never searched for placeholders;
+longer bodies that recur on several hosts are copied articles, no messages.
 """
 
 from __future__ import annotations
@@ -39,6 +45,12 @@ def mask_hash(text: str) -> int:
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
+def group_of(kind: str, text: str) -> int:
+    """Hash of the group a text belongs to. Whole bodies and messages meet in one group; masked placeholders and
+    filler could look like plain words, so they keep apart."""
+    return mask_hash(mask(text) if kind in ("message", "body") else f"{kind}\n{mask(text)}")
+
+
 #: Usual names of fields: what double underscores hold when they are no emphasis.
 _FIELD = (
     "name|title|doctor|city|country|hotline|phone|email|address|date|time|year|price|amount|total|author|body|content|summary|description|link|url|image|user|username"
@@ -52,9 +64,9 @@ PLACEHOLDER = re.compile(
     r"|(?<![\w_])__(?:[A-Za-z]+(?:[._][A-Za-z]+)+|FIELD)__(?![\w_])|(?<![\w%])%[A-Z]{3,}(?:_[A-Z]+)*%(?![\w%])"
     r"|\[(?:Insert|Enter|Your|Nhập|Chèn|请输入|插入)\b[^\[\]]{1,60}\]|\[[A-Z]{3,}(?:[._][A-Z]+)*\](?!\()"
     r"|(?<![\w^_}\\{])\{\d{1,2}\}(?![\w{])|<\?(?:php|=).{0,200}?\?>|\[object [A-Z]\w+\]|(?<![\w.])NaN(?![\w.])"
-    r"|(?<!\bis )(?<!\bare )(?<!\ban )(?<!\bremains )(?<![\w.-])undefined(?![\w.-])|^(?:null|None|nil|n/?a)$".replace("FIELD", _FIELD)
+    r"|\*\|[A-Z][\w:]*\|\*|(?<!\bis )(?<!\bare )(?<!\ban )(?<!\bremains )(?<![\w.-])undefined(?![\w.-])|^(?:null|None|nil|n/?a)$".replace("FIELD", _FIELD)
 )
-_QUICK = ("{", "@@", "##", "__", "%>", "<?", "%]", "[Insert", "[Enter", "[Your", "[Nhập", "[Chèn", "[请", "[插", "[object", "NaN", "undefined")
+_QUICK = ("{", "*|", "@@", "##", "__", "%>", "<?", "%]", "[Insert", "[Enter", "[Your", "[Nhập", "[Chèn", "[请", "[插", "[object", "NaN", "undefined")
 _QUICK_RX = re.compile(r"[%\[][A-Z]{3}")
 _EMPTY_RX = re.compile(r"\n(?:null|None|nil|[Nn]/?[aA])\n")
 
@@ -101,16 +113,8 @@ ERROR = re.compile(
     r"|(?:错误|请求|参考|事件)(?:编号|代码|号)\s?[::]?\s?[\w-]*\d*$|参数错误|访问(?:过于频繁|被拒绝|受限|频率)|(?:登录|会话|登陆)已?(?:超时|过期|失效)|(?:您|你)(?:没有|无)权(?:限)?|没有找到|请(?:稍后|重新|返回首页).{0,20}$|非法请求|无法访问",
     re.I,
 )
-#: Words that make a widely recurring short body a message even where no phrase above fits.
-WEAK = re.compile(
-    r"\b(?:error|sorry|unavailable|expired|denied|invalid|loading|blocked|redirect\w*|maintenance|retry|refresh|browser|login|sign in|verify|captcha|not exist|missing)\b"
-    r"|lỗi|không thể|không hợp lệ|hết hạn|tạm (?:ngưng|dừng)|bảo trì|trình duyệt|đang tải|xác minh|thử lại|đăng nhập"
-    r"|错误|异常|失败|过期|失效|不存在|无法|拒绝|加载|跳转|浏览器|验证|登录|维护|稍后|重试",
-    re.I,
-)
-
-#: A body of at most so many lines is a message by loose wording alone, where half of its lines are so worded.
-SHORT_BODY = 6
+#: Characters (masked) up to which a body that recurs on several hosts is a message.
+MESSAGE_CHARS = 240
 
 #: Messages about the page, the server or the session itself: residue wherever a line of the body starts so.
 PLAIN_ERROR = re.compile(
@@ -207,43 +211,38 @@ SURE = frozenset(["placeholder", "filler", "message"])
 
 
 def judge(page: Page, body: list[int], head: int) -> tuple[str, str]:
-    """(class of residue, the text that shows it); ``("", "")`` for a sound page.
+    """(class, the text that shows it); ``("", "")`` for a page whose body enters no group.
 
-    Classes are those of :data:`SURE` and ``doubtful``: a short body worded
-    like a message that must recur to be one. ``body`` are the main blocks of
-    the page, ``head`` its headline or -1.
+    Classes are those of :data:`SURE` and ``body``: a body short enough to be a
+    message that must recur to be one. ``body`` are the main blocks of the page,
+    ``head`` its headline or -1. A message counts wherever it stands in the
+    body; looser wording counts where at least half of the lines are so worded.
     """
     lines = page.lines
-    if body:
-        found = _unfinished(page, body)
-        if found[0]:
-            return found
-    if head < 0:
+    if head < 0 and not body:
         # no article: whatever visible text is not worded like furniture
-        rest = [i for i in range(len(lines)) if not page.linked[i] and not furniture(lines[i])]
-        for i in rest:
-            if message_line(lines[i]):
-                return "message", lines[i]
-        if not body:
-            body = rest
-            if body and len(body) <= SHORT_BODY:
-                found = _unfinished(page, body)
-                if found[0]:
-                    return found
+        body = [i for i in range(len(lines)) if not page.linked[i] and not furniture(lines[i])]
     if not body:
         return "", ""
-    joined = "\n".join([lines[i] for i in body])
+    found = _unfinished(page, body)
+    if found[0]:
+        return found
+    if head < 0:
+        for i in range(len(lines)):
+            if not page.linked[i] and message_line(lines[i]) and not furniture(lines[i]):
+                return "message", lines[i]
     for i in body:
         if plain_message(lines[i]) and not _code(page, i):
             return "message", lines[i]
-    if len(body) > SHORT_BODY:
-        return "", ""
-    messages = sum(message_line(lines[i]) for i in body)
-    if messages * 2 >= len(body):
-        return "message", joined
-    if len(joined) <= 240 and len(body) <= 3 and WEAK.search(joined):
-        return "doubtful", joined
-    return "", ""
+    if 2 * sum(message_line(lines[i]) for i in body) >= len(body):
+        return "message", "\n".join([lines[i] for i in body])
+    size = 0
+    for i in body:
+        size += len(lines[i])
+        if size > 4 * MESSAGE_CHARS:
+            return "", ""
+    joined = "\n".join([lines[i] for i in body])
+    return ("body", joined) if len(mask(joined)) <= MESSAGE_CHARS else ("", "")
 
 
 #: Program output that is residue wherever it stands.

@@ -411,3 +411,45 @@ def test_cleaned_by_either_way(spark, monkeypatch):
         monkeypatch.setattr(R, "SENT_LINES", most)
         got = [(x["host"], x["id"], tuple(x["lines"]), x["n_removed"]) for x in R.without_repeated(frame(spark, rows)).collect()]
         assert set(got) == want and len(got) == len(want)
+
+
+SEVEN = "".join(f"<p>{w} walked along the river for an hour and said nothing.</p>" for w in "They We You He She Nobody Everybody".split())
+
+
+def verdict(html):
+    p = H.render(html)
+    head, body = B.with_headline(p)
+    return X.judge(p, body, head)[0]
+
+
+@pytest.mark.parametrize(
+    "line",
+    ["Sorry, the page you requested does not exist.", "Enable JavaScript to view this page.", "Dear *|FNAME|*, welcome", "502 Bad Gateway", "Trang này không tồn tại.", "该页面不存在", "Internal Server Error", "Please enable scripts to read on",
+     "Hello {{ user.name }}", "Lorem ipsum dolor sit amet, consectetur adipiscing elit"],
+)
+def test_residue_in_a_long_body(line):
+    assert verdict(article(SEVEN + f"<p>{line}</p>")) in X.SURE
+    assert verdict(article(SEVEN)) == "" and verdict(article(f"<p>{line}</p>")) in X.SURE
+
+
+def test_many_error_lines_are_a_message():
+    lines = ["Oops, no luck.", "Try again later.", "Error code 77", "Come back soon.", "Not found", "Reference #12", "Unauthorized", "nginx/1.2"]
+    assert verdict(article("".join(f"<p>{x}</p>" for x in lines))) == "message"
+
+
+@pytest.mark.parametrize("line", ["An error in the dose can be dangerous.", "Many patients were not found in the register.", "The clinic closed for maintenance in May.", "He was denied access to care for years.", "Doctors say javascript games calm children."])
+def test_articles_about_errors_are_no_residue(line):
+    assert verdict(article(SEVEN + f"<p>{line}</p>")) == ""
+
+
+def test_message_in_an_unknown_language(spark):
+    """A short text that is all there is on several hosts, and copies of an article that are not."""
+    page = lambda title, body: f"<html><head><title>{title}</title></head><body><h1>{title}</h1>{body}</body></html>"
+    error = page("Fehler 17", "<p>Die Seite gibt es leider nicht mehr.</p>")
+    rows = [("db", i, f"http://h{i}.x/", error.replace("17", str(i))) for i in range(4)] + [("db", 10 + i, f"http://h{i}.x/", article(SEVEN)) for i in range(5)]
+    rows += [("db", 20 + i, f"http://one.x/{i}", page("Hinweis", "<p>Bitte warten.</p>")) for i in range(9)] + [("db", 30, "http://a.x", page("title", "")), ("db", 31, "http://b.x", page("Sale", "<p>[TITLE]</p>"))]
+    df = frame(spark, rows)
+    assert {r["id"] for r in P.residue_pages(P.message_facts(df)).collect()} == {0, 1, 2, 3, 31}
+    assert {r["id"] for r in P.main_lines(df).collect()} == {*range(10, 15), *range(20, 29), 30}
+    groups = P.messages(P.message_facts(df)).where("kind = 'body'").collect()
+    assert sorted((g["n_hosts"], g["n_pages"], g["is_residue"]) for g in groups) == [(1, 1, False), (1, 9, False), (4, 4, True)]
