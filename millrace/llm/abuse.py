@@ -2,12 +2,19 @@
 
 Method: Levenshtein automata intersected with a lexicon trie. Each distinct
 token, after disguises are undone (zero-width and inserted characters, digits
-for letters, look-alike letters, drawn-out letters, masked letters), walks the
-trie of lexicon words together with the states of its Levenshtein automaton;
-masked letters match any one inside the rules, so no reading is left out. Sentences are rewritten with the lexicon words
-found and scored: terms that attack, degrade or arouse add to their category,
-and the context window of a term (quoting, warning, medical or educational
-wording around it) takes away.
+for letters, look-alike letters, drawn-out letters), walks the trie of lexicon
+words together with the states of its Levenshtein automaton (neighbouring
+letters in the wrong order are one error). A token of any length that is no word
+of its own is read as the lexicon word next to it: one error from three letters
+on, two from nine. Below six letters such a reading only counts inside a phrase
+of several words. Terms in ideographs walk a trie of their own, in which a
+character also stands for one that sounds alike. Masked letters match any one
+inside the rules, so no reading is left out.
+
+Sentences are rewritten with the lexicon words found and scored: terms that
+attack, degrade or arouse add to their category, and the context window of a
+term (quoting, warning, medical or educational wording around it) takes away.
+Words in quotation marks beside a word of speech are another's, not the author's.
 
 Defined results: null, empty and blank texts score 0 and have no category;
 repeated sentences do not add up, a document has the score of its worst
@@ -17,18 +24,22 @@ counted as abuse of a person.
 
 from __future__ import annotations
 
+import json
+import os
 import re
 import re._parser as sre
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
+import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship, spread
 from .language import fold
+from .tokens import TOKENIZERS, VOCABULARY
 
 THRESHOLD = 1.0
 CATEGORIES = ("abusive", "hateful", "sexual")
@@ -51,6 +62,8 @@ _E_WORST = "filth|filthy|vermin|parasites|scum|subhuman|subhumans|less than huma
 _E_INSULT = (
     "idiot|idiots|moron|morons|imbecile|cretin|bastard|bastards|scumbag|loser|losers|liar|fool|prick|quack|piece of trash|piece of shit|asshole|bitch|jerk|dumbass|pig|clown|creep|dimwit|fraud|halfwit|retard|crook|charlatan|twit|worm|coward"
 )
+#: People by where they are from or what they are, as plurals.
+_E_PEOPLE = r"\w+(?:ians|eans|icans|ese|ish people|ish women|ish men)|(?:the |these |those )?\w+ (?:people|women|men|folk|immigrants|migrants|refugees|families)"
 _E_BAD = "useless|worthless|pathetic|disgusting|brain dead|braindead|filthy|spineless|stupid|dumb|complete|utter|damn|fucking|miserable|rotten|brainless|ignorant|clueless|vile|bloody|lying|dirty"
 _Z_INSULT = "脑残|智障|白痴|废物|垃圾|骗子|蠢货|畜生|王八蛋|傻逼|傻子|贱人|混蛋|人渣|败类|狗东西|杂种|笨蛋|猪脑子|下贱|狗屎|蠢猪|饭桶|渣滓|神经病"
 _Z_GROUP = "女医生|移民|难民|残疾人|老不死的|山里人|外地人|乡下人|老年人|老人|女人|黑人|同性恋|少数民族|外国人|残废|农民工|穆斯林|犹太人|乞丐|流浪汉|低端人口|瘸子|聋子|瞎子|农村人"
@@ -85,7 +98,8 @@ _VI = {
 _EN = {
     "abusive": _p(
         (1.0, rf"(?:you|your|yourself)\b.{{0,40}}\b(?:{_E_INSULT})\b(?! is not tolerated)|(?:{_E_INSULT})\b,? (?:you|did you|are you|get out|go)\b|(?:{_E_INSULT})\b.{{0,12}}\b(?:you|your)\b"),
-        (1.0, rf"(?:shut up|go (?:drown|hang|kill|die)\w*|drop dead|people like you deserve|deserve to rot|i hope you (?:choke|die|rot|suffer|get)|i will (?:find|kill|break|hurt|beat|burn) you|break your (?:teeth|legs|neck|face|arms)|burn in hell|rot in hell|screw you|fuck you|get lost|kill yourself)"),
+        (1.0, rf"(?:shut up|go (?:drown|hang|kill|die)\w*|drop dead|people like you deserve|deserve to rot|i hope you (?:choke|die|rot|suffer|get)|i will (?:find|kill|break|hurt|beat|burn) you|break your (?:teeth|legs|neck|face|arms)|burn in hell|rot in hell|screw you|fuck you|get lost|kill yourself|kys\b)"),
+        (1.0, r"(?:someone|somebody|i|we|they) (?:should|will|ought to|must|am going to|are going to|m going to) (?:kill|shoot|stab|strangle|hang|hurt|beat up) (?:you|him|her|them)\b|burn (?:your|his|her|their) (?:house|home|clinic|office|car)\b|i know where you live"),
         (1.0, rf"(?:is|was|are|such|what) an? (?:(?:{_E_BAD}) )+(?:{_E_INSULT})|what an? (?:\w+ )?(?:\w+ )?(?:{_E_INSULT})|only an? (?:\w+ ){{0,2}}(?:{_E_INSULT}) would|believe this quack|(?:{_E_BAD}|lying|wrong|stupid) as ever|is (?:crap|shit|garbage) and so are you|so are you\b|you are an? (?:{_E_BAD}|{_E_INSULT})|you (?:{_E_BAD}) (?:{_E_INSULT}|piece|pile|waste)|did you buy your degree|whoever wrote this"),
         (0.5, rf"\b(?:{_E_INSULT}|crap|drivel|shit|bullshit)\b"),
         (0.4, r"\byou\b|\byour\b"),
@@ -95,6 +109,7 @@ _EN = {
         (1.0, rf"(?:{_E_GROUP}) (?:do not|does not|don t|never) deserve|without (?:the |those |these )?(?:{_E_GROUP})|send (?:the |those |these )?(?:{_E_GROUP}) (?:back|home|away)|keep (?:the |those |these )?(?:{_E_GROUP}) out|get rid of (?:the |those |these |all )?(?:{_E_GROUP})|no treatment for (?:the )?(?:{_E_GROUP})"),
         (1.0, rf"(?:{_E_GROUP}) (?:\w+ ){{0,3}}like (?:rats|vermin|animals|cockroaches|pigs|flies|rabbits)|(?:{_E_GROUP}) breed\b|refuse to \w+ (?:near|next to|beside|with) (?:{_E_GROUP})|(?:{_E_GROUP}) (?:{_E_LOW}) (?:all|every one) of them"),
         (1.0, rf"every one of (?:those|these|the) (?:{_E_GROUP})|(?:{_E_GROUP})\b.{{0,40}}\bshould be (?:driven|wiped|locked|shot|burned|burnt|sterili|expelled|removed|kept out|put down|rounded|left to)|(?:{_E_GROUP})\b.{{0,60}}\b(?:{_E_WORST})\b|(?:{_E_WORST})\b.{{0,40}}\b(?:{_E_GROUP})\b"),
+        (1.0, rf"(?:{_E_PEOPLE}) (?:are|were) (?:all |just |nothing but |like |worse than |no better than |only )*(?:filth|vermin|scum|subhuman|subhumans|less than human|cockroaches|savages|barely human|not human)|(?:{_E_PEOPLE}) (?:\w+ ){{0,6}}should be (?:shot|gassed|exterminated|wiped out|hanged|sterili[sz]ed|burned|burnt)"),
     ),
     "sexual": _p(
         (1.0, r"wet pussy|\bpussy\b|sex videos?|cam girls?|nude cams?|adult escorts?|escorts\b|hardcore|uncensored|\bhorny\b|porn\w*|xxx\b|went down on (?:him|her|me)|rode (?:him|her|me)|got hard while|send me your nudes|talk dirty|licked (?:his|her|my)|strip(?:s|ped)? (?:and|off|for)|cams? all night|blow ?job|cum\w*\b|fuck(?:ed|ing) (?:her|him|me)|suck(?:ed|ing) (?:his|her|my)|moan(?:ed|ing)|naked (?:girls?|women|teens?)|hot (?:girls?|singles|teens?) |explicit (?:adult|videos?)|want you tonight|(?:nude|naked|dirty|horny|explicit) (?:strippers|housewives|singles|girls|escorts|students|models|teens)"),
@@ -128,17 +143,21 @@ _MEDICAL = {
     "en": r"infections?|condoms?|sexual health|self examination|mirror|erectile|complaints|contracept\w*|consent|breast",
     "zh": r"自检|自查|就诊|出血|感染|避孕|健康教育|乳房|阴道",
 }
-#: Least letters of a word read with two neighbouring letters in the right order; from 6 on any one letter may be wrong.
-SHORT_LENGTH = 4
+#: Letters from which two neighbours in the wrong order count by themselves, from which any one error does,
+#: and from which two errors are tried. Shorter readings count inside phrases.
+SHORT_LENGTH, PLAIN_LENGTH, LONG_LENGTH = 4, 6, 9
 #: Words of their own that such a change would turn into a lexicon word.
 PLAIN_WORDS = frozenset("form from trial trail angle angel lair lira arts tars tsar salve untied united sacred scared causal casual dairy diary silver sliver quiet quite calm clam rats brid bird gril girl wrap warp sued used".split())
 #: Characters on either side of a term that count as its context.
 WINDOW = 60
 CONTEXT_PRICE = 1.2
+#: What is taken off the score of quoted words beside a word of speech.
+QUOTE_PRICE = 2.5
 # ------------------------------------------------------------------------- cleaning
 _INVISIBLE = re.compile("[­​-‏⁠-⁤﻿‪-‮]")
 # Letters of other scripts that look like Latin ones, fixed by their shapes.
 _LOOKALIKE = str.maketrans("аеорсухіјѕһԁԛѡкмтвнАЕОРСУХІЈЅКМТВНαοεικρτυνΑΒΕΖΗΙΚΜΝΟΡΤΥΧ", "aeopcyxijshdqwkmtbhAEOPCYXIJSKMTBHaoeikptuvABEZHIKMNOPTYX")
+_OTHER_SCRIPT = re.compile("[\u0370-\u052f]")
 _LEET = str.maketrans("013457@$", "oieastas")
 _DOTTED = re.compile(r"(?<![^\W\d_])[^\W\d_](?:[.·•_-][^\W\d_]){2,}(?![^\W\d_])\.?")
 _DRAWN = re.compile(r"([^\W\d_])\1{2,}")
@@ -168,13 +187,14 @@ class Trie:
         return min(self.all_within(token, most), default=(0, None))[1]
 
     def all_within(self, token: str, most: int) -> list[tuple[int, str]]:
-        """(distance, word) of every lexicon word at distance ``most`` or less."""
+        """(distance, word) of every lexicon word at distance ``most`` or less; two neighbours in the wrong order are one error."""
         n = len(token)
         found: list[tuple[int, str]] = []
-        # each state is the automaton's set of positions, kept as a row of distances
-        stack = [(self.root, list(range(n + 1)))]
+        # each state is the automaton's set of positions, kept as a row of distances, next to the row and letter before
+        first = list(range(n + 1))
+        stack = [(self.root, first, first, "")]
         while stack:
-            node, row = stack.pop()
+            node, row, earlier, last = stack.pop()
             word = node.get("")
             if word is not None and row[n] <= most:
                 found.append((row[n], word))
@@ -184,9 +204,12 @@ class Trie:
                 new = [row[0] + 1]
                 for i in range(n):
                     t = token[i]
-                    new.append(min(new[i] + 1, row[i + 1] + 1, row[i] + (t != c and t != "*")))
-                if min(new) <= most:
-                    stack.append((child, new))
+                    best = min(new[i] + 1, row[i + 1] + 1, row[i] + (t != c and t != "*"))
+                    if i and t == last and token[i - 1] == c and t != c:
+                        best = min(best, earlier[i - 1] + 1)
+                    new.append(best)
+                if min(new) <= most or min(row) < most:
+                    stack.append((child, new, row, c))
         return found
 
 
@@ -233,92 +256,146 @@ def masked(pattern: str) -> str:
             end = pattern.index("}", i)
             out.append(pattern[i : end + 1])
             i = end
+        elif c == "[":
+            end = pattern.index("]", i)
+            out.append(pattern[i:end] + ("]" if pattern[i + 1] == "^" else "*]"))
+            i = end
         else:
             out.append(f"[{c}*]" if c.isalpha() else c)
         i += 1
     return "".join(out)
 
 
+#: A Vietnamese syllable, written with or without marks: a word of its own, not a misspelling.
+_SYLLABLE = re.compile(r"(?:ngh|ng|nh|gh|gi|kh|ph|qu|th|tr|ch|[bcdghklmnprstvx])?[aeiouy]{1,3}(?:ng|nh|ch|[cmnpt])?")
+
+
+@lru_cache(maxsize=1)
+def ordinary_words() -> frozenset[str]:
+    """Whole lower-case words of the public vocabulary, and a few that it lacks; only the latter where there is no such file."""
+    path = os.path.join(TOKENIZERS, VOCABULARY)
+    if not os.path.exists(path):
+        return PLAIN_WORDS
+    with open(path, encoding="utf-8") as f:
+        vocabulary = json.load(f)["model"]["vocab"]
+    return PLAIN_WORDS | {t[1:] for t in vocabulary if t[0] == "Ġ" and t[1:].isalpha()}
+
+
 class Scorer:
     """Patterns and lexicon of one spelling (accented or not) of one language."""
 
     def __init__(self, rules: dict[str, list[tuple[float, str]]], language: str, change, divided: bool = True) -> None:
         edge = (r"(?<!\w)", r"(?!\w)") if divided else ("", "")  # ideographs are not divided into words
         whole = {c: [(w, f"{edge[0]}(?:{change(p)}){edge[1]}") for w, p in ps] for c, ps in rules.items()}
-        #: (weight, texts without which the rule cannot match, rule)
-        self.rules = {c: [(w, tuple(required(p)), re.compile(p)) for w, p in ps] for c, ps in whole.items()}
-        self.masked = {c: [(w, (), re.compile(masked(p))) for w, p in ps] for c, ps in whole.items()} if divided else self.rules
+        #: (category, weight, rule)
+        self.rules = [(c, w, re.compile(p)) for c, ps in whole.items() for w, p in ps]
+        self.masked = [(c, w, re.compile(masked(p) if divided else p)) for c, ps in whole.items() for w, p in ps]
+        #: texts without which a rule cannot match, all looked for in one pass; each stands for a set of rules
+        self.keys = [required(p) for ps in whole.values() for _, p in ps]
+        sets: dict[str, int] = {}
+        for i, texts in enumerate(self.keys):
+            for t in texts:
+                sets[t] = sets.get(t, 0) | 1 << i
+        self.screen = ahocorasick.Automaton()
+        for t, rules_ in sets.items():
+            self.screen.add_word(t, rules_)
+        self.screen.make_automaton()
+        self.always = sum(1 << i for i, texts in enumerate(self.keys) if not texts)
         self.context = re.compile(change(_CONTEXT[language]))
         self.medical = re.compile(change(_CONTEXT[language] + "|" + _MEDICAL[language]))
         words = {w for ps in rules.values() for _, p in ps for w in re.findall(r"[^\W\d_]+", change(re.sub(r"\(\?\w*[:!=<]|\\[a-z]|\{[^}]*\}", " ", p))) if len(w) > 1}
         self.words = frozenset(words)
         self.trie = Trie(sorted(words))
-        self.cache: dict[str, str] = {}
-
-    def canonical(self, token: str) -> str:
-        """The lexicon word a token stands for, or the token itself."""
-        hit = self.cache.get(token)
-        if hit is None:
-            hit = token
-            if token not in self.words:
-                if len(token) >= 6:
-                    hit = self.trie.within(token, 1) or self.swapped(token) or token
-                elif len(token) >= SHORT_LENGTH:
-                    hit = self.swapped(token) or token
-            if len(self.cache) > 300_000:
-                self.cache.clear()
-            self.cache[token] = hit
-        return hit
-
-    def swapped(self, token: str) -> str | None:
-        """The lexicon word that differs by two neighbouring letters in the wrong order, first in letter order."""
-        if not token.isalpha() or token in PLAIN_WORDS:
-            return None
-        turned = (token[:i] + token[i + 1] + token[i] + token[i + 2 :] for i in range(len(token) - 1))
-        return min((t for t in turned if t in self.words), default=None)
-
-    def reading(self, tokens: list[str]) -> str:
-        """The sentence in lexicon words; masked tokens stay masked, for rules that take ``*`` for any letter."""
-        return " ".join([t if "*" in t else self.canonical(t) for t in tokens])
+        self.language = language
+        self.strict: dict[str, str] = {}
+        self.loose: dict[str, str] = {}
+
+    def own_word(self, token: str) -> bool:
+        """Whether a token is a word of its own, lexicon or not."""
+        if self.language == "vi" and _SYLLABLE.fullmatch(fold(token)):
+            return True
+        return token in ordinary_words()
+
+    def look_up(self, token: str) -> None:
+        """Fill both caches with the lexicon words a token stands for, or the token itself.
+
+        The strict reading counts by itself, the loose one (short tokens, two errors) inside phrases only.
+        """
+        strict = loose = token
+        n = len(token)
+        if token not in self.words and "*" not in token and token.isalpha() and n >= 3 and not self.own_word(token):
+            near = self.trie.within(token, 2 if n >= LONG_LENGTH else 1)
+            if near is not None:
+                loose = near
+                if n >= SHORT_LENGTH and (sorted(near) == sorted(token) or n >= PLAIN_LENGTH and (n < LONG_LENGTH or self.trie.within(token, 1) == near)):
+                    strict = near
+        if len(self.strict) > 300_000:
+            self.strict.clear()
+            self.loose.clear()
+        self.strict[token], self.loose[token] = strict, loose
+
+    def readings(self, tokens: list[str]) -> tuple[str, str]:
+        """The sentence in lexicon words, strictly and loosely; masked tokens stay masked, for rules that take ``*`` for any letter."""
+        known = self.strict
+        for t in tokens:
+            if t not in known:
+                self.look_up(t)
+        return " ".join([known[t] for t in tokens]), " ".join(map(self.loose.__getitem__, tokens))
 
     def phrases(self, sentence: str) -> list[tuple[str, int, int]]:
         """(category, first word, last word) of what the rules for masked text match over several words."""
         found = []
-        for c, ps in self.masked.items():
-            for _, _, rx in ps:
-                for m in rx.finditer(sentence):
-                    first, last = sentence.count(" ", 0, m.start()), sentence.count(" ", 0, m.end())
-                    if last > first:
-                        found.append((c, first, last))
+        for c, _, rx in self.masked:
+            for m in rx.finditer(sentence):
+                first, last = sentence.count(" ", 0, m.start()), sentence.count(" ", 0, m.end())
+                if last > first:
+                    found.append((c, first, last))
         return found
 
-    def score(self, sentence: str, phrases: list[tuple[str, int, int]] = [], alone: bool = True) -> dict[str, float]:  # noqa: B006
+    def score(self, sentence: str, phrases: list[tuple[str, int, int]] = [], alone: bool = True, several: bool = False, outside: bool = True) -> dict[str, float]:  # noqa: B006
         """Score by category. A masked word that a phrase of ``phrases`` explains is no word of another category by itself,
-        and without ``alone`` masked words count in phrases only."""
+        and without ``alone`` masked words count in phrases only. With ``several`` only matches of several words count, and
+        ``outside`` says that the words are the author's own."""
 
         def free(c: str, m: re.Match[str]) -> bool:
-            if "*" not in m.group(0) or " " in m.group(0):
+            if " " in m.group(0):
+                return True
+            if several:
+                return False
+            if "*" not in m.group(0):
                 return True
             if not alone:
                 return False
             at = sentence.count(" ", 0, m.start())
             return not any(k != c and first <= at <= last for k, first, last in phrases)
 
+        hidden = "*" in sentence
+        hit = self.always
+        if hidden:
+            hit = (1 << len(self.rules)) - 1
+        else:
+            for _, rules in self.screen.iter(sentence):
+                hit |= rules
+        if not hit:
+            return {}
+        every = self.masked if hidden else self.rules
+        plain = not (phrases or several) and alone
+        total: dict[str, list] = {}
+        while hit:
+            low = hit & -hit
+            hit ^= low
+            c, w, rx = every[low.bit_length() - 1]
+            m = rx.search(sentence) if plain else next((m for m in rx.finditer(sentence) if free(c, m)), None)
+            if m:
+                x = total.setdefault(c, [0.0, len(sentence), 0])
+                x[0] += w
+                x[1], x[2] = min(x[1], m.start()), max(x[2], m.end())
         out = {}
-        for c, ps in (self.masked if "*" in sentence else self.rules).items():
-            s, first, last = 0.0, len(sentence), 0
-            for w, texts, rx in ps:
-                if texts and not any(map(sentence.__contains__, texts)):
-                    continue
-                m = next((m for m in rx.finditer(sentence) if free(c, m)), None) if phrases or not alone else rx.search(sentence)
-                if m:
-                    s += w
-                    first, last = min(first, m.start()), max(last, m.end())
-            if s:
-                near = sentence[max(0, first - WINDOW) : last + WINDOW]
-                if (self.medical if c == "sexual" else self.context).search(near):
-                    s -= CONTEXT_PRICE
-                out[c] = s
+        for c, (v, first, last) in total.items():
+            near = sentence[max(0, first - WINDOW) : last + WINDOW]
+            if (self.medical if c == "sexual" else self.context).search(near):
+                v -= CONTEXT_PRICE
+            out[c] = v if outside else v - QUOTE_PRICE
         return out
 
 
@@ -339,10 +416,69 @@ def scorers() -> dict[str, Scorer]:
     }
 
 
+# ------------------------------------------------------------------ ideographs
+# Traditional forms of lexicon characters, and characters that sound like the first of each group.
+_SIMPLE = str.maketrans("殘癡廢騙貨賤雜種豬腦滾閉媽們這個蟲髒碼難無婦幹雞", "残痴废骗货贱杂种猪脑滚闭妈们这个虫脏码难无妇干鸡")
+_SOUNDS = "残惨蚕 痴吃持池 障帐杖丈 智志制知 废费肥 物务勿 垃拉喇 圾级极及 蠢春纯 货祸 畜触 傻煞沙啥 逼比笔币批 贱剑 混浑 蛋旦弹 渣扎咋 狗苟 杂咂 种肿 猪朱诸 脑恼 滚衮 人仁 骗偏".split()
+
+
+class SoundTrie:
+    """Terms in ideographs, read with at most one character that only sounds right."""
+
+    def __init__(self, terms: list[str]) -> None:
+        self.root = Trie(terms).root
+        self.sounds = {x: g[0] for g in _SOUNDS for x in g[1:]}
+
+    def reading(self, text: str) -> str:
+        """The text with sound-alikes inside terms replaced; terms do not overlap, longer ones first."""
+        if not any(map(self.sounds.__contains__, text)):
+            return text
+        out: list[str] = []
+        i = 0
+        while i < len(text):
+            best = ""
+            stack = [(self.root, i, True)]
+            while stack:
+                node, j, may = stack.pop()
+                if "" in node and j - i > len(best):
+                    best = node[""]
+                if j == len(text):
+                    continue
+                if text[j] in node:
+                    stack.append((node[text[j]], j + 1, may))
+                other = self.sounds.get(text[j]) if may else None
+                if other in node:
+                    stack.append((node[other], j + 1, False))
+            out.append(best or text[i])
+            i += len(best) or 1
+        return "".join(out)
+
+
+_ZH_SURE = re.compile(rf"(?:你们?|他|她|您)(?:这个|这种|这群|就是个?|真是个?|是个|是一群)(?:大)?(?:{_Z_INSULT})")
+
+
+@lru_cache(maxsize=1)
+def sound_trie() -> SoundTrie:
+    return SoundTrie(sorted(set(_Z_INSULT.split("|"))))
+
+
+def _wide_scores(text: str, outside: bool) -> dict[str, float]:
+    sc = scorers()["zh"]
+    out = sc.score(text, outside=outside)
+    read = sound_trie().reading(text)
+    if read != text and _ZH_SURE.search(read) and not sc.context.search(read):
+        v = THRESHOLD if outside else THRESHOLD - QUOTE_PRICE
+        out["abusive"] = max(out.get("abusive", 0.0), v)
+    return out
+
+
+# ------------------------------------------------------------------- sentences
+
+
 def clean(text: str) -> str:
     """Disguises undone that need no lexicon; lower case."""
     t = unicodedata.normalize("NFKC", _INVISIBLE.sub("", text))
-    if not t.isascii():
+    if not t.isascii() and _OTHER_SCRIPT.search(t):
         t = t.translate(_LOOKALIKE)
     t = t.lower()
     if "." in t or "-" in t or "_" in t:
@@ -350,13 +486,32 @@ def clean(text: str) -> str:
     return _DRAWN.sub(r"\1", t)
 
 
+_DIGIT = re.compile(r"\d")
+# Pairs of quotation marks, and words of speech.
+_QUOTE = re.compile("\"[^\"]{2,}\"|“[^”]{2,}”|«[^»]{2,}»|「[^」]{2,}」|『[^』]{2,}』|‘[^’]{2,}’")
+_SPEECH = re.compile(
+    r"\b(?:said|says|say|saying|called|calls|calling|wrote|writes|writing|shouted|shouting|yelled|screamed|told|tells|insulted|posted|commented|replied|heard|phrase|remark|comment|graffiti|sign)\b"
+    r"|\b(?:nói|bảo|gọi|chửi|mắng|viết|hét|quát|bình luận|trích|kể)\b|[说說称骂喊叫写寫]|评论|留言"
+)
+
+
+def own_words(sentence: str) -> str | None:
+    """What of a sentence is the author's own where it quotes another's words; ``None`` where it does not."""
+    if not any(map(sentence.__contains__, "\"“«「『‘")):
+        return None
+    rest = _QUOTE.sub(" ", sentence)
+    return rest if rest != sentence and _SPEECH.search(rest) else None
+
+
 def _tokens(sentence: str) -> list[str]:
     """Words of a sentence, digits that stand for letters read as such.
 
     Numbers are read as letters only where most of the sentence is written so.
     """
     found = _TOKEN.findall(sentence)
-    digits = [any(c.isdigit() for c in t) and t != "18+" for t in found]
+    if not _DIGIT.search(sentence):
+        return found
+    digits = [_DIGIT.search(t) is not None and t != "18+" for t in found]
     if not any(digits):
         return found
     mixed = sum(d and any(c.isalpha() for c in t) for t, d in zip(found, digits))
@@ -364,30 +519,47 @@ def _tokens(sentence: str) -> list[str]:
     return [t.translate(_LEET) if d and (all_ or any(c.isalpha() for c in t)) else t for t, d in zip(found, digits)]
 
 
+def _most(out: dict[str, float], new: dict[str, float]) -> None:
+    for c, v in new.items():
+        if v > out.get(c, 0.0):
+            out[c] = v
+
+
 def sentence_scores(sentence: str) -> dict[str, float]:
     """Score of one cleaned sentence by category; scores below 0 are left out."""
-    all_of = scorers()
-    out: dict[str, float] = {}
-    wide = len(_WIDE.findall(sentence))
-    if wide:
-        out = all_of["zh"].score(_NOT_WIDE.sub("", sentence))
-    rest = sentence if not wide else _WIDE.sub(" ", sentence)
-    tokens = _tokens(rest)
-    if tokens:
-        # words with marks stay so beside unmarked ones: folded they would read as other words
-        marked = _VN_MARK.search(rest)
-        spellings = ("vi", "en", "va") if marked else ("en", "va")
-        read = {name: all_of[name].reading([fold(t) for t in tokens] if name == "va" and not marked else tokens) for name in spellings}
-        phrases = [x for name, line in read.items() if "*" in line for x in all_of[name].phrases(line)]
-        for name, line in read.items():
-            for c, v in all_of[name].score(line, phrases, alone=name == "vi" or not marked).items():
-                if v > out.get(c, 0.0):
-                    out[c] = v
+    own = own_words(sentence)
+    out = _scored(sentence, own is None)
+    if own is not None:
+        _most(out, _scored(own, True))
     if out.get("hateful", 0.0) >= THRESHOLD:
         out.pop("abusive", None)  # the insult is aimed at the group
     return {c: s for c, s in out.items() if s > 0}
 
 
+def _scored(sentence: str, outside: bool) -> dict[str, float]:
+    all_of = scorers()
+    out: dict[str, float] = {}
+    plain = sentence.isascii()
+    wide = not plain and _WIDE.search(sentence)
+    rest = sentence
+    if wide:
+        _most(out, _wide_scores(_NOT_WIDE.sub("", sentence).translate(_SIMPLE), outside))
+        rest = _WIDE.sub(" ", sentence)
+    tokens = _tokens(rest)
+    if not tokens:
+        return out
+    # words with marks stay so beside unmarked ones: folded they would read as other words
+    marked = not plain and _VN_MARK.search(rest)
+    spellings = ("vi", "en", "va") if marked else ("en", "va")
+    folded = tokens if marked or plain else [fold(t) for t in tokens]
+    read = [(name, *all_of[name].readings(folded if name == "va" else tokens)) for name in spellings]
+    phrases = [x for name, line, _ in read if "*" in line for x in all_of[name].phrases(line)]
+    for name, line, loose in read:
+        _most(out, all_of[name].score(line, phrases, alone=name == "vi" or not marked, outside=outside))
+        if loose != line:
+            _most(out, all_of[name].score(loose, phrases, alone=False, several=True, outside=outside))
+    return out
+
 
 def text_scores(text: str | None) -> dict[str, float]:
     """Score of a text by category: that of its worst sentence."""
@@ -395,11 +567,8 @@ def text_scores(text: str | None) -> dict[str, float]:
     if not text or text.isspace():
         return out
     for s in _SENTENCE.split(clean(text)):
-        if not s:
-            continue
-        for c, v in sentence_scores(s).items():
-            if v > out.get(c, 0.0):
-                out[c] = v
+        if s:
+            _most(out, sentence_scores(s))
     return out
 
 

@@ -186,13 +186,15 @@ def test_levenshtein_trie_against_brute_force():
     trie = A.Trie(words)
 
     def distance(a, b):
-        row = list(range(len(b) + 1))
+        rows = [list(range(len(b) + 1))]
         for i, x in enumerate(a):
             new = [i + 1]
             for j, y in enumerate(b):
-                new.append(min(new[j] + 1, row[j + 1] + 1, row[j] + (x != y and y != "*")))
-            row = new
-        return row[-1]
+                new.append(min(new[j] + 1, rows[i][j + 1] + 1, rows[i][j] + (x != y and y != "*")))
+                if i and j and x == b[j - 1] and a[i - 1] == y and x != y:
+                    new[-1] = min(new[-1], rows[i - 1][j - 1] + 1)
+            rows.append(new)
+        return rows[-1][-1]
 
     for _ in range(200):
         token = "".join(r.choices("abc*", weights=[4, 4, 4, 1], k=r.randint(2, 8)))
@@ -223,7 +225,7 @@ def test_no_screen_hides_what_rules_match(text, want):
 
 def test_required_texts_of_rules():
     for sc in A.scorers().values():
-        assert all(texts for ps in sc.rules.values() for _, texts, _ in ps)
+        assert all(sc.keys) and not sc.always
     assert A.required("porn\\w*|go (?:drown|die)") == {"porn", "go d"} and A.required("x?") == frozenset()
 
 
@@ -262,3 +264,30 @@ def test_misspelled_and_mixed_sentences(text):
 @pytest.mark.parametrize("text", ["You should eat more food in this form.", "Your trial is from May to June.", "Bé ngủ ngon, mẹ nên cho bé uống sữa ở café.", "you find a lair of lions", "đầu gối của tôi c**a khỏi"])
 def test_words_that_are_no_misspelling(text):
     assert not found(text)
+
+
+HELD_OUT = [
+    ("You are a mroon.", {"abusive"}), ("What a lsoer you are!", {"abusive"}), ("you are a stupd mornn", {"abusive"}), ("you are a wrothlses liar", {"abusive"}), ("you bich", {"abusive"}), ("kys", {"abusive"}),
+    ("someone should burn his house", {"abusive"}), ("I know where you live.", {"abusive"}), ("你是个白吃", {"abusive"}), ("你这个脑殘", {"abusive"}), ("滾蛋,你這個廢物", {"abusive"}), ("mày là đồ khốnn nạn", {"abusive"}),
+    ("Romanians are vermin.", {"hateful"}), ("The dalit people are scum and should be shot.", {"hateful"}), ("I say it again: immigrants are vermin", {"hateful"}), ('You are an "idiot", go away', {"abusive"}),
+]
+HELD_OUT_CLEAN = [
+    'He said "you are an idiot" and was suspended.', "“You are an idiot,” she wrote, and left.", 'The sign said: "All immigrants are vermin"', 'Anh ấy gọi tôi là "thằng ngu" rồi bỏ đi', "他骂我“你是个白痴”,然后走了",
+    "Mosquitoes are pests and worms are parasites.", "You should eat good food.", "Your pills are in the box.", "Elderly people should be shown the way.", "你的片子出来了", "他见人就笑", "Pregnant women should be put down on the list.",
+    "Dogs that bite you should be seen by a vet.", "You can burn more calories at home.", "Hãy gọi bác sĩ khi bé sốt cao.", "Con bò ăn cỏ ngoài đồng.", "白吃一顿饭也要注意卫生",
+]
+
+
+@pytest.mark.parametrize("text,want", HELD_OUT)
+def test_abuse_not_seen_before(text, want):
+    assert found(text) == want
+
+
+@pytest.mark.parametrize("text", HELD_OUT_CLEAN)
+def test_clean_not_seen_before(text):
+    assert not found(text)
+
+
+def test_sound_alikes_inside_terms_only():
+    trie = A.SoundTrie(["白痴", "王八蛋", "王八"])
+    assert trie.reading("白吃") == "白痴" and trie.reading("王八旦x吃") == "王八蛋x吃" and trie.reading("吃") == "吃" and trie.reading("") == ""
