@@ -189,27 +189,39 @@ class Trie:
     def all_within(self, token: str, most: int) -> list[tuple[int, str]]:
         """(distance, word) of every lexicon word at distance ``most`` or less; two neighbours in the wrong order are one error."""
         n = len(token)
+        full = (1 << n + 1) - 1
+        any_ = sum(1 << i for i, t in enumerate(token) if t == "*")
+        masks: dict[str, int] = {}
+        for i, t in enumerate(token):
+            masks[t] = masks.get(t, any_) | 1 << i
         found: list[tuple[int, str]] = []
-        # each state is the automaton's set of positions, kept as a row of distances, next to the row and letter before
-        first = list(range(n + 1))
-        stack = [(self.root, first, first, "")]
+        # the automaton's state: for each number of errors the positions of the token reached, as bits;
+        # kept with the state and letter before for letters in the wrong order
+        first = [(1 << k + 1) - 1 & full for k in range(most + 1)]
+        stack = [(self.root, first, None, 0)]
         while stack:
             node, row, earlier, last = stack.pop()
             word = node.get("")
-            if word is not None and row[n] <= most:
-                found.append((row[n], word))
+            if word is not None:
+                for k, reached in enumerate(row):
+                    if reached >> n:
+                        found.append((k, word))
+                        break
             for c, child in node.items():
                 if c == "":
                     continue
-                new = [row[0] + 1]
-                for i in range(n):
-                    t = token[i]
-                    best = min(new[i] + 1, row[i + 1] + 1, row[i] + (t != c and t != "*"))
-                    if i and t == last and token[i - 1] == c and t != c:
-                        best = min(best, earlier[i - 1] + 1)
-                    new.append(best)
-                if min(new) <= most or min(row) < most:
-                    stack.append((child, new, row, c))
+                m = masks.get(c, any_)
+                fewer = (row[0] & m) << 1
+                new = [fewer]
+                for k in range(1, most + 1):
+                    r = row[k - 1]
+                    fewer = (row[k] & m) << 1 | r | r << 1 | fewer << 1
+                    if earlier is not None:
+                        fewer |= (earlier[k - 1] & m & last >> 1) << 2
+                    fewer &= full
+                    new.append(fewer)
+                if fewer:
+                    stack.append((child, new, row, m))
         return found
 
 
@@ -308,6 +320,7 @@ class Scorer:
         self.trie = Trie(sorted(words))
         self.language = language
         self.strict: dict[str, str] = {}
+        #: tokens whose loose reading is another one
         self.loose: dict[str, str] = {}
 
     def own_word(self, token: str) -> bool:
@@ -332,7 +345,9 @@ class Scorer:
         if len(self.strict) > 300_000:
             self.strict.clear()
             self.loose.clear()
-        self.strict[token], self.loose[token] = strict, loose
+        self.strict[token] = strict
+        if loose != strict:
+            self.loose[token] = loose
 
     def readings(self, tokens: list[str]) -> tuple[str, str]:
         """The sentence in lexicon words, strictly and loosely; masked tokens stay masked, for rules that take ``*`` for any letter."""
@@ -340,7 +355,10 @@ class Scorer:
         for t in tokens:
             if t not in known:
                 self.look_up(t)
-        return " ".join([known[t] for t in tokens]), " ".join(map(self.loose.__getitem__, tokens))
+        line = " ".join([known[t] for t in tokens])
+        if self.loose.keys().isdisjoint(tokens):
+            return line, line
+        return line, " ".join([self.loose.get(t) or known[t] for t in tokens])
 
     def phrases(self, sentence: str) -> list[tuple[str, int, int]]:
         """(category, first word, last word) of what the rules for masked text match over several words."""

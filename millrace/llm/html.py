@@ -55,16 +55,17 @@ class Page:
     """Blocks of one page in layout order and the tree they hang on.
 
     ``lines[i]`` is the text of block i, ``raw[i]`` its text before white space
-    was collapsed, ``node[i]`` the element it stands in, ``linked[i]`` whether
+    was collapsed (as is ``raw_title``), ``node[i]`` the element it stands in, ``linked[i]`` whether
     all of its text is inside anchors, ``big[i]`` whether an enlarging font
     opened it. ``tag``, ``parent``, ``attrs`` and ``first``/``last`` (range of
     blocks below) describe elements.
     """
 
-    __slots__ = ("title", "lines", "raw", "node", "linked", "big", "after", "tag", "parent", "attrs", "hidden", "first", "last")
+    __slots__ = ("title", "raw_title", "lines", "raw", "node", "linked", "big", "after", "tag", "parent", "attrs", "hidden", "first", "last")
 
     def __init__(self) -> None:
         self.title = ""
+        self.raw_title = ""
         self.lines: list[str] = []
         self.raw: list[str] = []
         self.node: list[int] = []
@@ -112,7 +113,8 @@ def render(html: str | None) -> Page:
     start, end = _find(html, "<body", _BODY)
     t = _TITLE.search(html, max(0, _find(html, "<title", _TITLE_TAG)[0]), start if start >= 0 else len(html))
     if t:
-        page.title = clean(t.group(1))
+        page.raw_title = t.group(1)
+        page.title = clean(page.raw_title)
     if start >= 0:
         html = html[end:]
     start, _ = _find(html, "</body", _BODY_END)

@@ -29,6 +29,10 @@ import numpy as np
 from .html import _BODY, _find
 
 LANGUAGES = ("vi", "en", "zh")
+#: The class of every other language; its lines have no language of :data:`LANGUAGES`.
+REST = len(LANGUAGES)
+#: Confidence from which a line belongs there; short lines full of foreign terms come close to half of it.
+REST_SURE = 0.66
 
 _SEEDS = {
     "vi": """Người bệnh nên uống thuốc đúng giờ và nghỉ ngơi đầy đủ trong những ngày đầu.
@@ -91,6 +95,30 @@ He told the story of his youth in a slow voice over a pot of hot tea.""",
 有些药物可能引起嗜睡,服药后不要开车。
 科学家正在研究如何保护珊瑚礁免受海水变暖的影响。
 他一边喝着热茶,一边慢慢地讲述年轻时的故事。""",
+    "": """Los pacientes deben tomar la medicina a su hora y descansar bien durante los primeros días.
+Si el dolor dura varias horas, vaya al hospital más cercano para que lo examinen.
+El gobierno ha anunciado un plan para construir más escuelas en las provincias de montaña.
+Les malades doivent prendre le médicament à l'heure et bien se reposer pendant les premiers jours.
+Si la douleur dure plusieurs heures, allez à l'hôpital le plus proche pour un examen.
+Elle a ouvert une boutique de fleurs au coin de la rue et sourit toujours à ses clients.
+Die Kranken sollten das Mittel rechtzeitig einnehmen und sich in den ersten Tagen gut ausruhen.
+Wenn der Schmerz mehrere Stunden dauert, gehen Sie in das nächste Krankenhaus.
+Das Wetter war heute mild, deshalb sind wir um den See gelaufen, statt zu fahren.
+Os doentes devem tomar o remédio na hora certa e descansar bem nos primeiros dias.
+O trem parte às seis da manhã e chega à cidade por volta do meio-dia.
+I malati devono prendere la medicina in orario e riposare bene nei primi giorni.
+Pasien harus minum obat tepat waktu dan beristirahat dengan baik pada hari-hari pertama.
+Kereta berangkat pukul enam pagi dan tiba di kota sekitar tengah hari.
+Больные должны вовремя принимать лекарство и хорошо отдыхать в первые дни.
+Если боль длится несколько часов, обратитесь в ближайшую больницу для осмотра.
+Она открыла цветочный магазин на углу и всегда улыбается своим покупателям.
+患者さんは時間どおりに薬を飲み、最初の数日はよく休んでください。
+痛みが何時間も続くときは、近くの病院で診てもらってください。
+환자는 제시간에 약을 먹고 처음 며칠 동안 푹 쉬어야 합니다.
+통증이 몇 시간 계속되면 가까운 병원에 가서 진찰을 받으세요.
+ผู้ป่วยควรกินยาตรงเวลาและพักผ่อนให้เพียงพอในช่วงวันแรก
+يجب على المرضى تناول الدواء في موعده والراحة جيدا في الأيام الأولى.
+रोगियों को समय पर दवा लेनी चाहिए और पहले कुछ दिन अच्छी तरह आराम करना चाहिए।""",
 }
 
 _SIZES = (512, 1536, 2048)  # buckets for n-grams of length 1, 2, 3
@@ -140,10 +168,10 @@ def _cosines(p: np.ndarray) -> np.ndarray:
 
 @lru_cache(maxsize=1)
 def model() -> tuple[np.ndarray, np.ndarray]:
-    """(WIDTH x languages weights with the landmarks multiplied in, intercepts)."""
+    """(WIDTH x classes weights with the landmarks multiplied in, intercepts)."""
     lines: list[str] = []
     labels: list[int] = []
-    for k, lang in enumerate(LANGUAGES):
+    for k, lang in enumerate((*LANGUAGES, "")):
         for s in _SEEDS[lang].splitlines():
             variants = [s, *re.split(r"[,,]\s*", s)]
             if lang == "vi":
@@ -157,7 +185,7 @@ def model() -> tuple[np.ndarray, np.ndarray]:
     keep = values > 1e-6
     whiten = vectors[:, keep] / np.sqrt(values[keep])
     features = phi @ landmarks.T @ whiten  # Nyström description of every seed line
-    y = np.full((len(labels), len(LANGUAGES)), -1.0)
+    y = np.full((len(labels), len(LANGUAGES) + 1), -1.0)
     y[np.arange(len(labels)), labels] = 1.0
     # each language weighs the same, however many variants it has
     weight = 1.0 / np.bincount(labels)[labels]
@@ -173,10 +201,10 @@ def model() -> tuple[np.ndarray, np.ndarray]:
 def scores(lines: list[str]) -> np.ndarray:
     """Ridge score of each line for each language."""
     weights, bias = model()
-    out = np.empty((len(lines), len(LANGUAGES)), np.float32)
+    out = np.empty((len(lines), len(LANGUAGES) + 1), np.float32)
     for a in range(0, len(lines), _BATCH):
         p = presence(lines[a : a + _BATCH])
-        part = np.zeros((len(p), len(LANGUAGES)), np.float32)
+        part = np.zeros((len(p), len(LANGUAGES) + 1), np.float32)
         for o, s in zip(_OFFSETS, _SIZES):
             block = p[:, o : o + s]
             part += (block @ weights[o : o + s]) / np.sqrt(np.maximum(block.sum(1, keepdims=True), 1)) / np.float32(np.sqrt(3))
@@ -185,12 +213,17 @@ def scores(lines: list[str]) -> np.ndarray:
 
 
 def classify(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(language index, confidence in 0..1) of each line."""
+    """(language index, :data:`REST` for any other language, confidence in 0..1) of each line."""
     if not lines:
         return np.zeros(0, np.int64), np.zeros(0, np.float32)
     s = scores(lines)
     e = np.exp(3 * (s - s.max(1, keepdims=True)))
-    return s.argmax(1), e.max(1) / e.sum(1)
+    e /= e.sum(1, keepdims=True)
+    best = e.argmax(1)
+    unsure = (best == REST) & (e[:, REST] < REST_SURE)
+    best[unsure] = e[unsure, :REST].argmax(1)
+    e[unsure] /= 1 - e[unsure, REST:]
+    return best, e[np.arange(len(best)), best]
 
 
 #: A reference in a list of sources, e.g. ``[3] Title. 2019;4:12.``

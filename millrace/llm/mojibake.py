@@ -5,6 +5,8 @@ charset it may have been *decoded* with and decode the bytes with the charset
 it was *written* in, or unescape entities once more. States are visited once
 (hash of the text), the frontier is ordered by an implausibility cost of the
 characters plus a small price per step, and the cheapest reachable text wins.
+The first steps may lead through dearer texts; from :data:`FREE_STEPS` on a step
+must make its text cheaper, so text encoded any number of times is undone.
 
 A cheap screen keeps clean lines out of the search: only lines with characters
 or letter pairs that mojibake leaves behind become start states.
@@ -166,6 +168,8 @@ def apply_step(text: str, read: str, written: str) -> str | None:
 
 
 STEP_PRICE = 0.4
+#: Steps that may lead to any text; a later one must lead to a cheaper one.
+FREE_STEPS = 4
 #: Cost per character at which a state counts as clean and ends the search.
 GOAL = 0.17
 
@@ -194,8 +198,7 @@ def restore(text: str, first: tuple = ()) -> tuple[str, tuple, float, float]:
         priority, depth, s, path = heapq.heappop(frontier)
         if depth and priority > start:
             break
-        if depth >= 4:
-            continue
+        above = cost(s) if depth >= FREE_STEPS else None
         nexts = [(step, apply_step(s, *step)) for step in STEPS] if not s.isascii() else []
         if "&" in s and ";" in s:
             nexts.append(("unescape", unescape(s)))
@@ -207,6 +210,8 @@ def restore(text: str, first: tuple = ()) -> tuple[str, tuple, float, float]:
                 continue
             seen.add(h)
             c = cost(out)
+            if above is not None and c >= above:
+                continue
             p = c + STEP_PRICE * (depth + 1)
             entry = (p, depth + 1, out, (*path, step))
             heapq.heappush(frontier, entry)
@@ -334,8 +339,6 @@ def garbled(raw_lines: list[str], all_lines: bool = False) -> tuple[bool, list[t
         text = unescape(text)
     if not suspicious(text) and not ("?" in text and _TORN_END.search(text)):
         return False, []
-    if not all_lines and _HARD_LOSS.search(text):
-        return True, []  # characters that no clean text holds: lost or misread, restorable or not
     if "?" in text and surely_lost(text):
         found = True
         if not all_lines:

@@ -117,29 +117,29 @@ def garbled_pages(pages: DataFrame) -> DataFrame:
 
     def row(source: str, id_: int, html: str) -> list[tuple]:
         p = render(html)
-        return [(source, id_)] if mojibake.garbled([p.title, *p.raw])[0] else []
+        return [(source, id_)] if mojibake.garbled([p.raw_title, *p.raw])[0] else []
 
     return map_pages(stored(pages, "source", "id"), row, "source string, id long", 2).distinct()
 
 
 def restored_pages(pages: DataFrame) -> DataFrame:
-    """Every garbled page with its lines as they were: ``source, id, lines, n_restored, restorable``.
+    """Every garbled page with its title and lines as they were: ``source, id, title, lines, n_restored, restorable``.
 
     ``restorable`` is false where characters stay lost after the best restoration.
     """
 
     def row(source: str, id_: int, html: str) -> list[tuple]:
         p = render(html)
-        bad, changed = mojibake.garbled(p.raw, all_lines=True)
+        bad, changed = mojibake.garbled([p.raw_title, *p.raw], all_lines=True)
         if not bad:
             return []
-        lines = list(p.lines)
+        texts = [p.title, *p.lines]
         for i, text in changed:
-            lines[i] = " ".join(text.split())
-        left = any(mojibake._HARD_LOSS.search(s) for s in lines) or not changed
-        return [(source, id_, lines, len(changed), not left)]
+            texts[i] = " ".join(text.split())
+        left = any(mojibake._HARD_LOSS.search(s) for s in texts) or not changed
+        return [(source, id_, texts[0], texts[1:], len(changed), not left)]
 
-    schema = "source string, id long, lines array<string>, n_restored int, restorable boolean"
+    schema = "source string, id long, title string, lines array<string>, n_restored int, restorable boolean"
     return once(numbered(map_pages(stored(pages, "source", "id"), row, schema, 2), "restored"), "source", "id")
 
 
@@ -151,7 +151,7 @@ FACTS = "source string, id long, host string, garbled boolean, residue boolean,
 def page_facts(p: Page) -> tuple[bool, bool, int | None, int, list[int]]:
     """(garbled, residue by local rules, hash of a body short enough to be a message, headline, main blocks)."""
     head, body = mainbody.with_headline(p)
-    bad, _ = mojibake.garbled([p.title, *p.raw])
+    bad, _ = mojibake.garbled([p.raw_title, *p.raw])
     case, h = _judged(p, body, head)
     return bad, case, h, head, body
 
@@ -277,7 +277,7 @@ def _languages(rows: list[tuple]) -> list[tuple]:
             else:
                 plan[-1].append((s, False, -1))
     kinds, sure = language.classify(texts)
-    return [(*r[:5], [(s, int(kinds[j]) if j >= 0 else -1, float(sure[j]) if j >= 0 else 0.0, p) for s, p, j in marked]) for r, marked in zip(rows, plan)]
+    return [(*r[:5], [(s, int(kinds[j]) if j >= 0 and kinds[j] != language.REST else -1, float(sure[j]) if j >= 0 else 0.0, p) for s, p, j in marked]) for r, marked in zip(rows, plan)]
 
 
 _ANY_LETTER = re.compile(r"[^\W\d_]{2}|[㐀-鿿]")
@@ -340,7 +340,7 @@ def _markup_row(source: str, id_: int, url: str, html: str) -> list[tuple]:
     case, h = _judged(p, body, head)
     if case:
         return []
-    seen = markup.screened(p) and not mojibake.garbled([p.title, *p.raw])[0]
+    seen = markup.screened(p) and not mojibake.garbled([p.raw_title, *p.raw])[0]
     if not seen and h is None:
         return []
     return [(source, id_, host_of(url) if h is not None else None, h, p, markup.features(p, head) if seen else None)]

@@ -453,3 +453,27 @@ def test_message_in_an_unknown_language(spark):
     assert {r["id"] for r in P.main_lines(df).collect()} == {*range(10, 15), *range(20, 29), 30}
     groups = P.messages(P.message_facts(df)).where("kind = 'body'").collect()
     assert sorted((g["n_hosts"], g["n_pages"], g["is_residue"]) for g in groups) == [(1, 1, False), (1, 9, False), (4, 4, True)]
+
+
+def test_lines_of_other_languages(spark):
+    foreign = ["El paciente debe beber agua con las comidas.", "Пациент должен пить воду после еды каждый день.", "食後に水をたくさん飲んでください。", "Le médecin conseille de boire de l'eau.", "Der Arzt rät, viel Wasser zu trinken."]
+    assert [int(k) for k in L.classify(foreign)[0]] == [L.REST] * len(foreign)
+    assert [int(k) for k in L.classify(["Why does chronic sinusitis cause pale skin?", "Uong thuoc sau khi an com.", "BMI 22,正常。"])[0]] == [1, 0, 2]
+    body = "".join(f"<p>{s}</p>" for s in foreign[:1] * 3)
+    rows = [("db", 1, "http://a.x", article(body, lang="")), ("db", 2, "http://a.x", article(body + PROSE, lang=""))]
+    assert {(r["id"], r["lang"]) for r in P.page_languages(frame(spark, rows)).collect()} == {(2, "en")}
+
+
+@pytest.mark.parametrize("times", [1, 2, 3, 5, 6])
+def test_text_encoded_many_times(times):
+    bad = WORDS
+    for _ in range(times):
+        bad = "".join(G._SHOWN[x] for x in bad.encode())
+    assert G.garbled(["clean", bad])[0] and G.garbled(["clean", bad], all_lines=True)[1] == [(1, WORDS)]
+
+
+def test_title_is_restored(spark):
+    bad = "".join(G._SHOWN[x] for x in WORDS.encode())
+    rows = [("db", 1, "http://a.x", f"<title>{bad}</title><body><p>calm words here"), ("db", 1, "http://a.x", f"<title>{bad}</title><body><p>calm words here")]
+    got = P.restored_pages(frame(spark, rows)).collect()
+    assert [(r["title"], r["lines"], r["n_restored"], r["restorable"]) for r in got] == [(WORDS, ["calm words here"], 1, True)]
