@@ -30,6 +30,8 @@ from .mainbody import furniture, headline, with_headline
 KINDS = ("html", "markdown", "wiki", "latex")
 #: Most pages the node classifier is fitted on.
 SAMPLE_PAGES = 400
+#: Bytes of the longest body in that sample.
+SAMPLE_BYTES = 1 << 18
 TREES = 24
 DEPTH = 4
 RATE = 0.3

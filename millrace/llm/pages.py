@@ -305,8 +305,8 @@ def page_languages(pages: DataFrame) -> DataFrame:
         return out
 
     schema = FACTS + ", langs array<string>"
-    facts = stage(map_pages(stored(pages, "source", "id", "url"), _language_row, schema, 3, finish), "languages")
-    return without_messages(facts).select("source", "id", F.explode("langs").alias("lang")).distinct()
+    facts = numbered(map_pages(stored(pages, "source", "id", "url"), _language_row, schema, 3, finish), "languages")
+    return without_messages(once(facts, "source", "id")).select("source", "id", F.explode("langs").alias("lang"))
 
 
 def language_segments(pages: DataFrame) -> DataFrame:
@@ -327,10 +327,22 @@ def language_segments(pages: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- problem 6
 
 
+def fit_sample(pages: DataFrame, n: int = markup.SAMPLE_PAGES, most_bytes: int = markup.SAMPLE_BYTES) -> list[str]:
+    """Bodies of the ``n`` (source, id) pairs with the least hashes, in order, of bodies of up to ``most_bytes``.
+
+    Whatever the order of the input, it is the same sample; at most ``n`` bodies come to the driver.
+    """
+    own = stored(pages.where(F.octet_length("html") <= most_bytes), "source", "id").select(F.xxhash64("source", "id").alias("h"), "html")
+    last = own.select("h").distinct().orderBy("h").limit(n).agg(F.max("h")).first()[0]
+    if last is None:
+        return []
+    rows = own.where(F.col("h") <= last).groupBy("h").agg(F.first("html").alias("html")).orderBy("h").collect()
+    return [text_of(bytes(r["html"])) for r in rows]
+
+
 def node_classifier(pages: DataFrame) -> markup.Trees:
-    """Ensemble fitted on the driver from :data:`.markup.SAMPLE_PAGES` pages at most."""
-    sample = stored(pages).limit(markup.SAMPLE_PAGES).collect()
-    return markup.fit([render(text_of(bytes(r["html"]))) for r in sample])
+    """Ensemble fitted on the driver from :func:`fit_sample`."""
+    return markup.fit([render(h) for h in fit_sample(pages)])
 
 
 def _markup_row(source: str, id_: int, url: str, html: str) -> list[tuple]:
@@ -368,17 +380,18 @@ def markup_facts(pages: DataFrame, with_text: bool) -> DataFrame:
         return out
 
     schema = FACTS + ", kinds array<string>, text string"
-    return without_messages(stage(map_pages(stored(pages, "source", "id", "url"), _markup_row, schema, 3, finish), "markup"))
+    facts = numbered(map_pages(stored(pages, "source", "id", "url"), _markup_row, schema, 3, finish), "markup")
+    return without_messages(once(facts, "source", "id"))
 
 
 def markup_pages(pages: DataFrame) -> DataFrame:
     """``source, id, markup``: each kind of markup that main lines of a page show as text."""
-    return markup_facts(pages, False).select("source", "id", F.explode("kinds").alias("markup")).distinct()
+    return markup_facts(pages, False).select("source", "id", F.explode("kinds").alias("markup"))
 
 
 def clean_markup(pages: DataFrame) -> DataFrame:
     """``source, id, text``: clean main text of each page with markup residue."""
-    return markup_facts(pages, True).where(F.size("kinds") > 0).select("source", "id", "text").dropDuplicates(["source", "id"])
+    return markup_facts(pages, True).where(F.size("kinds") > 0).select("source", "id", "text")
 
 
 def load(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import html as H
 from millrace.llm import language as L
@@ -477,3 +478,27 @@ def test_title_is_restored(spark):
     rows = [("db", 1, "http://a.x", f"<title>{bad}</title><body><p>calm words here"), ("db", 1, "http://a.x", f"<title>{bad}</title><body><p>calm words here")]
     got = P.restored_pages(frame(spark, rows)).collect()
     assert [(r["title"], r["lines"], r["n_restored"], r["restorable"]) for r in got] == [(WORDS, ["calm words here"], 1, True)]
+
+
+def test_fit_sample_is_the_same_in_any_order(spark):
+    rows = [("db", i % 40, "http://a.x", f"<body><p>{i % 40}" + "x" * (300 if i % 7 == 0 else 0)) for i in range(120)] + [("db", 7, "http://a.x", None)]
+    df = frame(spark, rows)
+    one = P.fit_sample(df, 10, 200)
+    assert one == P.fit_sample(df.repartition(7), 10, 200) == P.fit_sample(df.orderBy(F.desc("id")), 10, 200)
+    assert len(one) == len(set(one)) == 10 and max(map(len, one)) < 200
+    assert P.fit_sample(df.limit(0)) == []
+
+
+def test_trees_on_pages_not_fitted(spark, small):
+    """Held-out accuracy of the blocks' labels."""
+    bodies = P.fit_sample(spark.read.parquet(f"{small}/pages.parquet"))
+    pages = [p for p in map(H.render, bodies) if p.lines]
+    half = len(pages) // 2
+    model = M.fit(pages[:half])
+    right = total = 0
+    for p in pages[half:]:
+        got, want = set(M.content_blocks(p, model)), set(B.main_blocks(p))
+        right += len(p.lines) - len(got ^ want)
+        total += len(p.lines)
+    print("held-out block accuracy", right / total, "of", total)
+    assert right >= 0.9 * total
