@@ -7,26 +7,24 @@ from pyspark.sql import functions as F
 
 from .urls import NON_HTML_EXT, is_home, url_path
 
-# Phrases of interstitial pages and magic numbers of file formats.
+# Phrases of interstitial pages and first bytes of file formats.
 SLIDER = "滑动拼图验证"
-MAGIC = ("FFD8FF", "89504E47", "47494638", "25504446", "52494646", "504B0304")
+MAGIC = (b"\xff\xd8\xff", b"\x89PNG", b"GIF8", b"%PDF", b"RIFF", b"PK\x03\x04")
 
 KINDS = ("ok", "notfound", "home", "robots", "http4xx", "nonhtml", "error", "blocked", "captcha", "unmapped")
-DONE = ("ok", "notfound", "home", "robots", "http4xx", "nonhtml")
 
 
 def body_text(body: Column, n: int) -> Column:
-    """First n bytes as text; bytes that are no UTF-8 are replaced."""
+    """First n bytes as text, a character for each byte."""
     return F.decode(F.substring(body, 1, n), "ISO-8859-1")
 
 
 def has_magic(body: Column) -> Column:
     """Starts, after white space within the first 16 bytes, with a file format's magic number."""
-    head = F.regexp_replace(F.decode(F.substring(body, 1, 16), "ISO-8859-1"), r"^[\s\x0B]+", "")
-    code = F.hex(F.encode(head, "ISO-8859-1"))
+    head = F.encode(F.regexp_replace(F.decode(F.substring(body, 1, 16), "ISO-8859-1"), r"^[\s\x0B]+", ""), "ISO-8859-1")
     hit = F.lit(False)
     for m in MAGIC:
-        hit = hit | code.startswith(m)
+        hit = hit | F.startswith(head, F.lit(m))
     return hit
 
 
@@ -43,7 +41,7 @@ def fetch_kind(status: Column, final_url: Column, body: Column, ctype: Column, m
     final = F.coalesce(final_url, F.lit(""))
     captcha = final.contains("verify.html") | F.lower(final).contains("captcha")
     if slider:
-        captcha = captcha | F.contains(F.hex(F.substring(b, 1, 6000)), F.lit(SLIDER.encode().hex().upper()))
+        captcha = captcha | F.contains(F.substring(b, 1, 6000), F.lit(SLIDER.encode()))
     blocked = low.contains("just a moment...") | low.contains("attention required! | cloudflare")
     if mitigated is not None:
         blocked = blocked | (F.coalesce(mitigated, F.lit("")) != "")

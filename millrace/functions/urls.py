@@ -133,9 +133,11 @@ def redirect_kind(url: Column | str, final: Column | str) -> Column:
 
 
 def unwrapped(final: Column | str) -> Column:
-    """Captured address inside an archive's replay address, else the address."""
-    inner = F.regexp_extract(_c(final), r"/web/\d+id_/(.+)$", 1)
-    return F.when(inner != "", inner).otherwise(_c(final))
+    """Captured address inside an archive's replay address: behind its time stamp, else behind the first ``id_/``, else the address."""
+    url = _c(final)
+    inner = F.regexp_extract(url, r"/web/\d+id_/(.+)$", 1)
+    at = F.instr(url, "id_/")
+    return F.when(inner != "", inner).when(at > 0, F.substr(url, at + 4)).otherwise(url)
 
 
 def first_segment(url: Column | str) -> Column:

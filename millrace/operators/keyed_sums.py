@@ -4,12 +4,17 @@ Method: dense accumulator arrays. Every input split (equal in bytes, whatever
 its keys are) encodes its keys by a local dictionary and adds its rows into
 dense arrays with ``numpy.bincount``; a key therefore leaves a split as one
 array cell, however many rows it had. The arrays leave in blocks of keys, and
-blocks are summed in a distributed two-level reduction, so no task ever sees
-more than ``fan_in`` partial blocks of one key range at once.
+the blocks are summed in a distributed reduction: each level adds up at most
+:data:`FAN_IN` partial blocks of one key range, until one is left.
 
-Defined results: a null key is a key of its own; null measures add 0; the empty
-input gives no rows; the input may have further columns under any name but the
-ones asked for, they are never read; repeated rows count as often as they occur.
+Blocks are hash ranges of keys, and there are as many as the keys of the largest
+split need, doubled for keys that only other splits have; so a block stays of
+one size however many keys there are, and its sums are spread over all tasks.
+
+Defined results: a null key is a key of its own; null measures add 0; sums are
+64-bit and wrap around like Spark's own in non-ANSI mode; the empty input gives
+no rows; the input may have further columns under any name but the ones asked
+for, they are never read; repeated rows count as often as they occur.
 """
 
 from __future__ import annotations
@@ -23,109 +28,128 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from ..session import ship, splits
+from ..session import ship, splits, stage
 
-#: Partial blocks that one first-level reduction adds up.
+#: Partial blocks that one reduction adds up.
 FAN_IN = 64
-#: Keys in one block, so that a block's arrays stay a few MB.
+#: Keys in one block, about, so that a block's arrays stay a few MB.
 BLOCK_KEYS = 1 << 16
+#: Fine blocks that a split cuts its keys into; they are merged once the number of keys is known.
+FINE = 1 << 12
 
 
-def _block_of(keys: pa.Array, blocks: int) -> np.ndarray:
-    """Block number of each key: the same in every split, whatever else it holds."""
+def _fine_block(keys: list[str | None]) -> np.ndarray:
+    """Hash range of each key: the same in every split, whatever else it holds."""
     import xxhash
 
-    return np.fromiter((0 if k is None else xxhash.xxh32_intdigest(k) % blocks for k in keys.to_pylist()), np.int64, len(keys))
-
+    return np.fromiter((0 if k is None else xxhash.xxh32_intdigest(k.encode("utf-8", "surrogatepass")) % FINE for k in keys), np.int64, len(keys))
+
+
+def _added(size: int, at: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Exact sums of integers by index: ``bincount`` of their halves, whose sums a double holds exactly."""
+    low, high = values & 0xFFFFFFFF, values >> 32
+    if len(values) < 1 << 20:
+        parts = [(at, low, high)]
+    else:
+        parts = [(at[i : i + (1 << 20)], low[i : i + (1 << 20)], high[i : i + (1 << 20)]) for i in range(0, len(values), 1 << 20)]
+    out = np.zeros(size, np.int64)
+    for a, lo, hi in parts:
+        out += np.bincount(a, lo, size).astype(np.int64) + (np.bincount(a, hi, size).astype(np.int64) << 32)
+    return out
+
+
+_PARTIAL = StructType([
+    StructField("_block", IntegerType()),
+    StructField("_part", IntegerType()),
+    StructField("_n", LongType()),
+    StructField("_keys", ArrayType(StringType())),
+    StructField("_sums", ArrayType(LongType())),
+])
+_ARROW = pa.schema([("_block", pa.int32()), ("_part", pa.int32()), ("_n", pa.int64()), ("_keys", pa.list_(pa.string())), ("_sums", pa.list_(pa.int64()))])
+
+
+def _rows(blocks: list[int], part: int, keys: pa.Array, sums: np.ndarray, cuts: list[np.ndarray]) -> pa.RecordBatch:
+    """Blocks of one split as list columns over shared buffers; ``sums`` has a row per key."""
+    order = np.concatenate(cuts) if cuts else np.zeros(0, np.int64)
+    sizes = np.array([len(c) for c in cuts], np.int64)
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(blocks, pa.int32()),
+            pa.array(np.full(len(cuts), part), pa.int32()),
+            pa.array(sizes, pa.int64()),
+            pa.ListArray.from_arrays(pa.array(ends, pa.int32()), keys.take(pa.array(order))),
+            pa.ListArray.from_arrays(pa.array(ends * sums.shape[1], pa.int32()), pa.array(sums[order].ravel())),
+        ],
+        schema=_ARROW,
+    )
 
-def keyed_sums(df: DataFrame, key: str, measures: dict[str, F.Column], expected_keys: int = BLOCK_KEYS) -> DataFrame:
-    """``key``, ``n_rows`` and the sum of each integer measure per key.
 
-    ``expected_keys`` only sizes the blocks: with more keys than expected
-    blocks get larger, the result stays the same.
-    """
+def keyed_sums(df: DataFrame, key: str, measures: dict[str, F.Column]) -> DataFrame:
+    """``key``, ``n_rows`` and the sum of each integer measure per key."""
     ship(df.sparkSession)
     names = list(measures)
-    blocks = max(1, -(-expected_keys // BLOCK_KEYS))
-    groups = max(1, -(-splits(df) // FAN_IN))
+    wide = len(names) + 1
+    n_splits = splits(df)
     narrow = df.select(
         F.col(key).cast("string").alias("_key"),
         *[F.coalesce(m.cast("long"), F.lit(0)).alias(f"_m{i}") for i, m in enumerate(measures.values())],
-        (F.spark_partition_id() % groups).alias("_group"),
+        F.spark_partition_id().alias("_part"),
     )
-    schema = StructType([
-        StructField("_block", IntegerType()),
-        StructField("_group", IntegerType()),
-        StructField("_keys", ArrayType(StringType())),
-        StructField("_sums", ArrayType(ArrayType(LongType()))),
-    ])
-    wide = len(names)
 
     def accumulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str | None, int] = {}
-        sums = np.zeros((wide + 1, 1024), np.int64)
-        group = 0
+        sums = np.zeros((1024, wide), np.int64)
+        part = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            group = batch.column(wide + 1)[0].as_py()
+            part = batch.column(wide)[0].as_py()
             codes = pc.dictionary_encode(batch.column(0), null_encoding="encode")
             local = codes.dictionary.to_pylist()
             index = np.array([seen.setdefault(k, len(seen)) for k in local], np.int64)
-            if len(seen) > sums.shape[1]:
-                sums = np.concatenate([sums, np.zeros((wide + 1, max(len(seen), sums.shape[1])), np.int64)], axis=1)
+            if len(seen) > len(sums):
+                sums = np.concatenate([sums, np.zeros((max(len(seen), len(sums)), wide), np.int64)])
             at = codes.indices.to_numpy(zero_copy_only=False)
             size = len(local)
-            sums[0, index] += np.bincount(at, minlength=size)
-            for i in range(wide):
-                values = batch.column(1 + i).to_numpy(zero_copy_only=False)
-                part = np.zeros(size, np.int64)
-                np.add.at(part, at, values)
-                sums[1 + i, index] += part
+            sums[index, 0] += np.bincount(at, minlength=size)
+            for i in range(1, wide):
+                sums[index, i] += _added(size, at, batch.column(i).to_numpy(zero_copy_only=False))
         if seen:
-            yield from _emit(pa.array(list(seen), pa.string()), sums[:, : len(seen)], blocks, group)
-
-    def reduce_blocks(to_keys: bool):
-        def merge(t: pa.Table) -> pa.Table:
-            seen: dict[str | None, int] = {}
-            parts = []
-            for keys, sums in zip(t.column("_keys").to_pylist(), t.column("_sums").to_pylist()):
-                parts.append((np.array([seen.setdefault(k, len(seen)) for k in keys], np.int64), np.array(sums, np.int64)))
-            total = np.zeros((wide + 1, len(seen)), np.int64)
-            for index, sums in parts:
-                total[:, index] += sums  # keys are unique within a part
-            if to_keys:
-                return pa.table(
-                    [pa.array(list(seen), pa.string()), *[pa.array(row) for row in total]], names=[key, "n_rows", *names]
-                )
-            block = t.column("_block")[0].as_py()
-            return pa.table({
-                "_block": pa.array([block], pa.int32()),
-                "_group": pa.array([0], pa.int32()),
-                "_keys": pa.array([list(seen)], pa.list_(pa.string())),
-                "_sums": pa.array([total.tolist()], pa.list_(pa.list_(pa.int64()))),
-            })
-
-        return merge
-
-    partial = narrow.mapInArrow(accumulate, schema)
-    if groups > 1:
-        partial = partial.groupBy("_block", "_group").applyInArrow(reduce_blocks(False), schema)
+            keys = list(seen)
+            fine = _fine_block(keys)
+            order = np.argsort(fine, kind="stable")
+            cuts = np.split(order, np.flatnonzero(np.diff(fine[order])) + 1)
+            yield _rows([int(fine[c[0]]) for c in cuts], part, pa.array(keys, pa.string()), sums, cuts)
+
+    def merged(t: pa.Table) -> tuple[pa.Array, np.ndarray]:
+        seen: dict[str | None, int] = {}
+        flat = t.column("_keys").combine_chunks().flatten().to_pylist()
+        at = np.array([seen.setdefault(k, len(seen)) for k in flat], np.int64)
+        values = t.column("_sums").combine_chunks().flatten().to_numpy().reshape(-1, wide)
+        order = np.argsort(at, kind="stable")  # sort and reduce: exact in 64 bits
+        first = np.flatnonzero(np.diff(at[order], prepend=-1))
+        return pa.array(list(seen), pa.string()), np.add.reduceat(values[order], first, axis=0)
+
+    def partly(t: pa.Table) -> pa.Table:
+        keys, sums = merged(t)
+        block = t.column("_block")[0].as_py()
+        part = t.column("_part")[0].as_py()
+        return pa.Table.from_batches([_rows([block], part, keys, sums, [np.arange(len(keys))])])
+
+    def finally_(t: pa.Table) -> pa.Table:
+        keys, sums = merged(t)
+        return pa.table([keys, *[pa.array(np.ascontiguousarray(sums[:, i])) for i in range(wide)]], names=[key, "n_rows", *names])
+
+    partial = stage(narrow.mapInArrow(accumulate, _PARTIAL), "partial_sums")
+    # as many blocks as the split with most keys needs: one number
+    most = partial.groupBy("_part").agg(F.sum("_n").alias("n")).agg(F.max("n")).first()[0] or 0
+    blocks = 1
+    while blocks < FINE and blocks * BLOCK_KEYS < 2 * most:
+        blocks *= 2
+    partial = partial.withColumn("_block", (F.col("_block") % blocks).cast("int"))
+    while n_splits > FAN_IN:
+        n_splits = -(-n_splits // FAN_IN)
+        partial = partial.withColumn("_part", (F.col("_part") % n_splits).cast("int")).groupBy("_block", "_part").applyInArrow(partly, _PARTIAL)
     out = StructType([StructField(key, StringType()), StructField("n_rows", LongType()), *[StructField(n, LongType()) for n in names]])
-    return partial.groupBy("_block").applyInArrow(reduce_blocks(True), out)
-
-
-def _emit(keys: pa.Array, sums: np.ndarray, blocks: int, group: int) -> Iterator[pa.RecordBatch]:
-    where = _block_of(keys, blocks) if blocks > 1 else np.zeros(len(keys), np.int64)
-    order = np.argsort(where, kind="stable")
-    cuts = np.flatnonzero(np.diff(where[order])) + 1
-    for part in np.split(order, cuts):
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([int(where[part[0]])], pa.int32()),
-                pa.array([group], pa.int32()),
-                pa.array([keys.take(pa.array(part)).to_pylist()], pa.list_(pa.string())),
-                pa.array([sums[:, part].tolist()], pa.list_(pa.list_(pa.int64()))),
-            ],
-            names=["_block", "_group", "_keys", "_sums"],
-        )
+    return partial.groupBy("_block").applyInArrow(finally_, out)

@@ -1,11 +1,13 @@
 """Pruning a sorted index by key ranges.
 
 A block starts at its first key and ends before the next block's; a prefix
-covers ``[p, p + 0xff)``. The blocks that overlap a prefix are those that start
-inside it, found by an equi-join on the part of the key a prefix fixes, and the
-one before them, found in the merged sort order: no block is compared with
-every range. Orders are total over even range partitions, so a host with a
-third of all keys spreads over a third of them.
+covers ``[p, p + 0xff)``. The blocks that overlap a prefix are consecutive: from
+the last one that starts at or before the prefix to the last one that starts
+before its end. Both are found in the merged sort order, and a running sum of
+where ranges begin and end marks the blocks inside any of them: no block is
+compared with a range, however many there are of either. Orders are total over
+even range partitions, so a host with a third of all keys spreads over a third
+of them.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ AFTER = "
 
 
 def blocks(keys: DataFrame, key: str = "key", size: int = 10) -> DataFrame:
-    """``block, first_key, next_key``: every ``size`` keys in order make a block.
+    """``block, first_key, next_key``, staged: every ``size`` keys in order make a block.
 
     The order is total over the index, so ranks are taken in two steps: range
     partitions sorted in parallel, offset by the counts of those before.
@@ -35,47 +37,46 @@ def blocks(keys: DataFrame, key: str = "key", size: int = 10) -> DataFrame:
         .select((F.col("_n") / size).cast("long").alias("block"), F.col(key).alias("first_key"))
     )
     following = firsts.select((F.col("block") - 1).alias("block"), F.col("first_key").alias("next_key"))
-    return firsts.join(following, "block", "left").withColumn("next_key", F.coalesce("next_key", F.lit(AFTER)))
-
-
-def root_of(key):
-    """Host root of a sorted key: what stands before ``)``."""
-    return F.split_part(key, F.lit(")"), F.lit(1))
+    return stage(firsts.join(following, "block", "left").withColumn("next_key", F.coalesce("next_key", F.lit(AFTER))), "index")
 
 
 def overlapping(index: DataFrame, prefixes: DataFrame) -> DataFrame:
-    """Blocks that overlap any prefix range, each once."""
-    p = prefixes.select("prefix").distinct()
-    columns = ["block", "first_key", "next_key"]
-    inside = F.startswith(F.col("first_key"), F.col("prefix"))
-    # a prefix with a whole host root meets the blocks of that root ...
-    rooted = p.where(F.contains("prefix", F.lit(")"))).withColumn("root", root_of(F.col("prefix")))
-    starts = index.withColumn("root", root_of(F.col("first_key"))).join(rooted, "root").where(inside).select(columns)
-    # ... one that ends within the root meets them by the labels it fixes
-    short = p.where(~F.contains("prefix", F.lit(")"))).withColumn("cut", F.substring("prefix", 1, SHORT))
-    wide = index.withColumn("cut", F.explode(F.transform(F.sequence(F.lit(0), F.lit(SHORT)), lambda n: F.substring("first_key", F.lit(1), n))))
-    starts = starts.union(wide.dropDuplicates(["block", "cut"]).join(short, "cut").where(inside).select(columns))
-    before = predecessor(index, p.select(F.col("prefix").alias("probe"))).select("block").distinct()
-    return starts.union(index.join(before, "block", "left_semi").select(columns)).distinct()
-
-
-#: Characters by which prefixes that end within a host root are matched first.
-SHORT = 8
+    """Blocks that overlap any prefix range, each once. ``index`` is read twice, so give it staged."""
+    p = prefixes.select("prefix").where("prefix is not null").distinct()
+    begin, stop = (F.struct(F.lit(i).alias("end"), F.concat("prefix", F.lit(tail)).alias("probe")) for i, tail in enumerate(("", AFTER)))
+    ends = p.select(F.explode(F.array(begin, stop)).alias("x"), "prefix").select("x.*", "prefix")
+    found = predecessor(index, ends, "end", "prefix")
+    # a range that begins before all blocks begins with the first; one that ends before all has none
+    steps = (
+        found.groupBy("prefix")
+        .agg(F.max(F.when(F.col("end") == 0, F.coalesce("block", F.lit(0)))).alias("first"), F.max(F.when(F.col("end") == 1, F.col("block"))).alias("last"))
+        .where("last is not null")
+        .select(F.explode(F.array(F.struct(F.col("first").alias("block"), F.lit(1).alias("step")), F.struct((F.col("last") + 1).alias("block"), F.lit(-1).alias("step")))).alias("x"))
+        .select("x.*")
+        .groupBy("block")
+        .agg(F.sum("step").alias("step"))
+    )
+    spread = stage(index.join(steps, "block", "left").repartitionByRange("block").withColumn("_p", F.spark_partition_id()), "steps")
+    before = spread.groupBy("_p").agg(F.sum("step").alias("_s"))
+    offsets = before.select("_p", F.coalesce(F.sum("_s").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_o"))  # a row per partition
+    w = Window.partitionBy("_p").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
+    open_ = F.coalesce(F.sum("step").over(w), F.lit(0)) + F.col("_o")
+    return spread.join(F.broadcast(offsets), "_p").withColumn("_open", open_).where("_open > 0").select("block", "first_key", "next_key")
 
 
-def predecessor(index: DataFrame, probes: DataFrame) -> DataFrame:
-    """For each probe the last block whose first key is not above it (backward as-of).
+def predecessor(index: DataFrame, probes: DataFrame, *keep: str) -> DataFrame:
+    """For each probe the last block whose first key is not above it (backward as-of), with the columns ``keep`` of the probe.
 
     Blocks and probes are merged into one sort order over even range partitions;
     the last block is carried forward inside a partition, and from the
     partitions before by one row each.
     """
-    both = index.select(F.col("first_key").alias("k"), F.lit(0).alias("side"), "block", F.lit(None).cast("string").alias("probe")).unionByName(
-        probes.select(F.col("probe").alias("k"), F.lit(1).alias("side"), F.lit(None).cast("long").alias("block"), "probe")
+    both = index.select(F.col("first_key").alias("k"), F.lit(0).alias("side"), "block").unionByName(
+        probes.select(F.col("probe").alias("k"), F.lit(1).alias("side"), "probe", *keep), allowMissingColumns=True
     )
     spread = stage(both.repartitionByRange(F.col("k"), F.col("side")).withColumn("_p", F.spark_partition_id()), "merged")
     w = Window.partitionBy("_p").orderBy("k", "side").rowsBetween(Window.unboundedPreceding, 0)
     carried = spread.withColumn("found", F.last("block", ignorenulls=True).over(w)).where("side = 1")
     ends = spread.groupBy("_p").agg(F.max("block").alias("m"))
     earlier = ends.select("_p", F.max("m").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)).alias("earlier"))  # a row per partition
-    return carried.join(F.broadcast(earlier), "_p").select("probe", F.coalesce("found", "earlier").alias("block"))
+    return carried.join(F.broadcast(earlier), "_p").select("probe", *keep, F.coalesce("found", "earlier").alias("block"))

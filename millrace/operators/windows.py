@@ -69,11 +69,57 @@ def batches(df: DataFrame, order: tuple[str, ...], size: int, keys: tuple[str, .
 
 
 def deltas(df: DataFrame, keys: tuple[str, ...], at: str, total: str) -> DataFrame:
-    """Growth of a running total per second since the report before."""
-    w = Window.partitionBy(*keys).orderBy(at)
-    seconds = F.col(at) - F.lag(at).over(w)
-    grown = F.col(total) - F.lag(total).over(w)
-    return df.withColumn("rate", F.when(seconds > 0, F.round(grown / seconds, 6)))
+    """Growth of a running total per second since the report before.
+
+    Times are unique within a key. The row before a partition's first is the
+    last one of the partitions before: one row per (partition, key).
+    """
+    seg = segmented(df, keys, (at,))
+    w = Window.partitionBy("_p", *keys).orderBy(at)
+    last = seg.groupBy("_p", *keys).agg(F.max_by(F.struct(at, total), at).alias("_last"))
+    before = last.select("_p", *keys, F.lag("_last").over(Window.partitionBy(*keys).orderBy("_p")).alias("_before"))
+    same = [F.col("a._p") == F.col("b._p"), *[F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]]
+    local = seg.withColumn("_lag", F.lag(F.struct(at, total)).over(w))
+    out = local.alias("a").join(before.alias("b"), same, "left").select("a.*", "b._before")
+    previous = F.coalesce("_lag", "_before")
+    seconds, grown = F.col(at) - previous[at], F.col(total) - previous[total]
+    return out.withColumn("rate", F.when(seconds > 0, F.round(grown / seconds, 6))).drop("_p", "_lag", "_before")
+
+
+def paced(df: DataFrame, keys: tuple[str, ...], at: str, order: tuple[str, ...], interval: float) -> DataFrame:
+    """When each request of a key may start (``slot``) if starts are ``interval`` seconds apart at least.
+
+    A request starts at its own time or one interval after the one before, so
+    with n earlier requests the start less n intervals is the running maximum of
+    the times less n intervals: a maximum within partitions and one over them.
+    """
+    seg = segmented(df, keys, (at, *order))
+    w = Window.partitionBy("_p", *keys).orderBy(at, *order)
+    before = _before(seg.groupBy("_p", *keys).agg(F.count("*").alias("_c")), keys, "_c")
+    n = (F.row_number().over(w) - 1).alias("_n")
+    free = seg.select("*", n).join(before, ["_p", *keys]).withColumn("_n", F.col("_n") + F.col("_before")).withColumn("_free", F.col(at) - F.col("_n") * interval)
+    tops = free.groupBy("_p", *keys).agg(F.max("_free").alias("_top"))
+    earlier = tops.select("_p", *keys, F.max("_top").over(Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)).alias("_earlier"))
+    out = free.withColumn("_max", F.max("_free").over(w.rowsBetween(Window.unboundedPreceding, 0))).join(earlier, ["_p", *keys])
+    return out.withColumn("slot", F.greatest("_max", "_earlier") + F.col("_n") * interval).drop("_p", "_n", "_before", "_free", "_max", "_earlier")
+
+
+def totals_so_far(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], amount: str, name: str = "total") -> DataFrame:
+    """Running sum of an amount in order within each key."""
+    seg = segmented(df, keys, order)
+    before = _before(seg.groupBy("_p", *keys).agg(F.sum(amount).alias("_s")), keys, "_s")
+    out = seg.withColumn("_r", F.sum(amount).over(_local(keys, order))).join(before, ["_p", *keys])
+    return out.withColumn(name, (F.col("_r") + F.col("_before")).cast("long")).drop("_p", "_r", "_before")
+
+
+def shuffled(df: DataFrame, draw: Column, last: Column, limit: int = 0, id_: str = "id") -> DataFrame:
+    """A work list in seeded pseudo-random order, rows of ``last`` behind all others, with their ``place`` from 0.
+
+    With ``limit`` the first so many rows only (a limit of the whole list, not per key).
+    """
+    rows = df.withColumn("_last", last.cast("int")).withColumn("_draw", draw)
+    out = batches(rows, ("_last", "_draw", id_), 1).withColumnRenamed("batch", "place").drop("_last", "_draw")
+    return out.where(F.col("place") < limit) if limit else out
 
 
 def running_share(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], amount: str) -> DataFrame:

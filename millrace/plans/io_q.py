@@ -131,14 +131,24 @@ def xml_slice(spark: SparkSession, d: str) -> DataFrame:
 
 
 def index_parse(spark: SparkSession, d: str) -> DataFrame:
-    """Catalog pages built from the corpus and parsed into entries; every fifth entry has no chapter of its own."""
+    """Catalog pages built from the corpus and parsed into entries: chapters, headings of groups before a chapter, whole-book
+    and fragment links, and entries without any link."""
     i = F.col("id")
-    href = F.when(i % 5 == 0, F.concat(F.lit("/quanben"), i.cast("string"), F.lit(".html"))).otherwise(F.concat(F.lit("/c/"), i.cast("string"), F.lit(".html")))
-    li = F.concat(F.lit('<li id="si'), i.cast("string"), F.lit('"><a href="'), href, F.lit('">x</a>'))
+    number = i.cast("string")
+    own = F.concat(F.lit('<a class="c" href="/c/'), number, F.lit('.html">x</a>'))
+    link = (
+        F.when(i % 7 == 0, F.concat(F.lit('<a href="/g/'), number, F.lit('.html" class="catalog_group">g</a>'), own))
+        .when(i % 7 == 1, F.concat(F.lit('<a href="/quanben'), number, F.lit('.html">all</a>'), own))
+        .when(i % 7 == 2, F.concat(F.lit('<a href="/c/'), number, F.lit('.html#top">x</a><b>'), own, F.lit("</b>")))
+        .when(i % 7 == 3, F.lit("no link"))
+        .when(i % 7 == 4, F.concat(F.lit('<a href="/c/'), number, F.lit('_group.html">x</a>')))
+        .otherwise(own)
+    )
+    li = F.concat(F.lit('<li id="si'), number, F.lit('">'), link)
     books = table(spark, d, "corpus").select(F.floor(i / 50).cast("long").alias("book"), "id", li.alias("li")).groupBy("book").agg(
         F.concat(F.lit('<ul id="catalog-content">'), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", "li"))), lambda x: x.li), ""), F.lit("</ul>")).alias("html")
     )
-    return books.select("book", F.explode(records.catalog_entries(F.col("html"))).alias("e")).select("book", "e.si", "e.href")
+    return records.catalog_entries(books, "html", "book").select("book", "si", "href")
 
 
 def status_explode(spark: SparkSession, d: str) -> DataFrame:
@@ -157,12 +167,16 @@ def status_explode(spark: SparkSession, d: str) -> DataFrame:
     return s.where("shown").select("name", "queue", "disabled", "strikes", "paused_for", F.size("dead_hosts").alias("n_dead"))
 
 
+#: Files of one micro-batch, which bounds what a group holds at once.
+FILES_PER_TRIGGER = 8
+
+
 def _events_stream(spark: SparkSession, d: str, name: str) -> DataFrame:
     schema = table(spark, d, name).schema
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(f"{d}/{name}.parquet")
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER)
     if fs.getFileStatus(path).isDirectory():
         return reader.parquet(f"{d}/{name}.parquet")
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(d)
@@ -193,19 +207,50 @@ def run_counters(spark: SparkSession, d: str) -> DataFrame:
 def limiter_replay(spark: SparkSession, d: str) -> DataFrame:
     """Final limiter state of every host over the fetch log."""
     log = _events_stream(spark, d, "pages").select("host", "fetched_at", "kind")
-    out = _drain(replay.limiter_states(log), spark, "limiter", "update")
-    return out.groupBy("grp").agg(F.max_by(F.struct("strikes", "paused_until", "ok_streak", "interval", "disabled", "errors", "dead"), "batch").alias("s")).select("grp", "s.*")
+    return _last_states(_drain(replay.limiter_states(log), spark, "limiter", "update"), replay.Limiter)
+
+
+def throttle_replay(spark: SparkSession, d: str) -> DataFrame:
+    """Final archive throttle state of every source over the fetch log; every third page counts as refused."""
+    log = _events_stream(spark, d, "pages").select("source", "fetched_at", F.when(F.col("id") % 3 == 0, "blocked").otherwise(F.col("kind")).alias("kind"))
+    return _last_states(_drain(replay.throttle_states(log), spark, "throttle", "update"), replay.Throttle)
+
+
+def _last_states(out: DataFrame, machine: type) -> DataFrame:
+    return out.groupBy("grp").agg(F.max_by(F.struct(*machine._fields), "batch").alias("s")).select("grp", "s.*")
 
 
 QUERIES = {
     f.__name__: f
     for f in (
         tsv_roundtrip, csv_roundtrip, jsonl_roundtrip, partitioned_store, index_blocks, warc_parse, sqlite_scan, xml_slice, index_parse, status_explode, minute_stream,
-        run_counters, limiter_replay,
+        run_counters, limiter_replay, throttle_replay,
     )
 }
 from . import sqlparts as Q  # noqa: E402
 
+# A row after the other by recursion: what the folds over runs must come to.
+_LIMITER = f"""WITH RECURSIVE e AS (SELECT host AS grp, fetched_at AS t, kind IN ('blocked', 'captcha') AS b, kind = 'error' AS x,
+        row_number() OVER (PARTITION BY host ORDER BY fetched_at, kind) AS rn FROM pages),
+    s AS (SELECT DISTINCT grp, 0::BIGINT AS rn, 0 AS strikes, 0.0::DOUBLE AS paused_until, 0 AS ok_streak, 0.5::DOUBLE AS iv, false AS disabled, 0 AS errors, false AS dead FROM e
+    UNION ALL SELECT grp, rn, CASE WHEN hit AND strikes < 8 THEN strikes + 1 WHEN b OR x THEN strikes ELSE 0 END,
+        CASE WHEN hit AND strikes < 8 THEN t + {list(replay.BLOCK_PAUSES)}[strikes + 1] ELSE paused_until END,
+        CASE WHEN hit AND strikes < 8 THEN 0 WHEN b OR x THEN ok_streak WHEN ok_streak >= 499 AND iv > 0.5 THEN 0 ELSE ok_streak + 1 END,
+        CASE WHEN hit AND strikes < 8 THEN least(iv * 1.5, 5.0) WHEN NOT (b OR x) AND ok_streak >= 499 AND iv > 0.5 THEN greatest(0.5, iv / 1.1) ELSE iv END,
+        disabled OR (hit AND strikes >= 8), CASE WHEN x THEN errors + 1 WHEN b THEN errors ELSE 0 END, dead OR (x AND errors >= 59)
+        FROM (SELECT e.grp, e.rn, e.t, e.b, e.x, s.strikes, s.paused_until, s.ok_streak, s.iv, s.disabled, s.errors, s.dead, e.b AND e.t >= s.paused_until AS hit
+            FROM s JOIN e ON e.grp = s.grp AND e.rn = s.rn + 1))
+    SELECT grp, strikes, paused_until, ok_streak, iv AS "interval", disabled, errors, dead FROM s QUALIFY row_number() OVER (PARTITION BY grp ORDER BY rn DESC) = 1"""
+_THROTTLE = f"""WITH RECURSIVE e AS (SELECT source AS grp, fetched_at AS t, id % 3 = 0 OR kind IN ('blocked', 'captcha') AS b, id % 3 <> 0 AND kind = 'error' AS x,
+        row_number() OVER (PARTITION BY source ORDER BY fetched_at, CASE WHEN id % 3 = 0 THEN 'blocked' ELSE kind END) AS rn FROM pages),
+    s AS (SELECT DISTINCT grp, 0::BIGINT AS rn, 0 AS level, 0.0::DOUBLE AS paused_until, 0 AS ok_streak, 0.25::DOUBLE AS rate FROM e
+    UNION ALL SELECT grp, rn, CASE WHEN hit THEN level + 1 WHEN b OR x THEN level ELSE 0 END,
+        CASE WHEN hit THEN t + {list(replay.THROTTLE_PAUSES)}[least(level, 3) + 1] ELSE paused_until END,
+        CASE WHEN hit THEN 0 WHEN b OR x THEN ok_streak WHEN ok_streak >= 299 AND rate < 0.5 THEN 0 ELSE ok_streak + 1 END,
+        CASE WHEN hit THEN greatest(0.1, rate / 2) WHEN NOT (b OR x) AND ok_streak >= 299 AND rate < 0.5 THEN least(0.5, rate * 1.1) ELSE rate END
+        FROM (SELECT e.grp, e.rn, e.t, e.b, e.x, s.level, s.paused_until, s.ok_streak, s.rate, e.b AND e.t >= s.paused_until AS hit
+            FROM s JOIN e ON e.grp = s.grp AND e.rn = s.rn + 1))
+    SELECT grp, level, paused_until, ok_streak, rate FROM s QUALIFY row_number() OVER (PARTITION BY grp ORDER BY rn DESC) = 1"""
 SQL = {
     "tsv_roundtrip": "SELECT ts, original, count(*) AS n FROM cdx GROUP BY 1, 2",
     "csv_roundtrip": "SELECT host, total, stored, count(*) AS n FROM coverage GROUP BY 1, 2, 3",
@@ -218,9 +263,11 @@ SQL = {
         WHERE kind IN ('ok', 'home', 'notfound') AND source = 'db' GROUP BY 1, 2""",
     "xml_slice": f"""SELECT id // 20 AS batch, CAST(id AS VARCHAR) AS number,
         CAST(length('<PubmedArticle><PMID Version="1">' || id || '</PMID><T>' || {Q.hostname('url')} || '</T></PubmedArticle>') AS BIGINT) AS n_chars FROM corpus WHERE id % 10 <> 3""",
-    "index_parse": "SELECT id // 50 AS book, id AS si, CASE WHEN id % 5 <> 0 THEN '/c/' || id || '.html' END AS href FROM corpus",
+    "index_parse": "SELECT id // 50 AS book, id AS si, CASE WHEN id % 7 IN (0, 2, 5, 6) THEN '/c/' || id || '.html' END AS href FROM corpus",
     "status_explode": """SELECT host AS name, count(*) AS queue, max(kind = 'captcha') AS disabled, max(attempts) AS strikes,
         CAST(sum(CASE WHEN kind = 'blocked' THEN 60 ELSE 0 END) AS BIGINT) AS paused_for, CAST(max(kind = 'captcha') AS INT) AS n_dead FROM pages GROUP BY host""",
     "minute_stream": "SELECT CAST(epoch(date_trunc('minute', ts)) AS BIGINT) AS minute, event_type, count(*) AS n FROM events GROUP BY 1, 2",
+    "limiter_replay": _LIMITER,
+    "throttle_replay": _THROTTLE,
     "run_counters": "SELECT user_id, event_type, count(*) AS n FROM events GROUP BY 1, 2",
 }

@@ -54,7 +54,7 @@ def classify_kind_plain(spark: SparkSession, d: str) -> DataFrame:
 
 def non_html_magic(spark: SparkSession, d: str) -> DataFrame:
     """Rows whose address, type or first bytes say they are no page; every fifth body gets a file's first bytes."""
-    fake = F.concat(F.unhex(F.lit("0A20")), F.unhex(F.element_at(F.array(*[F.lit(m) for m in C.MAGIC]), (F.col("id") % 6 + 1).cast("int"))))
+    fake = F.concat(F.lit(b"\n "), F.element_at(F.array(*[F.lit(m) for m in C.MAGIC]), (F.col("id") % 6 + 1).cast("int")))
     body = F.when(F.col("id") % 5 == 0, fake).otherwise(F.coalesce("html", F.lit("").cast("binary")))
     p = _pages(spark, d).select("source", "id", "kind", F.coalesce("final_url", "url").alias("f"), "ctype", body.alias("b"))
     return p.groupBy("source", "kind").agg(F.count_if(C.is_non_html(F.col("f"), F.col("ctype"), F.col("b"))).alias("n_non_html"), F.count("*").alias("n"))
@@ -130,7 +130,7 @@ QUERIES = {
     )
 }
 
-_MAGIC_SQL = " OR ".join(f"starts_with(hx, '{m}')" for m in C.MAGIC)
+_MAGIC_SQL = " OR ".join(f"starts_with(hx, '{m.hex().upper()}')" for m in C.MAGIC)
 _NON_HTML = f"""((ct <> '' AND NOT (contains(ct, 'html') OR contains(ct, 'xml') OR contains(ct, 'text/plain')))
     OR regexp_matches({Q.path('f')}, {Q.EXT}) OR {_MAGIC_SQL})"""
 
@@ -160,7 +160,7 @@ SQL = {
     "classify_kind_plain": f"SELECT {_kind(False)} AS kind, count(*) AS n FROM ({_FETCH2}) GROUP BY 1",
     "non_html_magic": f"""SELECT source, kind, count(*) FILTER (WHERE {_NON_HTML}) AS n_non_html, count(*) AS n FROM (
         SELECT source, kind, coalesce(final_url, url) AS f, lower(coalesce(ctype, '')) AS ct,
-            CASE WHEN id % 5 = 0 THEN ['FFD8FF','89504E47','47494638','25504446','52494646','504B0304'][(id % 6 + 1)::INT] ELSE {_hex_head("coalesce(html, ''::BLOB)")} END AS hx FROM pages)
+            CASE WHEN id % 5 = 0 THEN {[m.hex().upper() for m in C.MAGIC]}[(id % 6 + 1)::INT] ELSE {_hex_head("coalesce(html, ''::BLOB)")} END AS hx FROM pages)
         GROUP BY source, kind""",
     "strip_html_bytes": f"SELECT source, id, CAST(octet_length(encode({_STRIP})) AS BIGINT) AS n_bytes, md5({_STRIP}) AS md5 FROM ({_ONE})",
     "page_title": f"""SELECT source, id, left(regexp_replace(regexp_extract(h, '(?is)<title[^>]*>(.*?)</title>', 1), '^\\s+|\\s+$', '', 'g'), 60) AS title FROM ({_ONE})""",

@@ -162,10 +162,7 @@ def rate_delta(spark: SparkSession, d: str) -> DataFrame:
     """Growth of each host's stored bytes between daily reports."""
     day = F.floor(F.col("fetched_at") / 86400).cast("long")
     daily = table(spark, d, "pages").groupBy("host", day.alias("day")).agg(F.sum("nbytes").cast("long").alias("n"))
-    from pyspark.sql import Window
-
-    run = daily.withColumn("total", F.sum("n").over(Window.partitionBy("host").orderBy("day")).cast("long"))
-    return W.deltas(run, ("host",), "day", "total").select("host", "day", "total", "rate")
+    return W.deltas(W.totals_so_far(daily, ("host",), ("day",), "n"), ("host",), "day", "total").select("host", "day", "total", "rate")
 
 
 def running_share(spark: SparkSession, d: str) -> DataFrame:

@@ -64,7 +64,7 @@ def redirect_kind(u: str, f: str) -> str:
 
 def unwrapped(f: str) -> str:
     inner = f"regexp_extract({f}, '/web/\\d+id_/(.+)$', 1)"
-    return f"(CASE WHEN {inner} <> '' THEN {inner} ELSE {f} END)"
+    return f"(CASE WHEN {inner} <> '' THEN {inner} WHEN contains({f}, 'id_/') THEN substr({f}, instr({f}, 'id_/') + 4) ELSE {f} END)"
 
 
 def surt(h: str) -> str:

@@ -1,13 +1,17 @@
 """Session helpers: reading tables, sizing shuffles, and cutting lineage.
 
 Lineage is cut by writing a table into the folder the cluster names in
-``spark.checkpoint.dir`` (shared by all executors); only where that setting is
-absent, as in tests, a folder of this process is used.
+``spark.checkpoint.dir`` (shared by all executors). Only in local mode, where
+that setting may be absent as in tests, a folder of this process is used; on a
+cluster without it, staging is an error. What a session staged is deleted by
+:func:`release`, at the latest when the process ends.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -17,6 +21,7 @@ from pyspark.sql.types import StructType
 
 _own_dir: str | None = None
 _shipped: set[str] = set()
+_staging: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,20 +30,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for tables that cut lineage: the cluster's, else one of this process."""
+    """Folder for tables that cut lineage: the cluster's, else in local mode one of this process."""
     global _own_dir
     where = spark.conf.get("spark.checkpoint.dir", None)
     if where:
         return where.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if _own_dir is None:
         _own_dir = tempfile.mkdtemp(prefix="millrace-")
+        atexit.register(shutil.rmtree, _own_dir, True)
     return _own_dir
 
 
+def _stages(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/stages/{spark.sparkContext.applicationId}"
+
+
 def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write a frame into the shared folder and read it back: computed once, no lineage."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/stages/{name}-{uuid.uuid4().hex}"
+    sc = spark.sparkContext
+    path = f"{_stages(spark)}/{name}-{uuid.uuid4().hex}"
+    if sc.applicationId not in _staging:
+        _staging.add(sc.applicationId)
+        atexit.register(release, spark)
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -47,6 +64,15 @@ def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataF
     return spark.read.schema(schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Delete every table this application staged; frames that read them are of no use afterwards."""
+    sc = spark.sparkContext
+    if sc._jsc is None or sc._jsc.sc().isStopped():
+        return
+    path = sc._jvm.org.apache.hadoop.fs.Path(_stages(spark))
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ship(spark: SparkSession) -> None:
     """Give Python workers this package, wherever they run and the driver was started."""
     sc = spark.sparkContext

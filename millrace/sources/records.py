@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import gzip
 from collections.abc import Iterator
+from html.parser import HTMLParser
+from urllib.robotparser import RobotFileParser
 
 import pandas as pd
 import pyarrow as pa
@@ -61,47 +63,116 @@ def xml_records(text: Column, tag: str = "PubmedArticle", number: str = "PMID")
     return F.transform(whole, lambda r: F.struct(F.regexp_extract(r, rf"<{number}[^>]*>(\d+)</{number}>", 1).alias("number"), r.alias("record")))
 
 
-# Marks of a catalog page and of links that lead to no chapter.
-CATALOG_MARK = 'id="catalog-content"'
-ENTRY = r'(?s)<li id="si(\d+)">(?:.*?)(?=<li id="si|</ul>|$)'
-CHAPTER = r'<a href="([^"#]+\.html)"(?![^>]*catalog_group)'
+# The element a catalog stands in, how its entries are named, and marks of links that lead to no chapter.
+CATALOG = "catalog-content"
+ENTRY = "si"
+GROUP_LINK = "catalog_group"
 NO_CHAPTER = ("_group", "quanben")
 
 
-def catalog_entries(html: Column) -> Column:
-    """Array of (si, href or NULL) of a catalog page, in document order."""
-    at = F.instr(html, CATALOG_MARK)
-    part = F.when(at > 0, F.substring(html, at, F.length(html))).otherwise(F.lit(""))
+class Catalog(HTMLParser):
+    """Numbered entries of a catalog page in document order, each with the address of its own chapter or ``None``.
 
-    def entry(x: Column) -> Column:
-        href = F.regexp_extract(x, CHAPTER, 1)
-        usable = href != ""
-        for mark in NO_CHAPTER:
-            usable = usable & ~href.contains(mark)
-        return F.struct(F.regexp_extract(x, r'id="si(\d+)"', 1).cast("long").alias("si"), F.when(usable, href).alias("href"))
+    An entry is a list item named ``si<number>`` and lasts until the next one or
+    the end of its list. Its chapter is the first link to an ``.html`` page
+    without a fragment that is no heading of a group of entries.
+    """
 
-    return F.transform(F.regexp_extract_all(part, F.lit(ENTRY), F.lit(0)), entry)
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.inside = False
+        self.open = False
+        self.entries: list[tuple[int, str | None]] = []
+        self.linked = False
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        named = {k: v or "" for k, v in attrs}
+        name = named.get("id", "")
+        self.inside |= name == CATALOG
+        if not self.inside:
+            return
+        if tag == "li" and name.startswith(ENTRY) and name[len(ENTRY) :].isascii() and name[len(ENTRY) :].isdigit():
+            self.entries.append((int(name[len(ENTRY) :]), None))
+            self.open, self.linked = True, False
+        elif tag == "a" and self.open and not self.linked:
+            address = named.get("href", "")
+            if address.endswith(".html") and "#" not in address and not any(GROUP_LINK in v for v in named.values()):
+                self.linked = True
+                if not any(mark in address for mark in NO_CHAPTER):
+                    self.entries[-1] = (self.entries[-1][0], address)
+
+    def handle_endtag(self, tag: str) -> None:
+        if tag == "ul":
+            self.open = False
+
+
+def parse_catalog(html: str | None) -> list[tuple[int, str | None]]:
+    """Entries of one catalog page; none where there is no catalog."""
+    if not html or CATALOG not in html:
+        return []
+    parser = Catalog()
+    parser.feed(html)
+    parser.close()
+    return parser.entries
+
+
+def catalog_entries(df: DataFrame, html: str, *keys: str) -> DataFrame:
+    """``keys, pos, si, href`` of the catalog pages of a frame; ``pos`` numbers the entries of a page from 0."""
+    ship(df.sparkSession)
+    narrow = df.select(*keys, F.col(html).cast("string").alias("_html"))
+    n = len(keys)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            row, pos, si, href = [], [], [], []
+            for i, text in enumerate(b.column(n).to_pylist()):
+                for k, (number, address) in enumerate(parse_catalog(text)):
+                    row.append(i)
+                    pos.append(k)
+                    si.append(number)
+                    href.append(address)
+            at = pa.array(row, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [*[b.column(i).take(at) for i in range(n)], pa.array(pos, pa.int32()), pa.array(si, pa.int64()), pa.array(href, pa.string())], names=[*keys, "pos", "si", "href"]
+            )
 
-def robots_allowed(df: DataFrame, rules: str, url: str, agent: str = "*") -> DataFrame:
-    """Adds ``allowed`` from each row's robots text; without rules everything is allowed."""
-    ship(df.sparkSession)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in narrow.schema.fields[:n])
+    return narrow.mapInArrow(run, f"{schema}, pos int, si long, href string")
 
-    @F.pandas_udf("boolean")
-    def allowed(text: pd.Series, u: pd.Series) -> pd.Series:
-        from urllib.robotparser import RobotFileParser
 
+def collections(text: Column, pattern: str) -> Column:
+    """Names in a JSON list of collections that match a pattern as a whole, in order; none in what is no such list."""
+    names = F.from_json(text, "array<struct<id: string>>")
+    return F.filter(F.transform(F.coalesce(names, F.array().cast("array<struct<id: string>>")), lambda c: c.id), lambda x: F.coalesce(x.rlike(f"^(?:{pattern})$"), F.lit(False)))
+
+
+def listing_lines(text: Column) -> Column:
+    """Array of (ts, original) of a listing's lines; lines without a blank are none."""
+    lines = F.filter(F.split(text, r"\r?\n"), lambda x: x.contains(" "))
+    return F.transform(lines, lambda x: F.struct(F.split(x, " ", 2)[0].alias("ts"), F.split(x, " ", 2)[1].alias("original")))
+
+
+def robots_rules(df: DataFrame, rules: str, url: str, agent: str = "*") -> DataFrame:
+    """Adds ``allowed`` and ``crawl_delay`` from each row's robots text; without rules everything is allowed at once.
+
+    Rules that cannot be read allow everything.
+    """
+    ship(df.sparkSession)
+
+    @F.pandas_udf("allowed boolean, crawl_delay double")
+    def judged(text: pd.Series, u: pd.Series) -> pd.DataFrame:
         parsers: dict[str, RobotFileParser] = {}
 
-        def one(t: str | None, a: str | None) -> bool:
+        def one(t: str | None, a: str | None) -> tuple[bool, float | None]:
             if not t or a is None:
-                return True
+                return True, None
             p = parsers.get(t)
             if p is None:
                 p = parsers[t] = RobotFileParser()
                 p.parse(t.splitlines())
-            return p.can_fetch(agent, a)
+            delay = p.crawl_delay(agent)
+            return p.can_fetch(agent, a), None if delay is None else float(delay)
 
-        return pd.Series([one(t, a) for t, a in zip(text, u)])
+        return pd.DataFrame([one(t, a) for t, a in zip(text, u)], columns=["allowed", "crawl_delay"])
 
-    return df.withColumn("allowed", allowed(F.col(rules), F.col(url)))
+    return df.withColumn("_r", judged(F.col(rules), F.col(url))).select("*", "_r.allowed", "_r.crawl_delay").drop("_r")

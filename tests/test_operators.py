@@ -3,6 +3,7 @@ import gzip
 import random
 import sqlite3
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import classify as C
@@ -11,7 +12,7 @@ from millrace.sources import files, records
 from millrace.streaming import replay
 
 
-def test_keyed_sums(spark):
+def test_keyed_sums(spark, monkeypatch):
     r = random.Random(1)
     rows = [(r.choice(["hot"] * 50 + [None, "a", "B", ""]), r.randint(-5, 5), "x") for _ in range(5000)]
     df = spark.createDataFrame(rows, "k string, v int, n_rows string").repartition(7)
@@ -20,8 +21,9 @@ def test_keyed_sums(spark):
         a = want.setdefault(k, [0, 0])
         a[0] += 1
         a[1] += v
-    for expected in (10, 10_000_000):
-        got = {x["k"]: [x["n_rows"], x["s"]] for x in keyed_sums.keyed_sums(df, "k", {"s": F.col("v")}, expected).collect()}
+    for keys in (keyed_sums.BLOCK_KEYS, 1):
+        monkeypatch.setattr(keyed_sums, "BLOCK_KEYS", keys)
+        got = {x["k"]: [x["n_rows"], x["s"]] for x in keyed_sums.keyed_sums(df, "k", {"s": F.col("v")}).collect()}
         assert got == want
     assert keyed_sums.keyed_sums(df.limit(0), "k", {"s": F.col("v")}).count() == 0
 
@@ -174,10 +176,13 @@ def test_records(spark):
     got = {r["i"]: (r["ctype"], bytes(r["body"]) if r["body"] is not None else None) for r in records.parse_records(df, "raw", "i").collect()}
     assert got == {1: (" text/html; a:b".strip(), b"body\r\n\r\nmore"), 2: (None, None), 3: (None, None), 4: ("", b"")}
     html = '<p><ul id="catalog-content"><li id="si3"><a href="/a/3.html">x</a><li id="si4">none<li id="si5"><a href="/quanben.html">y</a></ul>'
-    e = spark.createDataFrame([(html,), ("",)], "h string").select(records.catalog_entries(F.col("h")).alias("e")).collect()
-    assert [(x["si"], x["href"]) for x in e[0]["e"]] == [(3, "/a/3.html"), (4, None), (5, None)] and e[1]["e"] == []
-    rules = spark.createDataFrame([("User-agent: *\nDisallow: /no", "http://a/no/x"), ("User-agent: *\nDisallow: /no", "http://a/yes"), (None, "http://a/no")], "t string, u string")
-    assert [r["allowed"] for r in records.robots_allowed(rules, "t", "u").collect()] == [False, True, True]
+    e = records.catalog_entries(spark.createDataFrame([(7, html), (8, ""), (9, None)], "k int, h string"), "h", "k").collect()
+    assert [tuple(x) for x in e] == [(7, 0, 3, "/a/3.html"), (7, 1, 4, None), (7, 2, 5, None)]
+    rules = spark.createDataFrame([("User-agent: *\nCrawl-delay: 3\nDisallow: /no", "http://a/no/x"), ("User-agent: *\nDisallow: /no", "http://a/yes"), (None, "http://a/no")], "t string, u string")
+    assert [(r["allowed"], r["crawl_delay"]) for r in records.robots_rules(rules, "t", "u").collect()] == [(False, 3.0), (True, None), (True, None)]
+    text = spark.createDataFrame([('[{"id": "AB-2020-01", "x": 1}, {"id": "AB-2020"}, {"x": 2}]', "20200101 http://a b\r\nno\n2021 c"), ("no list", None)], "j string, l string")
+    r = text.select(records.collections(F.col("j"), r"AB-\d{4}-\d{2}").alias("c"), records.listing_lines(F.col("l")).alias("l")).collect()
+    assert r[0]["c"] == ["AB-2020-01"] and [tuple(x) for x in r[0]["l"]] == [("20200101", "http://a b"), ("2021", "c")] and r[1]["c"] == []
 
 
 def test_files(spark, tmp_path):
@@ -205,33 +210,83 @@ def test_files(spark, tmp_path):
     assert "| stored | 3 |" in files.markdown_report(one, spark.createDataFrame([("dead", 1)], "reason string, n long"), spark.createDataFrame([("h", 1, "dead")], "host string, n long, reason string"))
 
 
-def test_limiter():
-    lim = replay.Limiter(0.5)
-    lim.step(0, "blocked")
-    assert (lim.strikes, lim.paused_until, lim.interval) == (1, 60, 0.75)
-    lim.step(30, "captcha")
-    assert lim.strikes == 1
-    for _ in range(500):
-        lim.step(100, "ok")
-    assert lim.strikes == 0 and abs(lim.interval - 0.75 / 1.1) < 1e-9
-    for _ in range(60):
-        lim.step(200, "error")
-    assert lim.dead
-    t = 1000.0
-    for _ in range(9):
-        lim.step(t, "blocked")
-        t += 10_000
-    assert lim.disabled and lim.interval == 5.0
-    th = replay.Throttle()
-    th.step(0, True)
-    th.step(10, True)
-    assert (th.level, th.rate, th.paused_until) == (1, 0.125, 600)
-    for _ in range(300):
-        th.step(1000, False)
-    assert th.level == 0 and abs(th.rate - 0.1375) < 1e-9
+class PlainLimiter:
+    """One row after the other, for comparison."""
+
+    def __init__(self):
+        self.v = dict(strikes=0, paused_until=0.0, ok_streak=0, interval=0.5, disabled=False, errors=0, dead=False)
+
+    def step(self, t, kind):
+        v = self.v
+        if kind == replay.BLOCK and t >= v["paused_until"]:
+            if v["strikes"] == 8:
+                v["disabled"] = True
+            else:
+                v.update(paused_until=t + replay.BLOCK_PAUSES[v["strikes"]], strikes=v["strikes"] + 1, ok_streak=0, interval=min(5.0, v["interval"] * 1.5))
+        elif kind == replay.ERROR:
+            v["errors"] += 1
+            v["dead"] |= v["errors"] >= 60
+        elif kind == replay.SUCCESS:
+            v.update(errors=0, strikes=0, ok_streak=v["ok_streak"] + 1)
+            if v["ok_streak"] >= 500 and v["interval"] > 0.5:
+                v.update(ok_streak=0, interval=max(0.5, v["interval"] / 1.1))
+
+
+class PlainThrottle:
+    def __init__(self):
+        self.v = dict(level=0, paused_until=0.0, ok_streak=0, rate=0.25)
+
+    def step(self, t, kind):
+        v = self.v
+        if kind == replay.BLOCK and t >= v["paused_until"]:
+            v.update(paused_until=t + replay.THROTTLE_PAUSES[min(v["level"], 3)], level=v["level"] + 1, ok_streak=0, rate=max(0.1, v["rate"] / 2))
+        elif kind == replay.SUCCESS:
+            v.update(level=0, ok_streak=v["ok_streak"] + 1)
+            if v["ok_streak"] >= 300 and v["rate"] < 0.5:
+                v.update(ok_streak=0, rate=min(0.5, v["rate"] * 1.1))
+
+
+def test_folds_over_runs():
+    import numpy as np
+
+    r = random.Random(6)
+    for plain, machine in ((PlainLimiter, replay.Limiter), (PlainThrottle, replay.Throttle)):
+        for _ in range(60):
+            kinds, t, at = [], 0.0, []
+            for _ in range(r.randint(0, 25)):
+                n = r.choice([1, 2, 3, 70, 400, 1300])
+                kinds += [r.choice([replay.SUCCESS, replay.SUCCESS, replay.ERROR, replay.BLOCK])] * n
+                for _ in range(n):
+                    t += r.choice([0, 0, 1, 5, 400])
+                    at.append(t)
+            one = plain()
+            for x, k in zip(at, kinds):
+                one.step(x, k)
+            state, cut = machine(), r.randint(0, len(kinds))
+            for a, b in ((0, cut), (cut, len(kinds))):  # in two micro-batches
+                state = state.fold(np.array(at[a:b]), np.array(kinds[a:b], np.int8))
+            assert {k: float(x) for k, x in state._asdict().items()} == pytest.approx({k: float(x) for k, x in one.v.items()})
+    assert replay.outcomes(["ok", None, "error", "captcha", "blocked"]).tolist() == [0, 0, 1, 2, 2]
+
+
+def test_catalog():
+    page = (
+        '<li id="si1"><a href="/a.html">no</a></li><ul id="catalog-content"><li id="si1"><a href="/g.html" class="catalog_group">g</a><a href="/1.html">x</a></li>'
+        '<li id="si2"><a href="/2_group.html">x</a><a href="/2.html">y</a><li id="six"><li id="si3">none<li id="si3"><p><a class=k href="/3.html">x</a></p></ul><a href="/z.html">z</a><li id="si4"><a href="4.html#a">f</a>'
+    )
+    assert records.parse_catalog(page) == [(1, "/1.html"), (2, None), (3, None), (3, "/3.html"), (4, None)]
+    assert records.parse_catalog(None) == [] and records.parse_catalog("<li id=si1>") == []
 
 
 def test_minute_counts(spark):
     t = datetime.datetime(2024, 1, 1, 0, 0, 30)
     df = spark.createDataFrame([(t, "a"), (t + datetime.timedelta(seconds=29), "a"), (t + datetime.timedelta(seconds=30), "a")], "ts timestamp, event_type string")
     assert sorted(r["n"] for r in replay.minute_counts(df).collect()) == [1, 2]
+
+
+def test_keyed_sums_are_exact(spark):
+    """Values that no double holds, and more keys than one level of blocks."""
+    big = 2**53
+    df = spark.range(0, 3000, 1, 5).select((F.col("id") % 700).cast("string").alias("k"), (F.col("id") * 3 + F.lit(big) * F.when(F.col("id") % 2 == 0, 1).otherwise(-1)).alias("v"))
+    want = {r["k"]: (r["n"], r["s"]) for r in df.groupBy("k").agg(F.count("*").alias("n"), F.sum("v").alias("s")).collect()}
+    assert {r["k"]: (r["n_rows"], r["s"]) for r in keyed_sums.keyed_sums(df, "k", {"s": F.col("v")}).collect()} == want
