@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.urls import redirect_kind, unwrapped
 from .store import DEAD_KINDS
+from .windows import batches
 
 STATES = ("stored", "dead", "robots", "queued_archive", "no_source", "queued_direct")
 REDIRECTS = ("same_article", "different_article", "non_html")
@@ -78,6 +79,13 @@ def redirect_table(red: DataFrame) -> DataFrame:
     return red.groupBy("host").pivot("redirect", list(REDIRECTS)).agg(F.count("redirect")).na.fill(0, list(REDIRECTS))
 
 
+def sorted_redirects(red: DataFrame) -> DataFrame:
+    """The table with ``place`` from 0: most different articles first, then files, then same articles, then by host."""
+    down = [(-F.col(c)).alias(f"_{c}") for c in ("different_article", "non_html", "same_article")]
+    rows = batches(redirect_table(red).select("*", *down), ("_different_article", "_non_html", "_same_article", "host"), 1)
+    return rows.withColumnRenamed("batch", "place").drop("_different_article", "_non_html", "_same_article")
+
+
 def progress(log: DataFrame, corpus_totals: DataFrame) -> DataFrame:
     """Per host: counts by kind, share done in percent, stored MB, next to the corpus total."""
     counts = log.groupBy("host").agg(

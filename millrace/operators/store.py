@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.classify import is_non_html
+from ..functions.urls import canonical, unwrapped
+
 MAX_ATTEMPTS = 5
 DONE_KINDS = ("ok", "notfound", "home", "robots", "http4xx", "nonhtml")
 #: The different meanings of "done"; they are kept apart on purpose.
@@ -53,6 +56,34 @@ def corrected(log: DataFrame, wrong: Column, kind: str) -> DataFrame:
     return out.withColumn("html", F.when(~bad, F.col("html"))) if "html" in log.columns else out
 
 
+def non_html_rows(log: DataFrame) -> Column:
+    """Stored rows that are no page: by final address, first bytes and, where the origin answered, content type.
+
+    An archive's answer carries the archive's own type, so the type counts for origin and alternate sources only.
+    """
+    final = F.when(F.col("source") == "db_wayback", unwrapped(F.coalesce("final_url", F.lit("")))).otherwise(F.coalesce("final_url", F.lit("")))
+    ctype = F.when(F.col("source").isin("db", "db_alt"), F.col("ctype"))
+    return (F.col("kind") == "ok") & is_non_html(final, ctype, F.coalesce("html", F.lit("").cast("binary")))
+
+
+def unmapped_rows(log: DataFrame, expected: DataFrame, sources: tuple[str, ...] = ("db_wayback", "db_cc")) -> DataFrame:
+    """The log with ``_wrong``: stored archive rows whose address is not the one their page maps to (``id, key``); no mapping
+    and no address count as the empty one."""
+    got = canonical(unwrapped(F.coalesce("final_url", F.lit(""))))
+    rows = log.join(expected.select("id", F.col("key").alias("_key")), "id", "left")
+    wrong = (F.col("kind") == "ok") & F.col("source").isin(*sources) & (got != F.coalesce("_key", F.lit("")))
+    return rows.withColumn("_wrong", F.coalesce(wrong, F.lit(False))).drop("_key")
+
+
+def repaired(log: DataFrame, wrong: Column, kind: str) -> DataFrame:
+    """Every row of the (source, host) partitions that hold a wrong row, with those rows corrected; what to write back.
+
+    The partitions touched are found from the narrow columns; their number is that of a report, not of rows.
+    """
+    touched = log.where(wrong).select("source", "host").distinct()
+    return corrected(log.join(touched, ["source", "host"], "left_semi"), wrong, kind)
+
+
 def normalised(log: DataFrame) -> DataFrame:
     """Transport failures as NULL: status -1 means none, and so does the final address of such a row."""
     failed = F.col("status") == -1

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import gzip
-import os
-import sqlite3
 import uuid
 from collections.abc import Iterator
 
@@ -84,44 +82,6 @@ def warc_parse(spark: SparkSession, d: str) -> DataFrame:
     return parsed.groupBy("source", "ctype").agg(F.count("*").alias("n"), F.sum(F.octet_length("body")).cast("long").alias("n_bytes"))
 
 
-def sqlite_scan(spark: SparkSession, d: str) -> DataFrame:
-    """The fetch log written as SQLite files, one per source and split, and scanned with pushed predicates."""
-    from ..sources.sqlite import register
-
-    ship(spark)
-    register(spark)
-    root = _local(_place(spark, "sqlite"))
-    columns = ["id", "url", "final_url", "status", "kind", "ctype", "nbytes", "fetched_at", "attempts", "err"]
-    log = table(spark, d, "pages").select(F.spark_partition_id().alias("split"), "source", *columns)
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_: dict[str, sqlite3.Connection] = {}
-        n = 0
-        for b in batches:
-            split, source, *rest = (c.to_pylist() for c in b.columns)
-            for i, s in enumerate(source):
-                c = open_.get(s)
-                if c is None:
-                    os.makedirs(f"{root}/{s}", exist_ok=True)
-                    path = f"{root}/{s}/split{split[i]}.sqlite"
-                    if os.path.exists(path):
-                        os.remove(path)  # of an attempt that was lost
-                    c = open_[s] = sqlite3.connect(path)
-                    c.execute(f"CREATE TABLE pages ({', '.join(columns)}, html BLOB)")
-                c.execute(f"INSERT INTO pages VALUES ({','.join('?' * (len(columns) + 1))})", [*(col[i] for col in rest), None])
-                n += 1
-        for c in open_.values():
-            c.commit()
-            c.close()
-        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
-
-    log.mapInArrow(write, "n long").agg(F.sum("n")).collect()  # one row
-    store = spark.read.format("sqlite_store").load(root)
-    return store.where(F.col("kind").isin("ok", "home", "notfound") & (F.col("source") == "db")).groupBy("source", "kind").agg(
-        F.count("*").alias("n"), F.sum("nbytes").alias("n_bytes"), F.max("attempts").alias("attempts")
-    )
-
-
 def xml_slice(spark: SparkSession, d: str) -> DataFrame:
     """Batches of 20 records as one text, sliced into records again; records asked for and not returned stay out."""
     rec = F.concat(F.lit('<PubmedArticle><PMID Version="1">'), F.col("id").cast("string"), F.lit("</PMID><T>"), U.hostname("url"), F.lit("</T></PubmedArticle>"))
@@ -223,7 +183,7 @@ def _last_states(out: DataFrame, machine: type) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        tsv_roundtrip, csv_roundtrip, jsonl_roundtrip, partitioned_store, index_blocks, warc_parse, sqlite_scan, xml_slice, index_parse, status_explode, minute_stream,
+        tsv_roundtrip, csv_roundtrip, jsonl_roundtrip, partitioned_store, index_blocks, warc_parse, xml_slice, index_parse, status_explode, minute_stream,
         run_counters, limiter_replay, throttle_replay,
     )
 }
@@ -259,8 +219,6 @@ SQL = {
         FROM pages WHERE source = 'db_wayback' AND kind = 'ok' GROUP BY 1""",
     "index_blocks": f"SELECT {Q.surt(Q.hostname('url'))} AS key, count(*) AS n, CAST(sum(length) AS BIGINT) AS n_bytes, max(ts) AS newest FROM cc_index GROUP BY 1",
     "warc_parse": "SELECT source, trim(coalesce(ctype, '')) AS ctype, count(*) AS n, CAST(sum(octet_length(html)) AS BIGINT) AS n_bytes FROM pages WHERE html IS NOT NULL GROUP BY 1, 2",
-    "sqlite_scan": """SELECT source, kind, count(*) AS n, CAST(sum(nbytes) AS BIGINT) AS n_bytes, max(attempts) AS attempts FROM pages
-        WHERE kind IN ('ok', 'home', 'notfound') AND source = 'db' GROUP BY 1, 2""",
     "xml_slice": f"""SELECT id // 20 AS batch, CAST(id AS VARCHAR) AS number,
         CAST(length('<PubmedArticle><PMID Version="1">' || id || '</PMID><T>' || {Q.hostname('url')} || '</T></PubmedArticle>') AS BIGINT) AS n_chars FROM corpus WHERE id % 10 <> 3""",
     "index_parse": "SELECT id // 50 AS book, id AS si, CASE WHEN id % 7 IN (0, 2, 5, 6) THEN '/c/' || id || '.html' END AS href FROM corpus",

@@ -7,9 +7,14 @@ a round trip returns the same rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from ..functions.formats import grouped, labelled
 from ..session import ship
 
 CAPTURES = "ts string, original string"
@@ -66,10 +71,6 @@ def read_listing(spark: SparkSession, path: str, pattern: str = "*") -> DataFram
 
 def read_lenient_text(spark: SparkSession, path: str) -> DataFrame:
     """``path, text`` of whole files; bytes that are no UTF-8 are dropped."""
-    from collections.abc import Iterator
-
-    import pyarrow as pa
-
     ship(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,12 +96,71 @@ def write_jsonl(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+#: Rows of one source and host that one file holds, about, and the most files of a host.
+PAGES_PER_FILE, HOST_FILES = 100_000, 1024
+
+
 def write_pages(df: DataFrame, path: str, level: int = 6) -> None:
-    """Page store partitioned by source and host, bodies compressed; only the partitions written are replaced."""
-    df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    df.repartition("source", "host").write.mode("overwrite").option("compression", "zstd").option("parquet.compression.codec.zstd.level", level).partitionBy(
-        "source", "host"
-    ).parquet(path)
+    """Page store partitioned by source and host, bodies compressed; only the partitions written are replaced.
+
+    A host's rows are spread over files by a hash of their id, as many as its
+    number of rows needs, so the hottest host is no larger task than the rest.
+    """
+    counts = df.groupBy("source", "host").agg(F.least(F.ceil(F.count("*") / PAGES_PER_FILE), F.lit(HOST_FILES)).cast("int").alias("_files"))
+    rows = df.join(counts, ["source", "host"]).withColumn("_bucket", F.pmod(F.xxhash64("id"), F.col("_files"))).drop("_files")
+    rows.repartition("source", "host", "_bucket").drop("_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").option(
+        "parquet.compression.codec.zstd.level", level
+    ).partitionBy("source", "host").parquet(path)
+
+
+def read_pages(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A page store written by :func:`write_pages`; source and host prune partitions."""
+    return spark.read.schema(schema).parquet(path)
+
+
+def write_flushed(df: DataFrame, path: str, rows: int = 200) -> None:
+    """Files of at most so many rows each, as a buffer that is flushed at that size would leave them."""
+    df.write.mode("overwrite").option("maxRecordsPerFile", rows).parquet(path)
+
+
+def _coded(df: DataFrame, column: str, change) -> DataFrame:
+    """A binary column changed value by value in Arrow batches; other columns pass by."""
+    ship(df.sparkSession)
+    at = df.columns.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(0, b.num_rows, 500):
+                part = b.slice(i, 500)
+                columns = list(part.columns)
+                columns[at] = pa.array([None if v is None else change(v) for v in columns[at].to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays(columns, names=part.schema.names)
+
+    return df.mapInArrow(run, df.schema)
+
+
+def zstd_packed(df: DataFrame, column: str, level: int = 6) -> DataFrame:
+    """Bodies as zstd blobs, as page stores hold them; null stays null."""
+    import zstandard
+
+    return _coded(df, column, lambda v: zstandard.ZstdCompressor(level=level).compress(v))
+
+
+def unpacked_blob(blob: bytes | None) -> bytes | None:
+    """Body of a zstd blob; bytes that are none stay as they are."""
+    import zstandard
+
+    if blob is None or not blob.startswith(zstandard.FRAME_HEADER):
+        return blob
+    try:
+        return zstandard.ZstdDecompressor().decompressobj().decompress(blob)
+    except zstandard.ZstdError:
+        return blob
+
+
+def zstd_unpacked(df: DataFrame, column: str) -> DataFrame:
+    """Bodies of zstd blobs; a value that is none stays as it is."""
+    return _coded(df, column, unpacked_blob)
 
 
 def status_groups(status: DataFrame) -> DataFrame:
@@ -109,12 +169,33 @@ def status_groups(status: DataFrame) -> DataFrame:
     return g.select("updated", "name", "g.*").withColumn("shown", (F.col("queue") > 0) | F.col("disabled") | (F.col("paused_for") > 0))
 
 
-def markdown_report(counts: DataFrame, reasons: DataFrame, per_host: DataFrame) -> str:
-    """Missing-page report from three small aggregates (a row per state, reason and host)."""
-    lines = ["# Missing pages", "", "| State | Pages |", "|---|---:|"]
-    lines += [f"| {r['state']} | {r['n']:,} |" for r in counts.orderBy(F.desc("n"), "state").toLocalIterator()]
-    lines += ["", "| Reason | Pages |", "|---|---:|"]
-    lines += [f"| {r['reason']} | {r['n']:,} |" for r in reasons.orderBy(F.desc("n"), "reason").toLocalIterator()]
-    lines += ["", "| Host | Pages | Main reason |", "|---|---:|---|"]
-    lines += [f"| {r['host']} | {r['n']:,} | {r['reason']} |" for r in per_host.orderBy(F.desc("n"), "host").toLocalIterator()]
-    return "\n".join(lines) + "\n"
+def status_hosts(status: DataFrame) -> DataFrame:
+    """One row per host and counter of a status document."""
+    hosts = status.select("updated", F.explode("hosts").alias("host", "counts"))
+    return hosts.select("updated", "host", F.explode("counts").alias("kind", "n"))
+
+
+def markdown_report(states: DataFrame, missing: DataFrame, redirects: DataFrame, labels: dict[str, str]) -> DataFrame:
+    """Missing-page report as numbered lines (``section, place, line``), made and ordered without a driver.
+
+    ``states`` has a row per state, ``missing`` one per page (``id, url, host,
+    reason``), ``redirects`` the sorted pivot. Sections are the counts, the
+    reasons and hosts by falling count, the redirects, and the list of pages per
+    host and reason. Lines of a section are in the order of ``place``.
+    """
+    reason = labelled(F.col("reason"), labels)
+    line = lambda *parts: F.concat_ws(" ", *[F.lit(p) if isinstance(p, str) else p for p in parts])
+    counts = states.select(F.lit("1 states").alias("section"), F.struct((-F.col("n")).alias("a"), F.col("state").alias("b"), F.lit(0).cast("long").alias("c")).alias("place"), line("|", F.col("state"), "|", grouped(F.col("n")), "|").alias("line"))
+    by_reason = missing.groupBy("reason").agg(F.count("*").alias("n"))
+    reasons = by_reason.select(F.lit("2 reasons").alias("section"), F.struct((-F.col("n")).alias("a"), F.col("reason").alias("b"), F.lit(0).cast("long").alias("c")).alias("place"), line("|", reason, "|", grouped(F.col("n")), "|").alias("line"))
+    pairs = missing.groupBy("host", "reason").agg(F.count("*").alias("n"))
+    by_host = pairs.groupBy("host").agg(F.sum("n").alias("total"), F.min(F.struct((-F.col("n")).alias("m"), "reason")).alias("x")).select("host", "total", "x.reason")
+    hosts = by_host.select(F.lit("3 hosts").alias("section"), F.struct((-F.col("total")).alias("a"), F.col("host").alias("b"), F.lit(0).cast("long").alias("c")).alias("place"), line("|", F.col("host"), "|", grouped(F.col("total")), "|", reason, "|").alias("line"))
+    kinds = [c for c in redirects.columns if c not in ("host", "place")]
+    moved = redirects.select(
+        F.lit("4 redirects").alias("section"), F.struct(F.col("place").cast("long").alias("a"), F.col("host").alias("b"), F.lit(0).cast("long").alias("c")).alias("place"), line("|", F.col("host"), *[x for k in kinds for x in ("|", grouped(F.col(k)))], "|").alias("line")
+    )
+    listed = missing.select(
+        F.lit("5 pages").alias("section"), F.struct(F.lit(0).cast("long").alias("a"), F.concat_ws("/", "host", "reason").alias("b"), F.col("id").alias("c")).alias("place"), F.concat_ws("\t", F.col("id").cast("string"), "url").alias("line")
+    )
+    return counts.unionByName(reasons).unionByName(hosts).unionByName(moved).unionByName(listed).orderBy("section", "place")

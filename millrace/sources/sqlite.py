@@ -1,4 +1,8 @@
-"""Python data source over page stores kept as one SQLite file per (source, host)."""
+"""Python data source over page stores kept as one SQLite file per (source, host).
+
+Bodies are zstd blobs in such stores and come out unpacked; a body that is no
+such blob comes out as it is.
+"""
 
 from __future__ import annotations
 
@@ -12,6 +16,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter
 from pyspark.sql.types import StructType
 
 from ..session import ship
+from .files import unpacked_blob
 
 COLUMNS = "id long, url string, final_url string, status int, kind string, ctype string, nbytes long, fetched_at double, attempts int, err string, html binary"
 
@@ -56,6 +61,8 @@ class StoreReader(DataSourceReader):
         with sqlite3.connect(f"file:{part.path}?mode=ro", uri=True) as c:
             for row in c.execute(f"SELECT {','.join(stored) or '1'} FROM pages{where}", kinds):
                 values = dict(zip(stored, row)) | {"source": part.source, "host": part.host}
+                if "html" in values:
+                    values["html"] = unpacked_blob(values["html"])
                 yield tuple(values[f] for f in self.fields)
 
 

@@ -206,8 +206,6 @@ def test_files(spark, tmp_path):
     (tmp_path / "bad.txt").write_bytes(b"a\xffb")
     assert files.read_lenient_text(spark, str(tmp_path / "bad.txt")).first()["text"] == "ab"
     assert files.read_listing(spark, str(tmp_path), "*.txt").first()["length"] == 3
-    one = spark.createDataFrame([("stored", 3)], "state string, n long")
-    assert "| stored | 3 |" in files.markdown_report(one, spark.createDataFrame([("dead", 1)], "reason string, n long"), spark.createDataFrame([("h", 1, "dead")], "host string, n long, reason string"))
 
 
 class PlainLimiter:
