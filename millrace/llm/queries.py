@@ -10,6 +10,7 @@ from . import lines as L
 from . import packing as K
 from . import pages as P
 from . import tokens as T
+from .sqlparts import SQL  # noqa: F401  (read next to QUERIES)
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -98,4 +99,3 @@ def p10_rates(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {"p2_found": p2_found, "p2_restored": p2_restored, "p3_found": p3_found, "p3_messages": p3_messages, "p4_found": p4_found, "p5_found": p5_found, "p5_segments": p5_segments, "p6_found": p6_found, "p6_clean": p6_clean,
     "p7_found": p7_found, "p7_sequences": p7_sequences, "p7_clean": p7_clean,
     "p8_ids": p8_ids, "p9_packing": p9_packing, "p9_fill": p9_fill, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
-SQL: dict[str, str] = {}

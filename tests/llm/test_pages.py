@@ -502,3 +502,11 @@ def test_trees_on_pages_not_fitted(spark, small):
         total += len(p.lines)
     print("held-out block accuracy", right / total, "of", total)
     assert right >= 0.9 * total
+
+
+def test_repeated_lines_same_as_sql(spark, small):
+    from millrace.llm import queries
+
+    from ..oracle import assert_same, views
+
+    assert_same(queries.p7_found(spark, small), views(small), queries.SQL["p7_found"])
