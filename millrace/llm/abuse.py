@@ -147,7 +147,12 @@ _MEDICAL = {
 #: and from which two errors are tried. Shorter readings count inside phrases.
 SHORT_LENGTH, PLAIN_LENGTH, LONG_LENGTH = 4, 6, 9
 #: Words of their own that such a change would turn into a lexicon word.
-PLAIN_WORDS = frozenset("form from trial trail angle angel lair lira arts tars tsar salve untied united sacred scared causal casual dairy diary silver sliver quiet quite calm clam rats brid bird gril girl wrap warp sued used".split())
+PLAIN_WORDS = frozenset("shingles form from trial trail angle angel lair lira arts tars tsar salve untied united sacred scared causal casual dairy diary silver sliver quiet quite calm clam rats brid bird gril girl wrap warp sued used".split())
+#: Words of the rules that mean nothing by themselves: no token is read as one of them.
+FUNCTION_WORDS = frozenset(
+    "the than they them those these that this what your you yourself with without from such like just only hope know live should ought no so to my an him her his he she in of and or go it is are was were be as for on at by not all"
+    " every one who so did do does don they we me more than who why any back out off down get got have has had must will would want near next beside there their nothing but kind would".split()
+)
 #: Characters on either side of a term that count as its context.
 WINDOW = 60
 CONTEXT_PRICE = 1.2
@@ -317,17 +322,18 @@ class Scorer:
         self.medical = re.compile(change(_CONTEXT[language] + "|" + _MEDICAL[language]))
         words = {w for ps in rules.values() for _, p in ps for w in re.findall(r"[^\W\d_]+", change(re.sub(r"\(\?\w*[:!=<]|\\[a-z]|\{[^}]*\}", " ", p))) if len(w) > 1}
         self.words = frozenset(words)
-        self.trie = Trie(sorted(words))
+        self.trie = Trie(sorted(words - FUNCTION_WORDS))
         self.language = language
+        #: tokens looked up, those read as another word, and those whose loose reading is yet another
+        self.known: set[str] = set()
         self.strict: dict[str, str] = {}
-        #: tokens whose loose reading is another one
         self.loose: dict[str, str] = {}
 
     def own_word(self, token: str) -> bool:
         """Whether a token is a word of its own, lexicon or not."""
-        if self.language == "vi" and _SYLLABLE.fullmatch(fold(token)):
-            return True
-        return token in ordinary_words()
+        if self.language == "vi":
+            return bool(_SYLLABLE.fullmatch(fold(token))) or token in ordinary_words()
+        return not token.isascii() or token in ordinary_words()
 
     def look_up(self, token: str) -> None:
         """Fill both caches with the lexicon words a token stands for, or the token itself.
@@ -342,23 +348,29 @@ class Scorer:
                 loose = near
                 if n >= SHORT_LENGTH and (sorted(near) == sorted(token) or n >= PLAIN_LENGTH and (n < LONG_LENGTH or self.trie.within(token, 1) == near)):
                     strict = near
-        if len(self.strict) > 300_000:
+        if len(self.known) > 300_000:
+            self.known.clear()
             self.strict.clear()
             self.loose.clear()
-        self.strict[token] = strict
+        self.known.add(token)
+        if strict != token:
+            self.strict[token] = strict
         if loose != strict:
             self.loose[token] = loose
 
     def readings(self, tokens: list[str]) -> tuple[str, str]:
         """The sentence in lexicon words, strictly and loosely; masked tokens stay masked, for rules that take ``*`` for any letter."""
-        known = self.strict
-        for t in tokens:
-            if t not in known:
-                self.look_up(t)
-        line = " ".join([known[t] for t in tokens])
-        if self.loose.keys().isdisjoint(tokens):
+        words = set(tokens)
+        for t in words - self.known:
+            self.look_up(t)
+        line = " ".join(tokens) if self.strict.keys().isdisjoint(words) else " ".join([self.strict.get(t, t) for t in tokens])
+        if self.loose.keys().isdisjoint(words):
             return line, line
-        return line, " ".join([self.loose.get(t) or known[t] for t in tokens])
+        return line, " ".join([self.loose.get(t) or self.strict.get(t, t) for t in tokens])
+
+    def misspelled(self, tokens: list[str]) -> bool:
+        """Whether a token with a loose reading is no syllable of the Vietnamese text around it."""
+        return any(t in self.loose and not _SYLLABLE.fullmatch(t) for t in tokens)
 
     def phrases(self, sentence: str) -> list[tuple[str, int, int]]:
         """(category, first word, last word) of what the rules for masked text match over several words."""
@@ -446,10 +458,13 @@ class SoundTrie:
     def __init__(self, terms: list[str]) -> None:
         self.root = Trie(terms).root
         self.sounds = {x: g[0] for g in _SOUNDS for x in g[1:]}
+        alike = {g[0]: f"[{g}]" for g in _SOUNDS}
+        #: what any term may look like: texts without it are read as they are
+        self.screen = re.compile("|".join("".join(alike.get(c, re.escape(c)) for c in t) for t in terms) or "(?!)")
 
     def reading(self, text: str) -> str:
         """The text with sound-alikes inside terms replaced; terms do not overlap, longer ones first."""
-        if not any(map(self.sounds.__contains__, text)):
+        if not self.screen.search(text):
             return text
         out: list[str] = []
         i = 0
@@ -529,7 +544,9 @@ def _tokens(sentence: str) -> list[str]:
     found = _TOKEN.findall(sentence)
     if not _DIGIT.search(sentence):
         return found
-    digits = [_DIGIT.search(t) is not None and t != "18+" for t in found]
+    if all(map(str.isalpha, found)):
+        return found
+    digits = [not t.isalpha() and _DIGIT.search(t) is not None and t != "18+" for t in found]
     if not any(digits):
         return found
     mixed = sum(d and any(c.isalpha() for c in t) for t, d in zip(found, digits))
@@ -574,7 +591,7 @@ def _scored(sentence: str, outside: bool) -> dict[str, float]:
     phrases = [x for name, line, _ in read if "*" in line for x in all_of[name].phrases(line)]
     for name, line, loose in read:
         _most(out, all_of[name].score(line, phrases, alone=name == "vi" or not marked, outside=outside))
-        if loose != line:
+        if loose != line and (name != "en" or not marked or all_of["en"].misspelled(tokens)):
             _most(out, all_of[name].score(loose, phrases, alone=False, several=True, outside=outside))
     return out
 
