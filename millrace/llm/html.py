@@ -242,9 +242,10 @@ def render(html: str | None) -> Page:
     return page
 
 
-def to_text(page: Page) -> str:
-    """All visible text as laid out: blank line between blocks, ``- `` before
-    list items, cells of a table row joined by tabs and padded to columns."""
+def to_text(page: Page, blocks: list[int] | None = None) -> str:
+    """All visible text, or that of some blocks, as laid out: blank line between blocks, ``- ``
+    before list items, cells of a table row side by side and padded to columns."""
+    kept = None if blocks is None else frozenset(blocks)
     out: list[str] = []
     row: list[str] = []
     table: list[list[str]] = []
@@ -263,7 +264,7 @@ def to_text(page: Page) -> str:
     tag, parent = page.tag, page.parent
     for i, s in enumerate(page.lines):
         e = page.node[i]
-        if page.hidden[e]:
+        if page.hidden[e] or kept is not None and i not in kept:
             continue
         x = e
         cell = -1

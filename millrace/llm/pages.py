@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship, spread, stage, table
 from . import language, mainbody, markup, mojibake, residue
-from .html import Page, render
+from .html import Page, render, to_text
 
 #: Pages whose rows are held at once in a worker.
 PAGES_AT_ONCE = 1000
@@ -255,6 +255,18 @@ def main_lines(pages: DataFrame) -> DataFrame:
     return kept.select("source", "id", F.explode("lines").alias("line"))
 
 
+def main_texts(pages: DataFrame) -> DataFrame:
+    """``source, id, text``: main body of each such page as one text, with its block spacing, lists and aligned table cells."""
+
+    def row(source: str, id_: int, url: str, html: str) -> list[tuple]:
+        p = render(html)
+        bad, case, h, _, body = page_facts(p)
+        return [] if bad or case else [(source, id_, host_of(url) if h is not None else None, False, False, h, to_text(p, body))]
+
+    facts = numbered(map_pages(stored(pages, "source", "id", "url"), row, FACTS + ", text string", 3), "texts")
+    return without_messages(once(facts, "source", "id")).select("source", "id", "text")
+
+
 # ---------------------------------------------------------------- problem 5
 
 

@@ -34,6 +34,11 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return P.main_lines(P.load(spark, d))
 
 
+def p4_text(spark: SparkSession, d: str) -> DataFrame:
+    """Main body of every page as one laid-out text."""
+    return P.main_texts(P.load(spark, d))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return P.page_languages(P.load(spark, d))
 
@@ -96,6 +101,6 @@ def p10_rates(spark: SparkSession, d: str) -> DataFrame:
     return A.rates(A.score_documents(table(spark, d, "documents")))
 
 
-QUERIES = {"p2_found": p2_found, "p2_restored": p2_restored, "p3_found": p3_found, "p3_messages": p3_messages, "p4_found": p4_found, "p5_found": p5_found, "p5_segments": p5_segments, "p6_found": p6_found, "p6_clean": p6_clean,
+QUERIES = {"p2_found": p2_found, "p2_restored": p2_restored, "p3_found": p3_found, "p3_messages": p3_messages, "p4_found": p4_found, "p4_text": p4_text, "p5_found": p5_found, "p5_segments": p5_segments, "p6_found": p6_found, "p6_clean": p6_clean,
     "p7_found": p7_found, "p7_sequences": p7_sequences, "p7_clean": p7_clean,
     "p8_ids": p8_ids, "p9_packing": p9_packing, "p9_fill": p9_fill, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}

@@ -510,3 +510,11 @@ def test_repeated_lines_same_as_sql(spark, small):
     from ..oracle import assert_same, views
 
     assert_same(queries.p7_found(spark, small), views(small), queries.SQL["p7_found"])
+
+
+def test_main_text_as_laid_out(spark):
+    body = PROSE + "<h2>Doses</h2><ul><li>one<li>two</ul><table><tr><td>drug</td><td>5 mg</td></tr><tr><td>a</td><td>10 mg</td></tr></table><div class=share>Share this page</div><p>The end.</p>"
+    rows = [("db", 1, "http://a.x", article(body)), ("db", 1, "http://a.x", article(body)), ("db", 2, "http://a.x", None), ("db", 3, "http://a.x", article("<p>{{ x }}</p>"))]
+    got = P.main_texts(frame(spark, rows)).collect()
+    assert [(r["source"], r["id"]) for r in got] == [("db", 1)]
+    assert got[0]["text"].endswith("Doses\n\n- one\n- two\n\ndrug  5 mg\na     10 mg\n\nThe end.") and "Share" not in got[0]["text"] and "Home" not in got[0]["text"]
