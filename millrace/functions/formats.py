@@ -12,9 +12,9 @@ def grouped(n: Column) -> Column:
 
 
 def size_text(n_bytes: Column) -> Column:
-    """Bytes as ``x.x GB`` from 1e9 on, else as ``x.x MB``."""
-    gb = n_bytes >= 1_000_000_000
-    return F.concat(F.format_string("%.1f", F.when(gb, n_bytes / 1e9).otherwise(n_bytes / 1e6)), F.when(gb, " GB").otherwise(" MB"))
+    """Bytes with two decimals, in GB from 2**30 on, else in MB."""
+    gb = n_bytes >= 1 << 30
+    return F.concat(F.format_string("%.2f", F.when(gb, n_bytes / (1 << 30)).otherwise(n_bytes / (1 << 20))), F.when(gb, " GB").otherwise(" MB"))
 
 
 def time_text(seconds: Column, pattern: str = "yyyy-MM-dd HH:mm") -> Column:

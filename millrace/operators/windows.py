@@ -56,6 +56,15 @@ def runs(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], flag: Col
     return out.drop("_p", "_f", "_n", "_island", "_run", "_carry")
 
 
+def cut_after(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], flag: Column, limit: int) -> DataFrame:
+    """Rows of each key up to and with the one at which a run of ``limit`` true flags is full; the rest is not tried."""
+    counted = runs(df.withColumn("_flag", flag), keys, order, F.col("_flag")).withColumn("_full", F.col("run") >= limit)
+    first = counted.where("_full").groupBy(*keys).agg(F.min(F.struct(*order)).alias("_stop"))
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
+    out = counted.alias("a").join(first.alias("b"), same, "left").select("a.*", "b._stop")
+    return out.where(F.col("_stop").isNull() | (F.struct(*order) <= F.col("_stop"))).drop("_flag", "_full", "_stop")
+
+
 def batches(df: DataFrame, order: tuple[str, ...], size: int, keys: tuple[str, ...] = ()) -> DataFrame:
     """Fixed-size batches in order within each key: row numbers of a partition plus the rows before it."""
     given = keys

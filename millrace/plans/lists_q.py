@@ -78,7 +78,7 @@ def reason_labels(spark: SparkSession, d: str) -> DataFrame:
 
 def size_texts(spark: SparkSession, d: str) -> DataFrame:
     p = table(spark, d, "pages").groupBy("host").agg(F.sum("nbytes").alias("b"))
-    return p.select("host", T.grouped(F.col("b")).alias("n_bytes"), T.size_text(F.col("b") - F.col("b") % 300_000).alias("mb"), T.size_text((F.col("b") - F.col("b") % 300_000) * 1000).alias("gb"))
+    return p.select("host", T.grouped(F.col("b")).alias("n_bytes"), T.size_text(F.col("b") - F.col("b") % (1 << 18)).alias("mb"), T.size_text((F.col("b") - F.col("b") % (1 << 18)) * 4096).alias("gb"))
 
 
 def time_texts(spark: SparkSession, d: str) -> DataFrame:
@@ -173,7 +173,7 @@ def _labels(c: str) -> str:
 
 
 def _size(b: str) -> str:
-    return f"CASE WHEN {b} >= 1000000000 THEN printf('%.1f GB', {b} / 1e9) ELSE printf('%.1f MB', {b} / 1e6) END"
+    return f"CASE WHEN {b} >= 1073741824 THEN printf('%.2f GB', {b} / 1073741824.0) ELSE printf('%.2f MB', {b} / 1048576.0) END"
 
 
 _HC = f"(SELECT id, {Q.host_key('url')} AS host FROM corpus)"
@@ -194,8 +194,8 @@ SQL = {
     "backoff_waits": """SELECT DISTINCT attempts, least(300.0, 15 * pow(2.0, attempts)) AS listing, least(120.0, 5 * pow(2.0, least(attempts, 5))) AS "index", (attempts * 10)::DOUBLE AS upload,
         least(60.0, 3 * pow(2.0, attempts)) AS records FROM pages""",
     "reason_labels": f"SELECT reason, {_labels('reason')} AS label, format('{{:,}}', count(*) * 1000) AS n FROM missing GROUP BY reason",
-    "size_texts": f"""WITH p AS (SELECT host, CAST(sum(nbytes) AS BIGINT) AS b, CAST(sum(nbytes) - sum(nbytes) % 300000 AS BIGINT) AS r FROM pages GROUP BY 1)
-        SELECT host, format('{{:,}}', b) AS n_bytes, {_size('r')} AS mb, {_size('(r * 1000)')} AS gb FROM p""",
+    "size_texts": f"""WITH p AS (SELECT host, CAST(sum(nbytes) AS BIGINT) AS b, CAST(sum(nbytes) - sum(nbytes) % 262144 AS BIGINT) AS r FROM pages GROUP BY 1)
+        SELECT host, format('{{:,}}', b) AS n_bytes, {_size('r')} AS mb, {_size('(r * 4096)')} AS gb FROM p""",
     "time_texts": "SELECT host, strftime(to_timestamp(floor(max(fetched_at))) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M') AS updated, strftime(to_timestamp(floor(max(fetched_at))) AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS precise FROM pages GROUP BY 1",
     "redirect_order": _ORDERED,
     "markdown_lines": f"""WITH st AS {_ST}, m AS ({_MISS}), h AS (SELECT host, reason, count(*) AS n FROM m GROUP BY 1, 2)

@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.windows import batches
 from ..session import ship
 
 
@@ -63,6 +64,22 @@ def xml_records(text: Column, tag: str = "PubmedArticle", number: str = "PMID")
     return F.transform(whole, lambda r: F.struct(F.regexp_extract(r, rf"<{number}[^>]*>(\d+)</{number}>", 1).alias("number"), r.alias("record")))
 
 
+def record_intake(wanted: DataFrame, answers: DataFrame, size: int) -> DataFrame:
+    """``id, number, batch, kind, status, nbytes, record`` of every wanted record: stored if a batch's answer holds it, else not found.
+
+    ``wanted``: ``id, number`` (string); ``answers``: texts of XML records, in any batches. Records nobody asked for are
+    left out; of several records with one number the longest counts, ties by text.
+    """
+    asked = batches(wanted.where("number is not null"), ("number", "id"), size)
+    got = answers.select(F.explode(xml_records(F.col("text"))).alias("x")).select("x.number", "x.record")
+    best = got.groupBy("number").agg(F.max(F.struct(F.octet_length("record").alias("n"), "record")).alias("r"))
+    hit = F.col("r").isNotNull()
+    return asked.join(best, "number", "left").select(
+        "id", "number", "batch", F.when(hit, "ok").otherwise("notfound").alias("kind"), F.when(hit, 200).otherwise(404).alias("status"),
+        F.coalesce("r.n", F.lit(0)).cast("long").alias("nbytes"), F.col("r.record").alias("record"),
+    )
+
+
 # The element a catalog stands in, how its entries are named, and marks of links that lead to no chapter.
 CATALOG = "catalog-content"
 ENTRY = "si"
