@@ -21,6 +21,12 @@ def segmented(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...]) -> D
     return stage(spread, "segments")
 
 
+def _attach(rows: DataFrame, summary: DataFrame, keys: tuple[str, ...], how: str = "inner") -> DataFrame:
+    """Rows with the columns of a summary by key; null keys are equal."""
+    renamed = summary.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in summary.columns if c not in keys])
+    return rows.join(renamed, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys], how).drop(*[f"_k_{k}" for k in keys])
+
+
 def _local(keys: tuple[str, ...], order: tuple[str, ...]):
     return Window.partitionBy("_p", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
 
@@ -52,7 +58,7 @@ def runs(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], flag: Col
     )
     carried = chained.select("_p", *keys, F.coalesce(F.lag("_after").over(by_key), F.lit(0)).alias("_carry"))
     whole = (F.col("_f") == 1) & (F.col("_run") == F.col("_n"))  # true since the partition began
-    out = local.join(carried, ["_p", *keys]).withColumn("run", F.col("_run") + F.when(whole, F.col("_carry")).otherwise(0))
+    out = _attach(local, carried, ("_p", *keys)).withColumn("run", F.col("_run") + F.when(whole, F.col("_carry")).otherwise(0))
     return out.drop("_p", "_f", "_n", "_island", "_run", "_carry")
 
 
@@ -60,8 +66,7 @@ def cut_after(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], flag
     """Rows of each key up to and with the one at which a run of ``limit`` true flags is full; the rest is not tried."""
     counted = runs(df.withColumn("_flag", flag), keys, order, F.col("_flag")).withColumn("_full", F.col("run") >= limit)
     first = counted.where("_full").groupBy(*keys).agg(F.min(F.struct(*order)).alias("_stop"))
-    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
-    out = counted.alias("a").join(first.alias("b"), same, "left").select("a.*", "b._stop")
+    out = _attach(counted, first, keys, "left")
     return out.where(F.col("_stop").isNull() | (F.struct(*order) <= F.col("_stop"))).drop("_flag", "_full", "_stop")
 
 
@@ -72,7 +77,8 @@ def batches(df: DataFrame, order: tuple[str, ...], size: int, keys: tuple[str, .
         df, keys = df.withColumn("_all", F.lit(0)), ("_all",)
     seg = segmented(df, keys, order)
     before = _before(seg.groupBy("_p", *keys).agg(F.count("*").alias("_c")), keys, "_c")
-    numbered = seg.withColumn("_n", F.row_number().over(Window.partitionBy("_p", *keys).orderBy(*order))).join(before, ["_p", *keys])
+    numbered = seg.withColumn("_n", F.row_number().over(Window.partitionBy("_p", *keys).orderBy(*order)))
+    numbered = _attach(numbered, before, ("_p", *keys))
     out = numbered.withColumn("batch", F.floor((F.col("_n") + F.col("_before") - 1) / size).cast("long")).drop("_p", "_n", "_before")
     return out if given else out.drop("_all")
 
@@ -87,9 +93,7 @@ def deltas(df: DataFrame, keys: tuple[str, ...], at: str, total: str) -> DataFra
     w = Window.partitionBy("_p", *keys).orderBy(at)
     last = seg.groupBy("_p", *keys).agg(F.max_by(F.struct(at, total), at).alias("_last"))
     before = last.select("_p", *keys, F.lag("_last").over(Window.partitionBy(*keys).orderBy("_p")).alias("_before"))
-    same = [F.col("a._p") == F.col("b._p"), *[F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]]
-    local = seg.withColumn("_lag", F.lag(F.struct(at, total)).over(w))
-    out = local.alias("a").join(before.alias("b"), same, "left").select("a.*", "b._before")
+    out = _attach(seg.withColumn("_lag", F.lag(F.struct(at, total)).over(w)), before, ("_p", *keys), "left")
     previous = F.coalesce("_lag", "_before")
     seconds, grown = F.col(at) - previous[at], F.col(total) - previous[total]
     return out.withColumn("rate", F.when(seconds > 0, F.round(grown / seconds, 6))).drop("_p", "_lag", "_before")
@@ -106,10 +110,10 @@ def paced(df: DataFrame, keys: tuple[str, ...], at: str, order: tuple[str, ...],
     w = Window.partitionBy("_p", *keys).orderBy(at, *order)
     before = _before(seg.groupBy("_p", *keys).agg(F.count("*").alias("_c")), keys, "_c")
     n = (F.row_number().over(w) - 1).alias("_n")
-    free = seg.select("*", n).join(before, ["_p", *keys]).withColumn("_n", F.col("_n") + F.col("_before")).withColumn("_free", F.col(at) - F.col("_n") * interval)
+    free = _attach(seg.select("*", n), before, ("_p", *keys)).withColumn("_n", F.col("_n") + F.col("_before")).withColumn("_free", F.col(at) - F.col("_n") * interval)
     tops = free.groupBy("_p", *keys).agg(F.max("_free").alias("_top"))
     earlier = tops.select("_p", *keys, F.max("_top").over(Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)).alias("_earlier"))
-    out = free.withColumn("_max", F.max("_free").over(w.rowsBetween(Window.unboundedPreceding, 0))).join(earlier, ["_p", *keys])
+    out = _attach(free.withColumn("_max", F.max("_free").over(w.rowsBetween(Window.unboundedPreceding, 0))), earlier, ("_p", *keys))
     return out.withColumn("slot", F.greatest("_max", "_earlier") + F.col("_n") * interval).drop("_p", "_n", "_before", "_free", "_max", "_earlier")
 
 
@@ -117,7 +121,7 @@ def totals_so_far(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...],
     """Running sum of an amount in order within each key."""
     seg = segmented(df, keys, order)
     before = _before(seg.groupBy("_p", *keys).agg(F.sum(amount).alias("_s")), keys, "_s")
-    out = seg.withColumn("_r", F.sum(amount).over(_local(keys, order))).join(before, ["_p", *keys])
+    out = _attach(seg.withColumn("_r", F.sum(amount).over(_local(keys, order))), before, ("_p", *keys))
     return out.withColumn(name, (F.col("_r") + F.col("_before")).cast("long")).drop("_p", "_r", "_before")
 
 
@@ -137,7 +141,7 @@ def running_share(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...],
     sums = seg.groupBy("_p", *keys).agg(F.sum(amount).alias("_s"))
     before = _before(sums, keys, "_s")
     total = sums.groupBy(*keys).agg(F.sum("_s").alias("_total"))
-    out = seg.withColumn("_r", F.sum(amount).over(_local(keys, order))).join(before, ["_p", *keys]).join(total, list(keys))
+    out = _attach(_attach(seg.withColumn("_r", F.sum(amount).over(_local(keys, order))), before, ("_p", *keys)), total, keys)
     done = F.col("_before") + F.col("_r") - F.col(amount)
     return (
         out.withColumn("done_before", done.cast("long"))

@@ -10,6 +10,7 @@ cluster without it, staging is an error. What a session staged is deleted by
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import shutil
 import tempfile
@@ -55,7 +56,7 @@ def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataF
     path = f"{_stages(spark)}/{name}-{uuid.uuid4().hex}"
     if sc.applicationId not in _staging:
         _staging.add(sc.applicationId)
-        atexit.register(release, spark)
+        atexit.register(_release_at_exit, spark)
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -73,6 +74,11 @@ def release(spark: SparkSession) -> None:
     path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def _release_at_exit(spark: SparkSession) -> None:
+    with contextlib.suppress(Exception):  # the JVM may be gone by then
+        release(spark)
+
+
 def ship(spark: SparkSession) -> None:
     """Give Python workers this package, wherever they run and the driver was started."""
     sc = spark.sparkContext
