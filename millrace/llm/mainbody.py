@@ -104,11 +104,8 @@ def furniture(line: str) -> str:
     """Name of the furniture class a line is worded like, or ``""``."""
     kind = _cache.get(line)
     if kind is None:
-        kind = ""
-        if len(line) <= 200:
-            m = _ANY.match(line)
-            if m:
-                kind = m.lastgroup or ""
+        m = _ANY.match(line)
+        kind = (m.lastgroup or "") if m else ""
         if len(_cache) > 200_000:
             _cache.clear()
         _cache[line] = kind
