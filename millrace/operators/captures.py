@@ -22,8 +22,8 @@ def wanted_keys(corpus: DataFrame, alternates: DataFrame | None = None) -> DataF
             canonical("archived_url").alias("key"), "id", F.col("corpus_url").alias("url"), F.col("prio"), F.col("id").alias("rank")
         )
         keys = direct.unionByName(alt)
-    w = Window.partitionBy("key").orderBy("prio", "rank")
-    return keys.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n", "rank")
+    first = F.min_by(F.struct("id", "url", "prio"), F.struct("prio", "rank"))  # reduced within each split first
+    return keys.groupBy("key").agg(first.alias("x")).select("key", "x.*")
 
 
 def before(captures: DataFrame, cutoffs: dict[str, str], host: Column) -> DataFrame:
