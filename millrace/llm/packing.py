@@ -47,8 +47,8 @@ from ..session import ship, stage
 
 #: Unused space a combination may leave, as a share of the capacity.
 WINDOW = 0.01
-#: Partners drawn for each size and window in a round.
-DRAWS = 12
+#: Partners drawn for each size and window in a round, and combinations of a round from which it is fewer.
+DRAWS, ROUND = 12, 400_000
 #: Share of the items left up to which the residue is packed greedily once hardly anything fills exactly any more.
 RESIDUE = 0.15
 #: A round that places less than this share of what is left is the last of its kind.
@@ -101,6 +101,7 @@ def combinations(sizes: np.ndarray, counts: np.ndarray, fills: list[int], slack:
     below[sizes[sizes <= top]] = sizes[sizes <= top]
     below = np.maximum.accumulate(below)
     share = counts / counts.sum()
+    draws = max(2, min(DRAWS, ROUND // len(sizes)))
     found: list[np.ndarray] = []
     level: list[np.ndarray] = []
     ascending = np.array(fills[::-1])
@@ -109,8 +110,8 @@ def combinations(sizes: np.ndarray, counts: np.ndarray, fills: list[int], slack:
         at = np.minimum(first + up, len(ascending) - 1)
         if up and len(ascending) == 1:
             break
-        fill = np.repeat(ascending[at], DRAWS)
-        s = np.repeat(sizes, DRAWS)
+        fill = np.repeat(ascending[at], draws)
+        s = np.repeat(sizes, draws)
         t = rng.choice(sizes, len(s), p=share)
         v = rng.choice(sizes, len(s), p=share)
         again = rng.random(len(s)) < 0.25
