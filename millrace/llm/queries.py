@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import stage, table
 from . import abuse as A
@@ -64,7 +65,8 @@ def p7_sequences(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_clean(spark: SparkSession, d: str) -> DataFrame:
-    return L.without_repeated(P.load(spark, d))
+    """Every page without the lines repeated in its host: ``host, id, text, n_removed``."""
+    return L.without_repeated(P.load(spark, d)).select("host", "id", F.array_join("lines", "\n").alias("text"), "n_removed")
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:

@@ -509,7 +509,9 @@ def test_repeated_lines_same_as_sql(spark, small):
 
     from ..oracle import assert_same, views
 
-    assert_same(queries.p7_found(spark, small), views(small), queries.SQL["p7_found"])
+    con = views(small)
+    for name, sql in queries.SQL.items():
+        assert_same(queries.QUERIES[name](spark, small), con, sql)
 
 
 def test_main_text_as_laid_out(spark):
