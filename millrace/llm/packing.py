@@ -23,14 +23,13 @@ Items larger than the capacity, and only they, are cut into full containers and
 a rest that is packed like an item. Items of size 0 use no space; they are
 put into container 0 so that every item is placed.
 
-The k-th item of a size is counted within its input split plus an offset per
-(split, size); no window over a whole size is needed, so a size that a third of
-all items share makes no large task.
-
-Defined results: null sizes count as 0; an empty input gives no rows; the order
-of equal sizes follows the item key within a split, so ties are settled; the
-same input in other splits may give equal items other containers, with the same
-fill.
+The k-th item of a size is counted within its input split, where it is read,
+plus an offset per (split, size): items are not shuffled, and a size that a
+third of all items share makes no large task.
+
+Defined results: null sizes count as 0; an empty input gives no rows; items of
+equal size keep the order of the input within a split; the same input in other
+splits may give equal items other containers, with the same fill.
 """
 
 from __future__ import annotations
@@ -301,21 +300,42 @@ def pieces(items: DataFrame, windows: list[tuple[str, int]], key: str, size: str
     )
 
 
-def pack_windows(items: DataFrame, windows: list[tuple[str, int]], key: str = "doc_id", size: str = "n_tokens", splits: int = 0) -> DataFrame:
+def _numbered(parts: DataFrame, kind: str) -> DataFrame:
+    """Pieces with their input split and ``k``, the number of earlier pieces of the same window and size in it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[int, int] = {}
+        for b in batches:
+            if not b.num_rows:
+                continue
+            both = b.column(3).to_numpy(zero_copy_only=False) << 16 | b.column(0).to_numpy(zero_copy_only=False)
+            keys, code, n = np.unique(both, return_inverse=True, return_counts=True)
+            order = np.argsort(code, kind="stable")
+            k = np.empty(len(code), np.int64)
+            k[order] = np.arange(len(code)) - np.repeat(np.cumsum(n) - n, n)
+            k += np.array([seen.get(x, 0) for x in keys.tolist()], np.int64)[code]
+            for x, more in zip(keys.tolist(), n.tolist()):
+                seen[x] = seen.get(x, 0) + more
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(k)], names=["w", "item", "piece", "size", "split", "k"])
+
+    return parts.withColumn("split", F.spark_partition_id()).mapInArrow(run, f"w int, item {kind}, piece int, size long, split int, k long")
+
+
+def pack_windows(items: DataFrame, windows: list[tuple[str, int]], key: str = "doc_id", size: str = "n_tokens") -> DataFrame:
     """``window_name, item, piece, size, container`` of every item for every (name, capacity).
 
-    ``items`` is read twice, so give it staged. Containers are numbered from 1
+    Containers are numbered from 1
     in each window; container 0 holds the items of size 0.
     """
-    return pack_by_recipes(items, windows, key, size, splits)[0]
+    return pack_by_recipes(items, windows, key, size)[0]
 
 
-def pack_by_recipes(items: DataFrame, windows: list[tuple[str, int]], key: str = "doc_id", size: str = "n_tokens", splits: int = 0) -> tuple[DataFrame, list[Recipe]]:
+def pack_by_recipes(items: DataFrame, windows: list[tuple[str, int]], key: str = "doc_id", size: str = "n_tokens") -> tuple[DataFrame, list[Recipe]]:
     """The packed items of :func:`pack_windows` and the recipe of each window."""
     spark = items.sparkSession
     ship(spark)
-    splits = splits or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    parts = pieces(items, windows, key, size).withColumn("split", F.pmod(F.xxhash64("item", "piece"), F.lit(splits)).cast("int"))
+    kind = items.schema[key].dataType.simpleString()
+    parts = stage(_numbered(pieces(items, windows, key, size), kind), "pieces")
     # at most splits * capacity rows a window, whatever the number of items
     per_split = stage(parts.groupBy("w", "split", "size").agg(F.count("*").alias("n")), "sizes")
     histograms: list[dict[int, int]] = [{} for _ in windows]
@@ -323,15 +343,9 @@ def pack_by_recipes(items: DataFrame, windows: list[tuple[str, int]], key: str =
         histograms[r["w"]][r["size"]] = r["n"]
     recipes = [recipe(h, cap) for h, (_, cap) in zip(histograms, windows)]
     placed = [Assignment(r, 1) for r in recipes]
-    offsets = per_split.select(
-        "w", "split", "size", (F.sum("n").over(Window.partitionBy("w", "size").orderBy("split")) - F.col("n")).alias("offset")
-    )
-    ordinal = F.row_number().over(Window.partitionBy("w", "split", "size").orderBy("item", "piece")) - 1
-    numbered = (
-        parts.withColumn("k", ordinal)
-        .join(offsets, ["w", "split", "size"])
-        .select("w", "item", "piece", "size", (F.col("k") + F.col("offset")).cast("long").alias("k"))
-    )
+    offset = F.sum("n").over(Window.partitionBy("w", "size").orderBy("split")) - F.col("n")
+    offsets = stage(per_split.select("w", "split", "size", offset.alias("offset")), "offsets")
+    numbered = parts.join(offsets, ["w", "split", "size"]).select("w", "item", "piece", "size", (F.col("k") + F.col("offset")).cast("long").alias("k"))
     handed = spark.sparkContext.broadcast(placed)  # bounded by the capacities, not by the items
     names = [name for name, _ in windows]
 
@@ -347,13 +361,12 @@ def pack_by_recipes(items: DataFrame, windows: list[tuple[str, int]], key: str =
             label = pa.array(names, pa.string()).take(pa.array(w, pa.int32()))
             yield pa.RecordBatch.from_arrays([label, b.column(1), b.column(2), b.column(3), pa.array(c)], names=["window_name", "item", "piece", "size", "container"])
 
-    kind = items.schema[key].dataType.simpleString()
     return numbered.mapInArrow(run, f"window_name string, item {kind}, piece int, size long, container long"), recipes
 
 
-def pack(items: DataFrame, capacity: int, key: str = "doc_id", size: str = "n_tokens", splits: int = 0) -> DataFrame:
+def pack(items: DataFrame, capacity: int, key: str = "doc_id", size: str = "n_tokens") -> DataFrame:
     """``item, piece, size, container`` of every item for one capacity."""
-    return pack_windows(items, [("", capacity)], key, size, splits).drop("window_name")
+    return pack_windows(items, [("", capacity)], key, size).drop("window_name")
 
 
 def fill_windows(packed: DataFrame, windows: list[tuple[str, int]], recipes: list[Recipe]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import stage, table
+from ..session import table
 from . import abuse as A
 from . import lines as L
 from . import packing as K
@@ -81,13 +81,13 @@ def _windows(spark: SparkSession, d: str) -> list[tuple[str, int]]:
 
 def p9_packing(spark: SparkSession, d: str) -> DataFrame:
     """``window_name, item, piece, size, container`` for every document and window."""
-    return K.pack_windows(stage(T.token_counts(table(spark, d, "documents")), "lengths"), _windows(spark, d))
+    return K.pack_windows(T.token_counts(table(spark, d, "documents")), _windows(spark, d))
 
 
 def p9_fill(spark: SparkSession, d: str) -> DataFrame:
     """Containers, the least possible number, the share of space used and of items placed by least squares, per window."""
     windows = _windows(spark, d)
-    packed, recipes = K.pack_by_recipes(stage(T.token_counts(table(spark, d, "documents")), "lengths"), windows)
+    packed, recipes = K.pack_by_recipes(T.token_counts(table(spark, d, "documents")), windows)
     return K.fill_windows(packed, windows, recipes)
 
 
