@@ -264,6 +264,8 @@ class Miner:
         """``host, seq, n_docs, n_host`` of every frequent sequence, staged."""
         mined = stage(self.docs.groupBy("host", "chunk").applyInArrow(lambda t: _mined(t), _MINED), "mined")
         whole = self._whole(mined)
+        if self.large.isEmpty():  # every source is one chunk, so its own counts are the whole ones
+            return stage(whole.where(F.col("n") >= F.col("least")).select("host", "seq", F.col("n").alias("n_docs"), "n_host"), "frequent")
         known = (F.col("reported") == F.col("chunks")) & (F.col("n_follows") == F.col("reported")) & F.col("one_left")
         again = stage(whole.where((F.size("seq") == 1) & (F.col("n_follows") > 0) & ~known & F.col("possible")).select("host", F.element_at("seq", 1).alias("line_id")), "starts")
         if not again.isEmpty():

@@ -222,9 +222,11 @@ class Trees:
 
     def fit(self, x: np.ndarray, y: np.ndarray) -> Trees:
         self.edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(x.shape[1])]
-        b = self._bin(x)
         share = np.bincount(y, minlength=self.classes) + 1.0
         self.prior = np.log(share / share.sum())
+        # nodes of one template look alike: equal rows are grown once, with their number as weight
+        alike, weight = np.unique(np.column_stack([self._bin(x), y.astype(np.int16)]), axis=0, return_counts=True)
+        b, y = alike[:, :-1], alike[:, -1]
         f = np.tile(self.prior, (len(y), 1))
         onehot = np.eye(self.classes)[y]
         for _ in range(TREES):
@@ -232,7 +234,7 @@ class Trees:
             p = e / e.sum(1, keepdims=True)
             group = []
             for c in range(self.classes):
-                tree = self._grow(b, onehot[:, c] - p[:, c], p[:, c] * (1 - p[:, c]))
+                tree = self._grow(b, weight * (onehot[:, c] - p[:, c]), weight * p[:, c] * (1 - p[:, c]))
                 group.append(tree)
                 f[:, c] += RATE * self._apply(tree, b)
             self.trees.append(group)
