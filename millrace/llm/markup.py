@@ -227,6 +227,7 @@ class Trees:
         # nodes of one template look alike: equal rows are grown once, with their number as weight
         alike, weight = np.unique(np.column_stack([self._bin(x), y.astype(np.int16)]), axis=0, return_counts=True)
         b, y = alike[:, :-1], alike[:, -1]
+        columns = np.ascontiguousarray(b.T).astype(np.intp)
         f = np.tile(self.prior, (len(y), 1))
         onehot = np.eye(self.classes)[y]
         for _ in range(TREES):
@@ -234,14 +235,14 @@ class Trees:
             p = e / e.sum(1, keepdims=True)
             group = []
             for c in range(self.classes):
-                tree = self._grow(b, weight * (onehot[:, c] - p[:, c]), weight * p[:, c] * (1 - p[:, c]))
+                tree = self._grow(b, columns, weight * (onehot[:, c] - p[:, c]), weight * p[:, c] * (1 - p[:, c]))
                 group.append(tree)
                 f[:, c] += RATE * self._apply(tree, b)
             self.trees.append(group)
         return self
 
     @staticmethod
-    def _grow(b: np.ndarray, g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def _grow(b: np.ndarray, columns: np.ndarray, g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(feature, threshold, leaf value) of a full binary tree; feature -1 does not split."""
         inner = 2**DEPTH - 1
         feature, threshold = np.full(inner, -1), np.zeros(inner, int)
@@ -254,8 +255,9 @@ class Trees:
             best = np.zeros(k)
             gt = np.bincount(where, g, k)
             ht = np.bincount(where, h, k)
-            for j in range(b.shape[1]):
-                key = where * width + b[:, j]
+            base = where * width
+            for j, column in enumerate(columns):
+                key = base + column
                 gl = np.cumsum(np.bincount(key, g, k * width).reshape(k, width), axis=1)[:, :-1]
                 hl = np.cumsum(np.bincount(key, h, k * width).reshape(k, width), axis=1)[:, :-1]
                 gr, hr = gt[:, None] - gl, ht[:, None] - hl
