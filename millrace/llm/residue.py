@@ -234,15 +234,19 @@ def judge(page: Page, body: list[int], head: int) -> tuple[str, str]:
     for i in body:
         if plain_message(lines[i]) and not _code(page, i):
             return "message", lines[i]
-    if 2 * sum(message_line(lines[i]) for i in body) >= len(body):
+    others = len(body) // 2  # so many lines may be worded otherwise
+    for i in body:
+        others -= not message_line(lines[i])
+        if others < 0:
+            break
+    else:
         return "message", "\n".join([lines[i] for i in body])
-    size = 0
+    size = -1
     for i in body:
-        size += len(lines[i])
-        if size > 4 * MESSAGE_CHARS:
+        size += len(mask(lines[i])) + 1
+        if size > MESSAGE_CHARS:
             return "", ""
-    joined = "\n".join([lines[i] for i in body])
-    return ("body", joined) if len(mask(joined)) <= MESSAGE_CHARS else ("", "")
+    return "body", "\n".join([lines[i] for i in body])
 
 
 #: Program output that is residue wherever it stands.
